@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areaweave import fixed_values as fv
+from areaweave.functions.totals import steady_avg, steady_sum
 from areaweave.operators.joins import outer_join, with_parent
 from areaweave.operators.ranking import largest, sorted_rows, top_k
 
@@ -144,7 +145,7 @@ def new_and_costly(built: DataFrame, value: DataFrame, above: float = 50) -> Dat
         built.join(costly, "ZCTA5")
         .groupBy("High_Housing_Value")
         .agg(
-            F.avg("High_Housing_Value").alias("Average_High_Housing_Value"),
+            F.expr(f"{steady_avg('High_Housing_Value')} AS Average_High_Housing_Value"),
             F.count("Built_2014_or_later").alias("num_of_highvalue_built2014_or_later"),
         )
     )
@@ -173,10 +174,8 @@ def industry_of_higher_income(income: DataFrame, industry: DataFrame,
         upper.join(industry.where(named_industries()), "ZCTA5")
         .groupBy(*keys)
         .agg(
-            F.sum("Rich").alias("Total_Rich"),
-            F.sum("Upper_Middle").alias("Total_Upper_Middle"),
-            F.sum("Middle").alias("Total_Middle"),
-            F.avg("Average").alias("Average"),
+            *(F.expr(f"{steady_sum(c)} AS Total_{c}") for c in CLASSES_ABOVE),
+            F.expr(f"{steady_avg('Average')} AS Average"),
         )
     )
 
@@ -203,7 +202,7 @@ def work_by_industry(hours: DataFrame, commute: DataFrame, industry: DataFrame,
         .join(ranked, "ZCTA5")
         .groupBy(*INDUSTRIES)
         .agg(
-            F.sum("Work_From_Home").alias("Total_Work_From_Home"),
+            F.expr(f"{steady_sum('Work_From_Home')} AS Total_Work_From_Home"),
             F.sum("Work_35h_or_more").alias("Total_Full_Work_Week"),
         )
         .where("Total_Full_Work_Week > 0")

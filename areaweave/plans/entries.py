@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaweave import fixed_values as fv
-from areaweave.functions import classes, cleaning
+from areaweave.functions import classes, cleaning, totals
 from areaweave.operators import checks, joins, ranking
 from areaweave.plans import combine, crossing, explore, integrity, row_jobs
 from areaweave.plans.modeled import AREA_TABLES
@@ -36,11 +36,6 @@ def entry(name: str) -> Callable[[Query], Query]:
     return register
 
 
-def steady(df: DataFrame, *columns: str) -> DataFrame:
-    """Round sums and averages of doubles, whose last digits depend on addition order."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
-
-
 @cache
 def _namespace(spark: SparkSession) -> str:
     """One namespace per session, kept in the shared scratch folder."""
@@ -74,7 +69,9 @@ def _(t):
 
 @entry("src_csv_nullmarker_survey")
 def _(t):
-    return _through_csv(t, "economics", csv_files.SURVEY_LOAD)
+    """As text, since whether a percentage column loads as text depends on its values."""
+    rows = _through_csv(t, "economics", csv_files.SURVEY_LOAD)
+    return rows.selectExpr(*(f"CAST({c} AS STRING) AS {c}" for c in rows.columns))
 
 
 RAGGED_SCHEMA = "MID BIGINT, DISCIPL STRING, ADZIP5 INT, INCOME15 STRING, WEBURL STRING"
@@ -454,15 +451,13 @@ def _(t):
 
 @entry("agg_sum")
 def _(t):
-    df = combine.enrollment_by_class(t.ready("income", filtered=False), t.ready("pubpriv"))
-    return df
+    return combine.enrollment_by_class(t.ready("income", filtered=False), t.ready("pubpriv"))
 
 
 @entry("agg_avg")
 def _(t):
-    df = t.ready("income", filtered=False).groupBy("Predominant_Class").agg(
-        F.avg("Average").alias("Average"))
-    return steady(df, "Average")
+    return t.ready("income", filtered=False).groupBy("Predominant_Class").agg(
+        F.expr(f"{totals.steady_avg('Average')} AS Average"))
 
 
 @entry("agg_group_multi")
@@ -700,14 +695,12 @@ def _class_and_value(t):
 
 
 def _higher_income(t, per_area=False):
-    df = combine.industry_of_higher_income(t.ready("income"), t.ready("industry"), per_area)
-    return steady(df, "Total_Rich", "Total_Upper_Middle", "Total_Middle", "Average")
+    return combine.industry_of_higher_income(t.ready("income"), t.ready("industry"), per_area)
 
 
 def _work_by_industry(t, named=False):
-    df = combine.work_by_industry(
+    return combine.work_by_industry(
         t.ready("hours"), t.ready("commute"), t.ready("industry"), named)
-    return steady(df, "Total_Work_From_Home")
 
 
 def _enrollment_by_class(t):
@@ -745,8 +738,7 @@ def _(t):
 
 
 def _new_and_costly(t, above):
-    df = combine.new_and_costly(t.ready("built_year"), t.ready("housing_value"), above)
-    return steady(df, "Average_High_Housing_Value")
+    return combine.new_and_costly(t.ready("built_year"), t.ready("housing_value"), above)
 
 
 @entry("a03")
@@ -797,17 +789,36 @@ def _(t):
     return combine.in_order(_graduates(t), "Area_with_Industry")
 
 
+def _costly_areas(t, filtered=True):
+    return combine.in_order(combine.industry_of_costly_areas(
+        t.ready("industry"), t.ready("income", filtered), t.ready("housing_value")),
+        "Number_of_Area")
+
+
+def _rich_areas(t, filtered=True):
+    return combine.in_order(
+        combine.value_of_rich_areas(t.ready("housing_value"), t.ready("income", filtered)),
+        "High_Housing_Value")
+
+
 @entry("a11")
 def _(t):
-    return combine.in_order(combine.industry_of_costly_areas(
-        t.ready("industry"), t.ready("income"), t.ready("housing_value")), "Number_of_Area")
+    return _costly_areas(t)
+
+
+@entry("a11_unfiltered")
+def _(t):
+    return _costly_areas(t, filtered=False)
 
 
 @entry("a12")
 def _(t):
-    return combine.in_order(
-        combine.value_of_rich_areas(t.ready("housing_value"), t.ready("income")),
-        "High_Housing_Value")
+    return _rich_areas(t)
+
+
+@entry("a12_unfiltered")
+def _(t):
+    return _rich_areas(t, filtered=False)
 
 
 @entry("a13")

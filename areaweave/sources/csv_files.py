@@ -44,7 +44,8 @@ def read_csv(spark: SparkSession, path: str, load: CsvLoad, keep_malformed: bool
         .option("multiLine", load.quoted_newlines)
         .option("escape", '"')
         .option("mode", "PERMISSIVE" if load.ragged else "FAILFAST")
-        .option("enforceSchema", True)
+        # Parse whole rows even when few columns are used, or uneven rows go unnoticed.
+        .option("columnPruning", False)
     )
     if load.null_marker is not None:
         reader = reader.option("nullValue", load.null_marker)

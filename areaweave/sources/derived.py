@@ -196,8 +196,8 @@ _SCHOOL_VALUES = {
     "WHEN pmod(o_orderkey, 3) = 0 THEN concat(lpad(CAST(o_custkey AS STRING), 5, '0'), '1234') "
     "ELSE lpad(CAST(o_custkey AS STRING), 5, '0') END",
     "LOCALE": "substr(o_orderpriority, 1, 1)",
-    "LAT": "CAST(round(o_totalprice / 10000, 4) AS STRING)",
-    "LON": "concat('-', CAST(round(o_totalprice / 5000, 4) AS STRING))",
+    "LAT": "CAST(floor(o_totalprice) / 10000 AS STRING)",
+    "LON": "concat('-', CAST(floor(o_totalprice) / 5000 AS STRING))",
     "SCHOOLYEAR": "'2017-2018'",
 }
 
