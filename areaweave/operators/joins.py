@@ -20,11 +20,17 @@ HOT_ROWS = 100_000
 _SLOT, _HOT, _MET = "__slot", "__hot", "__met"
 
 
+def _no_slot(key: str) -> str:
+    """Always 0, but not visibly so: a slot the optimizer knows to be constant would leave
+    the join keys and turn into a filter, and NULL keys would pile up again."""
+    return f"CAST(pmod(xxhash64(`{key}`), 1) AS INT)"
+
+
 def _slot_text(key: str, columns: list[str]) -> str:
     row = ", ".join(f"`{c}`" for c in columns)
     return (
         f"CASE WHEN `{key}` IS NULL THEN CAST(pmod(xxhash64({row}), {NULL_SLOTS}) AS INT) "
-        "ELSE 0 END"
+        f"ELSE {_no_slot(key)} END"
     )
 
 
@@ -84,7 +90,10 @@ def split_left_join(
         right.where(f"{key} IS NOT NULL")
         .join(hot, key, "left")
         .selectExpr(
-            key, *others, f"CASE WHEN {_HOT} THEN {deal} ELSE 0 END AS {_SLOT}", f"true AS {_MET}"
+            key,
+            *others,
+            f"CASE WHEN {_HOT} THEN {deal} ELSE {_no_slot(key)} END AS {_SLOT}",
+            f"true AS {_MET}",
         )
     )
     slots = (
@@ -105,7 +114,7 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """`left LEFT JOIN right USING (key)` where the right side has one row per key."""
     own = [c for c in left.columns if c != key]
     others = [c for c in right.columns if c != key]
-    slotted = right.selectExpr("*", f"0 AS {_SLOT}")
+    slotted = right.selectExpr("*", f"{_no_slot(key)} AS {_SLOT}")
     return _null_slotted(left, key).join(slotted, [key, _SLOT], "left").select(key, *own, *others)
 
 
@@ -114,7 +123,7 @@ def without_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
     The parent is reduced to its distinct keys before it is shuffled.
     """
-    keys = parent.select(key).distinct().selectExpr(key, f"0 AS {_SLOT}")
+    keys = parent.select(key).distinct().selectExpr(key, f"{_no_slot(key)} AS {_SLOT}")
     return _null_slotted(child, key).join(keys, [key, _SLOT], "left_anti").select(*child.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -58,17 +59,21 @@ def job_staged(spark: SparkSession, dataset: str, in_dir: str, namespace: str,
     staging_ns, modeled_ns = f"{namespace}_staging", f"{namespace}_modeled"
     for name in (staging_ns, modeled_ns):
         create_namespace(spark, name, f"{location}/{name}" if location else None)
-    counts = []
-    for branch in DATASETS[dataset]:
+
+    def run(branch: Branch) -> list[DataFrame]:
         table, target = branch.table, f"{modeled_ns}.{branch.table}"
         rows = read_csv(spark, f"{in_dir}/{table}", load or branch.load)
         staged = replace_table(rows, f"{staging_ns}.{table}")
         clean = replace_table(branch.model(staged), target, branch.layout)
         ready = row_jobs.run(clean, branch.row_job, f"{target}_ready")
-        for stage, df in (("staging", staged), ("modeled", clean), ("ready", ready)):
-            counts.append(
-                df.agg(F.count("*").alias("row_count")).select(
-                    F.lit(table).alias("table_name"), F.lit(stage).alias("stage"), "row_count"
-                )
+        return [
+            df.agg(F.count("*").alias("row_count")).select(
+                F.lit(table).alias("table_name"), F.lit(stage).alias("stage"), "row_count"
             )
+            for stage, df in (("staging", staged), ("modeled", clean), ("ready", ready))
+        ]
+
+    branches = DATASETS[dataset]
+    with ThreadPoolExecutor(len(branches)) as pool:  # Spark runs their jobs side by side
+        counts = [df for found in pool.map(run, branches) for df in found]
     return reduce(DataFrame.unionByName, counts)

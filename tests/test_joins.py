@@ -61,22 +61,46 @@ def test_outer_join_with_null_keys(spark, how):
     assert bag(joins.outer_join(a, b, "k1", "k2", how)) == bag(a.join(b, a.k1 == b.k2, how))
 
 
-def test_null_keys_spread_over_partitions(spark):
-    left = spark.range(5000).selectExpr("CAST(NULL AS STRING) AS k1", "id")
-    right = spark.range(10).selectExpr("CAST(id AS STRING) AS k2")
-    aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        joined = joins.outer_join(left, right, "k1", "k2", "left")
-        sizes = joined.groupBy("id").count().selectExpr("spark_partition_id() AS p").distinct()
-        parts = joined.selectExpr("spark_partition_id() AS p").groupBy("p").count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert len(parts) == 8 and max(r["count"] for r in parts) < 2000
-    assert sizes.count() > 0
+@pytest.fixture
+def shuffled(spark):
+    """Every join shuffles, and partitions stay as they are."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("kind", ["left", "full", "unique", "split", "anti"])
+def test_null_keys_spread_over_tasks(spark, shuffled, kind):
+    left = spark.range(5000).selectExpr("CAST(NULL AS STRING) AS k", "id")
+    right = spark.range(10).selectExpr("CAST(id AS STRING) AS k", "id AS r").where("k IS NOT NULL")
+    joined = {
+        "left": lambda: joins.outer_join(
+            left.withColumnRenamed("k", "k1"), right.withColumnRenamed("k", "k2"), "k1", "k2", "left"),
+        "full": lambda: joins.outer_join(
+            left.withColumnRenamed("k", "k1"), right.withColumnRenamed("k", "k2"), "k1", "k2", "full"),
+        "unique": lambda: joins.left_join_unique(left, right, "k"),
+        "split": lambda: joins.split_left_join(left, right, "k"),
+        "anti": lambda: joins.without_parent(left, right, "k"),
+    }[kind]()
+    found = joined.where("id IS NOT NULL").selectExpr("spark_partition_id() AS p")
+    tasks = found.groupBy("p").count().collect()
+    assert sum(r["count"] for r in tasks) == 5000
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 1500
+
+
+def test_rows_of_a_frequent_key_spread_over_tasks(spark, shuffled):
+    left = spark.range(100).selectExpr("CAST(id AS STRING) AS k", "id AS l")
+    right = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN '7' ELSE CAST(id % 100 AS STRING) END AS k", "id AS r")
+    joined = joins.split_left_join(left, right, "k", rows=100, share=0.1)
+    tasks = joined.where("k = '7'").selectExpr("spark_partition_id() AS p").groupBy("p").count()
+    sizes = [r["count"] for r in tasks.collect()]
+    assert sum(sizes) == right.where("k = '7'").count()
+    assert len(sizes) >= 6 and max(sizes) < sum(sizes) / 2
 
 
 def test_left_join_unique(spark):
@@ -107,10 +131,6 @@ def test_full_chain_matches_on_the_middle_key_only(spark):
     ])
 
 
-def shuffles(df):
-    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
-
-
 def test_reports_neither_cross_join_nor_sort_a_whole_table_for_a_cut(spark):
     from areaweave.plans import entries
     from areaweave.sources.area_tables import AreaTables
