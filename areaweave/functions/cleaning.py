@@ -16,7 +16,7 @@ def marked_to_double(c: str, *markers: str) -> str:
     Every occurrence is replaced, so a minus sign is lost: '-5.2' reads as 5.2. That
     is how the published tables were made. Other text fails the (ANSI) cast.
     """
-    text = c
+    text = f"CAST({c} AS STRING)"  # a column without markers may have loaded as a number
     for marker in markers or (SUPPRESSED,):
         text = f"replace({text}, '{marker}', '0')"
     return f"CAST({text} AS DOUBLE)"

@@ -15,7 +15,7 @@ from areaweave.operators import checks, joins, ranking
 from areaweave.plans import combine, crossing, explore, integrity, row_jobs
 from areaweave.plans.modeled import AREA_TABLES
 from areaweave.plans.row_jobs import ROW_JOBS
-from areaweave.plans.staged import job_staged
+from areaweave.plans.staged import SURVEY_EXTRACTS, job_staged, job_survey
 from areaweave.sources import csv_files, tables
 from areaweave.sources.area_tables import SCHOOLS, AreaTables
 from areaweave.sources.csv_files import CsvLoad, read_csv, write_csv
@@ -575,6 +575,23 @@ def _(t):
     return _staged(t, "iml", ["public_resources"], csv_files.RESOURCE_LOAD)
 
 
+def _write_survey(t: AreaTables) -> str:
+    """The four survey extracts; the industry columns belong to `economics`."""
+    folder = scratch_path(t.spark, "survey")
+    industry = t.staging("economics_industry").drop("DP03_0003E")
+    economics = t.staging("economics").join(industry, "NAME", "left")
+    for name, load in SURVEY_EXTRACTS.items():
+        rows = economics if name == "economics" else t.staging(name)
+        write_csv(rows, f"{folder}/{name}", load)
+    return folder
+
+
+@entry("job_staged_survey")
+def _(t):
+    return job_survey(t.spark, _write_survey(t), f"{_namespace(t.spark)}_survey",
+                      scratch_path(t.spark, "job"))
+
+
 # --- exploration reports and previews --------------------------------------------------
 
 

@@ -146,8 +146,11 @@ def sample(source: DataFrame, job: RowJob) -> DataFrame:
     return transform(rows, job, keep_key=True)
 
 
-def run(source: DataFrame, name: str, target: str, audit_folder: str | None = None) -> DataFrame:
-    """Transform a stored source table into a stored target table.
+def run(source: DataFrame, name: str, target: str, audit_folder: str | None = None,
+        dry_run: bool = False, buckets: int | None = None) -> DataFrame:
+    """Transform a stored source table into a stored target table, whole or as a dry run.
+
+    `buckets` stores an area table bucketed by ZCTA5, which spares reports their shuffles.
 
     With an audit folder the rows before and after are dumped as well: the first from the
     (pruned) source scan, the second from the stored result, so nothing is computed twice
@@ -156,9 +159,12 @@ def run(source: DataFrame, name: str, target: str, audit_folder: str | None = No
     job = ROW_JOBS[name]
     if audit_folder:
         used = [job.key, *job.columns] if job.columns else source.columns
-        dump_rows(read_query(source, used, job.full_filter), f"{audit_folder}/input")
-    result = full(source, job)
-    stored = truncate_table(result, target, SINKS.get(name, result.schema))
+        condition = job.sample_filter if dry_run else job.full_filter
+        before = read_query(source, used, condition)
+        dump_rows(read_sample(before, job.key) if dry_run else before, f"{audit_folder}/input")
+    result = sample(source, job) if dry_run else full(source, job)
+    declared = SINKS.get(name, result.schema)
+    stored = truncate_table(result, target, declared, "ZCTA5", None if dry_run else buckets)
     if audit_folder:
         dump_rows(stored, f"{audit_folder}/output")
     return stored

@@ -46,6 +46,39 @@ DATASETS = {
 }
 
 
+SURVEY_EXTRACTS = {
+    "economics": csv_files.SURVEY_LOAD,
+    "housing": csv_files.SURVEY_LOAD,
+    "school_enrollment": csv_files.SURVEY_LOAD,
+    "work": csv_files.WORK_LOAD,
+}
+
+
+def extract_of(table: str) -> str:
+    """The survey extract a modelled table is cut from; industries are in `economics`."""
+    name = modeled.AREA_TABLES[table].staging
+    return "economics" if name == "economics_industry" else name
+
+
+def _namespaces(spark: SparkSession, namespace: str, location: str | None) -> tuple[str, str]:
+    names = f"{namespace}_staging", f"{namespace}_modeled"
+    for name in names:
+        create_namespace(spark, name, f"{location}/{name}" if location else None)
+    return names
+
+
+def _counted(df: DataFrame, table: str, stage: str) -> DataFrame:
+    return df.agg(F.count("*").alias("row_count")).select(
+        F.lit(table).alias("table_name"), F.lit(stage).alias("stage"), "row_count"
+    )
+
+
+def _side_by_side(step: Callable[..., list[DataFrame]], parts: list) -> list[DataFrame]:
+    """Start the steps together; Spark shares the cluster among their jobs."""
+    with ThreadPoolExecutor(len(parts)) as pool:
+        return [df for found in pool.map(step, parts) for df in found]
+
+
 def job_staged(spark: SparkSession, dataset: str, in_dir: str, namespace: str,
                location: str | None = None, load: CsvLoad | None = None) -> DataFrame:
     """Run a dataset's branches; `<in_dir>/<table>` holds the extract of each.
@@ -56,9 +89,7 @@ def job_staged(spark: SparkSession, dataset: str, in_dir: str, namespace: str,
     most. Returns table names and row counts. `load` replaces how the files are read, for
     example to give an otherwise inferred extract a schema.
     """
-    staging_ns, modeled_ns = f"{namespace}_staging", f"{namespace}_modeled"
-    for name in (staging_ns, modeled_ns):
-        create_namespace(spark, name, f"{location}/{name}" if location else None)
+    staging_ns, modeled_ns = _namespaces(spark, namespace, location)
 
     def run(branch: Branch) -> list[DataFrame]:
         table, target = branch.table, f"{modeled_ns}.{branch.table}"
@@ -66,14 +97,35 @@ def job_staged(spark: SparkSession, dataset: str, in_dir: str, namespace: str,
         staged = replace_table(rows, f"{staging_ns}.{table}")
         clean = replace_table(branch.model(staged), target, branch.layout)
         ready = row_jobs.run(clean, branch.row_job, f"{target}_ready")
-        return [
-            df.agg(F.count("*").alias("row_count")).select(
-                F.lit(table).alias("table_name"), F.lit(stage).alias("stage"), "row_count"
-            )
-            for stage, df in (("staging", staged), ("modeled", clean), ("ready", ready))
-        ]
-
-    branches = DATASETS[dataset]
-    with ThreadPoolExecutor(len(branches)) as pool:  # Spark runs their jobs side by side
-        counts = [df for found in pool.map(run, branches) for df in found]
+        return [_counted(staged, table, "staging"), _counted(clean, table, "modeled"),
+                _counted(ready, table, "ready")]
+
+    return reduce(DataFrame.unionByName, _side_by_side(run, DATASETS[dataset]))
+
+
+def job_survey(spark: SparkSession, in_dir: str, namespace: str, location: str | None = None,
+               schemas: dict[str, CsvLoad] | None = None,
+               buckets: int | None = None) -> DataFrame:
+    """Load the four survey extracts and make all modelled and transformed area tables.
+
+    Same layout, repeatability and result as `job_staged`; `schemas` replaces how single
+    extracts are read, `buckets` stores the transformed tables bucketed by area.
+    """
+    staging_ns, modeled_ns = _namespaces(spark, namespace, location)
+
+    def load(name: str) -> list[DataFrame]:
+        how = {**SURVEY_EXTRACTS, **(schemas or {})}[name]
+        staged = replace_table(read_csv(spark, f"{in_dir}/{name}", how), f"{staging_ns}.{name}")
+        return [_counted(staged, name, "staging")]
+
+    def make(job: str) -> list[DataFrame]:
+        table = row_jobs.ROW_JOBS[job].source
+        staged = spark.table(f"{staging_ns}.{extract_of(table)}")
+        rows = modeled.area_table(staged, modeled.AREA_TABLES[table])
+        clean = replace_table(rows, f"{modeled_ns}.{table}")
+        ready = row_jobs.run(clean, job, f"{modeled_ns}.{table}_ready", buckets=buckets)
+        return [_counted(clean, table, "modeled"), _counted(ready, table, "ready")]
+
+    survey = [name for name, job in row_jobs.ROW_JOBS.items() if job.columns]
+    counts = _side_by_side(load, list(SURVEY_EXTRACTS)) + _side_by_side(make, survey)
     return reduce(DataFrame.unionByName, counts)

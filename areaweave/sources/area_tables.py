@@ -1,4 +1,8 @@
-"""The three layers of tables over one set of input files, as lazy DataFrames."""
+"""The three layers of tables the reports read, as lazy DataFrames.
+
+`AreaTables` derives them from one folder of input files; `StoredTables` reads what the
+staged jobs stored. Every report runs on either.
+"""
 
 from __future__ import annotations
 
@@ -50,3 +54,28 @@ class AreaTables:
     def sample(self, name: str) -> DataFrame:
         job = row_jobs.ROW_JOBS[name]
         return row_jobs.sample(self.modeled(job.source), job)
+
+
+@dataclass(frozen=True)
+class StoredTables:
+    """Tables of `job_survey` and `job_staged` runs that share one namespace."""
+
+    spark: SparkSession
+    namespace: str
+
+    def staging(self, name: str) -> DataFrame:
+        name = "economics" if name == "economics_industry" else name
+        return self.spark.table(f"{self.namespace}_staging.{name}")
+
+    def modeled(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.namespace}_modeled.{name}")
+
+    def ready(self, name: str, filtered: bool = True) -> DataFrame:
+        job = row_jobs.ROW_JOBS[name]
+        if job.full_filter and not filtered:
+            return row_jobs.full(self.modeled(job.source), job, filtered)
+        return self.spark.table(f"{self.namespace}_modeled.{job.source}_ready")
+
+    def sample(self, name: str) -> DataFrame:
+        job = row_jobs.ROW_JOBS[name]
+        return row_jobs.sample(self.modeled(job.source), job)

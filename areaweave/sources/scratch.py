@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -30,3 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder for one run."""
     return f"{scratch_root(spark)}/areaweave/{label}-{uuid.uuid4().hex}"
+
+
+def run_folder(root: str) -> str:
+    """A folder for one run's row dumps, named by the time it started."""
+    return f"{root.rstrip('/')}/{datetime.now():%Y_%m_%d_%H_%M_%S}"

@@ -47,9 +47,23 @@ def replace_table(df: DataFrame, name: str, layout: Sequence[str] = ()) -> DataF
     return df.sparkSession.table(name)
 
 
-def truncate_table(df: DataFrame, name: str, schema: T.StructType | str) -> DataFrame:
-    """Replace a table's rows, writing the declared columns, by name, in declared types."""
-    return replace_table(to_declared(df, schema), name)
+def replace_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Store a table, replacing an earlier one, so that joins on `key` need no shuffle.
+
+    One file per bucket. For tables whose key identifies a row; tables joined with each
+    other need the same number of buckets.
+    """
+    rows = df.repartition(buckets, key).write.mode("overwrite")
+    rows.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def truncate_table(df: DataFrame, name: str, schema: T.StructType | str,
+                   key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Replace a table's rows, writing the declared columns, by name, in declared types;
+    bucketed by `key` if a number of buckets is given."""
+    rows = to_declared(df, schema)
+    return replace_bucketed(rows, name, key, buckets) if buckets else replace_table(rows, name)
 
 
 def to_declared(df: DataFrame, schema: T.StructType | str) -> DataFrame:

@@ -870,6 +870,16 @@ def _manifest(tables: dict[str, str]) -> str:
 
 
 SQL["job_staged"] = _manifest(_SCHOOL_JOBS)
+SQL["job_staged_survey"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{stage}' AS stage, count(*) AS row_count FROM {source}"
+    for t, stage, source in [
+        *((t, "staging", f"s_{t}") for t in ("economics", "housing", "school_enrollment", "work")),
+        *((t, "modeled", f"m_{t}") for t in _MODELED if t != "Labor_In_Industry"),
+        *((t, "ready", f"d_{j}") for j, t in _SURVEY_JOBS.items() if j != "industry"),
+        ("Labor_In_Industry", "modeled", "s_economics"),
+        ("Labor_In_Industry", "ready", "s_economics"),
+    ]
+)
 SQL["job_staged_uds"] = _manifest({"zip_to_zcta5": "zipmap"})
 SQL["job_staged_iml"] = _manifest({"public_resources": "resources"})
 

@@ -159,3 +159,56 @@ def test_staged_job_can_be_repeated(spark, tmp_path, space):
     assert first == second and len(first) == 9 and {r[2] for r in first} == {3}
     ready = spark.table(f"{space}_job_modeled.public_school_ready")
     assert {(r.ZIPCODE, r.LATITUDE, r.LONGITUDE) for r in ready.collect()} == {("78705", 30.5, -97.5)}
+
+
+def test_reports_run_on_stored_tables(spark, tmp_path, space):
+    """Extracts -> jobs -> reports, against the same reports over the derived tables."""
+    from areaweave.plans import entries
+    from areaweave.sources.area_tables import SCHOOLS, AreaTables, StoredTables
+
+    derived = AreaTables(spark, "/root/testdata/sf0.001")
+    name, place = f"{space}_all", str(tmp_path / "all")
+    staged.job_survey(spark, entries._write_survey(derived), name, place)
+    for dataset, tables_, load in (
+        ("edge", SCHOOLS, csv_files.PLAIN_LOAD),
+        ("uds", ["zip_to_zcta5"], csv_files.CROSSWALK_LOAD),
+        ("iml", ["public_resources"], csv_files.RESOURCE_LOAD),
+    ):
+        for table in tables_:
+            write_csv(derived.staging(table), str(tmp_path / dataset / table), load)
+        staged.job_staged(spark, dataset, str(tmp_path / dataset), name, place)
+    stored = StoredTables(spark, name)
+    for report in ("x01", "x02", "x03", "j04", "j07", "a05", "a07", "a09", "k01", "k03", "q07"):
+        assert rows(entries.ENTRIES[report](stored)) == rows(entries.ENTRIES[report](derived)), report
+
+
+def test_dry_run_stores_fifty_rows_under_the_source_key(spark, tmp_path, space):
+    from areaweave.plans import row_jobs
+
+    source = spark.range(80).selectExpr(
+        "concat('ZCTA5 ', lpad(id, 5, '0')) AS NAME", *(f"id AS {c}" for c in fv.WEEKS))
+    folder = scratch.run_folder(str(tmp_path))
+    stored = row_jobs.run(source, "weeks", f"{space}.dry", folder, dry_run=True)
+    assert stored.columns == ["NAME", *fv.WEEKS.values()] and stored.count() == 50
+    assert spark.read.json(f"{folder}/input").count() == 50
+    assert {r.NAME for r in stored.collect()} == {f"ZCTA5 {i:05d}" for i in range(50)}
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, space):
+    from areaweave.plans import row_jobs
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    source = spark.range(300).selectExpr("concat('ZCTA5 ', lpad(id, 5, '0')) AS NAME", "id")
+    stored = [
+        row_jobs.run(source.selectExpr("NAME", *(f"id AS {c}" for c in columns)), job,
+                     f"{space}.{job}", buckets=4)
+        for job, columns in (("weeks", fv.WEEKS), ("hours", fv.HOURS))
+    ]
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = stored[0].join(stored[1], "ZCTA5")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
