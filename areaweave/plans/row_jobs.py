@@ -29,11 +29,19 @@ def _with(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.selectExpr("*", *(f"{text} AS {name}" for name, text in columns.items()))
 
 
+def _with_once(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Adds columns as generated ones. A later filter on a plain expression makes the
+    optimizer copy it, with all it is made of, into that filter; a generated column is
+    worked out once per row."""
+    fields = ", ".join(f"{text} AS {name}" for name, text in columns.items())
+    return df.selectExpr("*", f"inline(array(struct({fields})))")
+
+
 def income_classes(df: DataFrame) -> DataFrame:
     """Class percentages, the predominant class and the 0-100 income index."""
     brackets = list(fv.INCOME.values())
     return _with(
-        _with(df, class_sums(brackets, fv.INCOME_CLASSES)),
+        _with_once(df, class_sums(brackets, fv.INCOME_CLASSES)),
         {
             "Predominant_Class": largest_label(list(fv.INCOME_CLASSES)),
             "Average": weighted_index(brackets, fv.INCOME_MIDPOINTS, fv.INCOME_SCALE),
@@ -43,17 +51,13 @@ def income_classes(df: DataFrame) -> DataFrame:
 
 def value_classes(df: DataFrame) -> DataFrame:
     """Low, middle and high house value percentages."""
-    return _with(df, class_sums(list(fv.HOUSING_VALUE.values()), fv.VALUE_CLASSES))
+    return _with_once(df, class_sums(list(fv.HOUSING_VALUE.values()), fv.VALUE_CLASSES))
 
 
 def top_industries(df: DataFrame) -> DataFrame:
-    """The three industries with most people.
-
-    The ranking is a generated column: as a plain expression the optimizer would copy
-    its sort into every later filter on one of the three ranks.
-    """
+    """The three industries with most people; their ranking is sorted once per row."""
     labels = list(fv.INDUSTRY.values())
-    ranked = df.selectExpr("*", f"explode(array({ranked_labels(labels)})) AS ranked")
+    ranked = _with_once(df, {"ranked": ranked_labels(labels)})
     names = {out: nth_label("ranked", rank) for rank, out in enumerate(fv.TOP_INDUSTRIES)}
     return _with(ranked, names).drop("ranked")
 
