@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from areaweave.plans import entries  # noqa: E402
+from areaweave.session import build_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -30,17 +31,9 @@ HEADLINE = [
 
 
 def session() -> SparkSession:
-    builder = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .appName("areaweave-bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    spark = build_session(
+        "areaweave-bench", f"local[{CPUS}]", int(CPUS), spark__driver__memory="16g"
     )
-    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -2,25 +2,22 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from areaweave.session import build_session  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    builder = (
-        SparkSession.builder.master("local[8]")
-        .appName("areaweave-tests")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "4g")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+    session = build_session(
+        "areaweave-tests",
+        "local[8]",
+        8,
+        spark__driver__memory="4g",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
-    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
