@@ -1,4 +1,8 @@
-"""Ordered results that come out the same on every run and every cluster."""
+"""Ordered results that come out the same on every run and every cluster.
+
+Sort keys are column names: "Rich" ascending with NULL first, "-Rich" descending with NULL
+last, as Spark orders by default.
+"""
 
 from __future__ import annotations
 
@@ -8,21 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def largest(column: str) -> Column:
-    """Descending, NULL last."""
-    return F.desc(column)
-
-
-def total_order(df: DataFrame, keys: Sequence[Column | str]) -> list[Column | str]:
-    """The requested keys (a bare name is ascending, NULL first), then every output
-    column, so that only equal rows tie."""
-    named = {key for key in keys if isinstance(key, str)}
-    return [*keys, *(f"`{c}`" for c in df.columns if c not in named)]
+def total_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The requested keys, then every other column, so that only equal rows tie."""
+    named = {key.removeprefix("-") for key in keys}
+    requested = [F.desc(key[1:]) if key.startswith("-") else F.asc(key) for key in keys]
+    return [*requested, *(F.asc(c) for c in df.columns if c not in named)]
 
 
-def top_k(
-    df: DataFrame, n: int, *keys: Column | str, keep: Sequence[str] | None = None
-) -> DataFrame:
+def top_k(df: DataFrame, n: int, *keys: str, keep: Sequence[str] | None = None) -> DataFrame:
     """First `n` rows by `keys`, returning only the columns in `keep` if given.
 
     Plans as TakeOrderedAndProject: each task keeps n rows, only those reach the last
@@ -32,7 +29,7 @@ def top_k(
     return best.select(*keep) if keep else best
 
 
-def sorted_rows(df: DataFrame, *keys: Column | str) -> DataFrame:
+def sorted_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Whole result in order. The tie columns also let the range exchange split a key
     that many rows share (a third of all schools in one state, say) over many tasks."""
     return df.orderBy(*total_order(df, keys))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from areaweave import fixed_values as fv
 from areaweave.functions.totals import steady_avg, steady_sum
 from areaweave.operators.joins import outer_join, with_parent
-from areaweave.operators.ranking import largest, sorted_rows, top_k
+from areaweave.operators.ranking import sorted_rows, top_k
 
 CLASSES_ABOVE = ["Rich", "Upper_Middle", "Middle"]
 INDUSTRIES = fv.TOP_INDUSTRIES
@@ -279,8 +279,8 @@ def built_and_value(built: DataFrame, value: DataFrame) -> DataFrame:
 
 def best(df: DataFrame, rows: int, *columns: str) -> DataFrame:
     """Largest first."""
-    return top_k(df, rows, *(largest(c) for c in columns))
+    return top_k(df, rows, *(f"-{c}" for c in columns))
 
 
 def in_order(df: DataFrame, column: str) -> DataFrame:
-    return sorted_rows(df, largest(column))
+    return sorted_rows(df, f"-{column}")

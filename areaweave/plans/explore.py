@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areaweave import fixed_values as fv
-from areaweave.operators.ranking import largest, sorted_rows, top_k
+from areaweave.operators.ranking import sorted_rows, top_k
 
 
 @dataclass(frozen=True)
@@ -89,7 +89,7 @@ def ranked(source: DataFrame, spec: Ranking) -> DataFrame:
     if spec.distinct:
         rows = rows.distinct()
     order = [
-        largest(key) if descending else key
+        f"-{key}" if descending else key
         for key, (_, descending) in zip(keys or ["NAME"], spec.order, strict=True)
     ]
     return top_k(rows, spec.rows, *order, keep=list(shown))
