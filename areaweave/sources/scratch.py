@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="areaweave-")
+def named_root(spark: SparkSession) -> str | None:
+    """The folder the session or its context names, if any."""
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    return named or spark.sparkContext.getCheckpointDir()
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; only a local session without it falls back to a temp folder,
-    since on a cluster executors could not see one another's files there."""
-    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_root()
-    raise RuntimeError(f"set {_SETTING} to a folder all executors share")
+    """`spark.checkpoint.dir`. There is no default: on a cluster executors could not see one
+    another's files in a folder of their own."""
+    named = named_root(spark)
+    if not named:
+        raise RuntimeError(f"set {_SETTING} to a folder all executors share")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         8,
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('scratch')}",
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
