@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from areaweave.llm import urls
+from areaweave.llm import packing, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op7_token_counts": tokens.op7_token_counts,
     "op10_url_filters": urls.op10_url_filters,
 }
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +12,7 @@ from areaweave.sources.scratch import scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return visible(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -27,3 +29,14 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
     while wanted.lower() in low:
         wanted = "_" + wanted
     return wanted
+
+
+def visible(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package from where the driver has it. On a
+    cluster it is installed on the executors or given with `--py-files`."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        joined = os.pathsep.join([root, *filter(None, paths)])
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+    return spark
