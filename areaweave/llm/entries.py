@@ -6,14 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from areaweave.llm import packing, tokens, urls
+from areaweave.llm import (
+    embeddings, html_text, neighbours, packing, pieces, simhash, substrings, tokens, toxicity, urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": embeddings.op1_embedding_near_dedup,
+    "op2_sentencepiece": pieces.op2_sentencepiece,
+    "op3_simhash_near_dedup": simhash.op3_simhash_near_dedup,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
+    "op6_nearest_neighbours": neighbours.op6_nearest_neighbours,
     "op7_token_counts": tokens.op7_token_counts,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
+    "op9_html_extraction": html_text.op9_html_extraction,
     "op10_url_filters": urls.op10_url_filters,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": embeddings.OP1_SQL,
+    "op8_substring_dedup": substrings.OP8_SQL,
     "op10_url_filters": urls.OP10_SQL,
 }

@@ -29,7 +29,7 @@ EVERY = 50
 SHARD = 4096
 DEGREE = 32
 BUILD_BEAM = 64
-BEAM = 256
+BEAM = 128
 ALPHA = 1.2
 BATCH = 512
 

@@ -1,12 +1,72 @@
-"""Stages from raw documents to packed sequences; filled in with the operators."""
+"""From raw documents to packed sequences: toxic documents go, then near copies, then repeated
+passages; what is left is packed.
+
+Every stage takes (spark, documents, folder of tables) and returns documents, the last one packed
+pieces. A stage's rows are written to the shared scratch folder and read again by the next.
+
+Rows with a NULL `doc_id` stay in the corpus: they have no number to be compared by. Rows that
+repeat a `doc_id` are versions of one document, of which near-dedup keeps one. Extra columns are
+carried along. Empty tables give empty results.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from areaweave.llm import packing, simhash, substrings, toxicity
+from areaweave.llm.work import stored, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half; the tagger learns from labels of the kept folds."""
+    model = toxicity.learnt(docs, table(spark, sf_dir, "labels"))
+    named = docs.withColumnsRenamed({c: f"doc.{c}" for c in docs.columns})
+    scored = toxicity.score_toxicity(named, model, "doc.text")
+    return scored.where("score < 0.5").select(*[
+        F.col(f"`doc.{c}`").alias(c) for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest number."""
+    groups = simhash.simhash_groups(docs)
+    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages are cut; a document of which nothing is left goes. Texts without a
+    repeat stay as they are, line breaks included."""
+    named = docs.withColumnsRenamed({c: f"doc.{c}" for c in docs.columns})
+    cut = substrings.substring_dedup(named, "doc.doc_id", "doc.text")
+    changed = F.col("n_removed") > 0
+    return cut.where(~changed | (F.col("kept_text") != "")).select(*[
+        F.when(changed, F.col("kept_text")).otherwise(F.col("`doc.text`")).alias(c)
+        if c == "text" else
+        F.when(changed, F.length("kept_text")).otherwise(F.col("`doc.n_chars`"))
+        .cast(docs.schema[c].dataType).alias(c)
+        if c == "n_chars" else F.col(f"`doc.{c}`").alias(c) for c in docs.columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_copies),
+    ("substring_dedup", drop_repeats),
+    ("best_fit_packing", pack),
+]
 
-STAGES = []
+# Trained scores, 64-bit hashes and a tokenizer cannot be written as SQL; the tests compare the
+# stages with plain versions instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return docs
