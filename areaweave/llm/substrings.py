@@ -123,11 +123,18 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, row = codes[order], row[order]
         # Shared within the batch: known for all its rows. The smallest still stands for the
         # batch, since rows elsewhere may have the same anchor.
-        nothing = np.zeros(int(smallest.sum()), np.int64)
-        yield _found(batch, codes[smallest], nothing, row[smallest], nothing,
+        one = _in_row_order(smallest, row)
+        nothing = np.zeros(len(one), np.int64)
+        yield _found(batch, codes[one], nothing, row[one], nothing,
                      _by_row(row[several], codes[several]))
 
 
+def _in_row_order(chosen: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The chosen places, those of a row together: a shuffle compresses its repeated key well."""
+    at = np.flatnonzero(chosen)
+    return at[np.argsort(row[at], kind="stable")]
+
+
 def _keys(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(0).to_numpy(zero_copy_only=False)
 
@@ -155,7 +162,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h1, h2 = (words.hashes(at, WINDOW, odd) for odd in _ODD)
         order, smallest, _ = _settle([h1, h2], _keys(batch)[row])
         row, place, h1, h2 = row[order], place[order], h1[order], h2[order]
-        yield _found(batch, h1[smallest], h2[smallest], row[smallest], place[smallest],
+        one = _in_row_order(smallest, row)
+        yield _found(batch, h1[one], h2[one], row[one], place[one],
                      _by_row(row[~smallest], place[~smallest]))
 
 
@@ -185,42 +193,49 @@ def _stripped(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
         "n_removed": [r[2] for r in rows]})
 
 
-def repeated_windows(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """Per key and text_hash (rows with equal keys may differ): `starts`, the places of the
-    windows to remove. Keys are whole numbers."""
-    named = texts.select(F.col(key).cast("bigint").alias("key"),
-                         F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
-                         ).where("key IS NOT NULL")
-    row = ["key", "text_hash"]
+def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFrame:
+    """`mark`: a column with the hash of the text. Per key and mark (rows with equal keys may
+    differ): `starts`, the places of the windows to remove. Keys are whole numbers."""
+    row = [F.col(f"`{key}`"), F.col(f"`{mark}`")]
+    named = texts.select(row[0].cast("bigint"), row[1], F.col(f"`{text}`"))
     several = F.count(F.lit(1)).over(Window.partitionBy("h1"))
     # A hash with rows of several batches is shared, and so is what a batch settled.
     anchors = named.mapInArrow(_anchor_rows, _FOUND).withColumn("several", several).where(
         "several > 1 OR settled IS NOT NULL")
-    shared = anchors.groupBy(*row).agg(F.flatten(F.collect_list(
+    shared = anchors.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array("h1")))).alias("shared"))
     least = F.min("key").over(Window.partitionBy("h1", "h2"))
-    windows = named.join(shared, row).select(*row, "text", "shared").mapInArrow(
-        _window_rows, _FOUND).withColumn("least", least).where(
-        "settled IS NOT NULL OR least < key")
-    return windows.groupBy(*row).agg(F.flatten(F.collect_list(
+    windows = texts.join(shared, (row[0] == F.col("key")) & (row[1] == F.col("text_hash"))
+                         ).select(row[0].cast("bigint"), row[1], F.col(f"`{text}`"), "shared"
+                                  ).mapInArrow(_window_rows, _FOUND).withColumn(
+        "least", least).where("settled IS NOT NULL OR least < key")
+    return windows.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array(F.col("place").cast("bigint"))))).alias("starts"))
 
 
 def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `texts` with `kept_text`, `n_words` and `n_removed`."""
+    """The rows of `texts` with `kept_text`, `n_words` and `n_removed`.
+
+    The texts themselves are shuffled once: both joins deal them by key and hash, and Spark uses
+    the first exchange again where no further columns are carried along."""
     taken = ("kept_text", "n_words", "n_removed")
     kept = [c for c in texts.columns if c in (key, text) or c.lower() not in taken]
-    whole = texts.select(*[F.col(f"`{c}`") for c in kept])
-    found = repeated_windows(texts, key, text)
-    own, mark, starts = (free_name(kept, n) for n in ("window_key", "window_hash", "starts"))
-    joined = whole.join(
-        found.select(F.col("key").alias(own), F.col("text_hash").alias(mark),
+    mark, result = free_name(kept, "text_mark"), free_name(kept, "result")
+    whole = texts.select(*[F.col(f"`{c}`") for c in kept],
+                         F.xxhash64(F.col(f"`{text}`")).alias(mark))
+    keyed = whole.where(F.col(f"`{key}`").isNotNull())
+    found = repeated_windows(keyed, key, text, mark)
+    own, hashed, starts = (free_name([*kept, mark], n) for n in ("own", "hashed", "starts"))
+    joined = keyed.join(
+        found.select(F.col("key").alias(own), F.col("text_hash").alias(hashed),
                      F.col("starts").alias(starts)),
-        (F.col(f"`{key}`").cast("bigint") == F.col(own))
-        & (F.xxhash64(F.col(f"`{text}`")) == F.col(mark)), "left")
-    result = free_name(kept, "result")
+        (F.col(f"`{key}`") == F.col(own)) & (F.col(mark) == F.col(hashed)), "left")
+    nameless = whole.where(F.col(f"`{key}`").isNull()).withColumn(
+        starts, F.lit(None).cast("array<bigint>"))
+    columns = [F.col(f"`{c}`") for c in (*kept, starts)]
     strip = F.pandas_udf(_stripped, _STRIPPED)
-    done = joined.withColumn(result, strip(F.col(f"`{text}`"), F.col(starts)))
+    done = joined.select(*columns).union(nameless.select(*columns)).withColumn(
+        result, strip(F.col(f"`{text}`"), F.col(starts)))
     return done.select(*[F.col(f"`{c}`") for c in kept],
                        F.col(result)["kept"].alias("kept_text"),
                        F.col(result)["n_words"].alias("n_words"),
