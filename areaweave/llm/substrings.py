@@ -197,7 +197,9 @@ def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFr
     """`mark`: a column with the hash of the text. Per key and mark (rows with equal keys may
     differ): `starts`, the places of the windows to remove. Keys are whole numbers."""
     row = [F.col(f"`{key}`"), F.col(f"`{mark}`")]
-    named = texts.select(row[0].cast("bigint"), row[1], F.col(f"`{text}`"))
+    given = [row[0].cast("bigint").alias("key"), row[1].alias("text_hash"),
+             F.col(f"`{text}`").alias("text")]
+    named = texts.select(*given)
     several = F.count(F.lit(1)).over(Window.partitionBy("h1"))
     # A hash with rows of several batches is shared, and so is what a batch settled.
     anchors = named.mapInArrow(_anchor_rows, _FOUND).withColumn("several", several).where(
@@ -206,9 +208,9 @@ def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFr
         F.coalesce("settled", F.array("h1")))).alias("shared"))
     least = F.min("key").over(Window.partitionBy("h1", "h2"))
     windows = texts.join(shared, (row[0] == F.col("key")) & (row[1] == F.col("text_hash"))
-                         ).select(row[0].cast("bigint"), row[1], F.col(f"`{text}`"), "shared"
-                                  ).mapInArrow(_window_rows, _FOUND).withColumn(
-        "least", least).where("settled IS NOT NULL OR least < key")
+                         ).select(*given, "shared").mapInArrow(
+        _window_rows, _FOUND).withColumn("least", least).where(
+        "settled IS NOT NULL OR least < key")
     return windows.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array(F.col("place").cast("bigint"))))).alias("starts"))
 

@@ -21,10 +21,10 @@ from areaweave.llm.work import stored, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half; the tagger learns from labels of the kept folds."""
     model = toxicity.learnt(docs, table(spark, sf_dir, "labels"))
-    named = docs.withColumnsRenamed({c: f"doc.{c}" for c in docs.columns})
-    scored = toxicity.score_toxicity(named, model, "doc.text")
+    named = docs.withColumnsRenamed({c: f"doc__{c}" for c in docs.columns})
+    scored = toxicity.score_toxicity(named, model, "doc__text")
     return scored.where("score < 0.5").select(*[
-        F.col(f"`doc.{c}`").alias(c) for c in docs.columns])
+        F.col(f"`doc__{c}`").alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +38,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut; a document of which nothing is left goes. Texts without a
     repeat stay as they are, line breaks included."""
-    named = docs.withColumnsRenamed({c: f"doc.{c}" for c in docs.columns})
-    cut = substrings.substring_dedup(named, "doc.doc_id", "doc.text")
+    named = docs.withColumnsRenamed({c: f"doc__{c}" for c in docs.columns})
+    cut = substrings.substring_dedup(named, "doc__doc_id", "doc__text")
     changed = F.col("n_removed") > 0
     return cut.where(~changed | (F.col("kept_text") != "")).select(*[
-        F.when(changed, F.col("kept_text")).otherwise(F.col("`doc.text`")).alias(c)
+        F.when(changed, F.col("kept_text")).otherwise(F.col("doc__text")).alias(c)
         if c == "text" else
-        F.when(changed, F.length("kept_text")).otherwise(F.col("`doc.n_chars`"))
+        F.when(changed, F.length("kept_text")).otherwise(F.col("doc__n_chars"))
         .cast(docs.schema[c].dataType).alias(c)
-        if c == "n_chars" else F.col(f"`doc.{c}`").alias(c) for c in docs.columns])
+        if c == "n_chars" else F.col(f"`doc__{c}`").alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
