@@ -29,7 +29,7 @@ from areaweave.llm.work import table
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BATCH_BYTES = 1 << 20
 """Text that is held as units at one time."""
-CACHED_UNITS = 300_000
+CACHED_UNITS = 1_000_000
 """Units a Python worker remembers; memory only, results do not depend on it."""
 LONG_UNIT = 4096
 
