@@ -34,11 +34,12 @@ def _slot_text(key: str, columns: list[str]) -> str:
     )
 
 
-def _null_slotted(df: DataFrame, key: str, name: str = _SLOT) -> DataFrame:
-    """Adds a slot: 0 for a real key; NULL keys get one of many slots from a hash of the
-    row, so that rows no join partner can exist for do not all meet in one task. The hash
-    is deterministic, hence safe when a lost task is run again."""
-    return df.selectExpr("*", f"{_slot_text(key, df.columns)} AS {name}")
+def _named(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(f"`{key}`").isNotNull())
+
+
+def _nameless(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(f"`{key}`").isNull())
 
 
 def outer_join(
@@ -46,13 +47,16 @@ def outer_join(
 ) -> DataFrame:
     """Left or full outer join on two differently named keys; both keys stay in the result.
 
-    For sides with at most a few rows per key (area tables). NULL keys never match and
-    are spread over the cluster.
+    For sides with at most a few rows per key (area tables). Only rows with a key are
+    shuffled, on the key alone, so tables bucketed by it are joined where they lie. Rows
+    with a NULL key never match and pass by in a union, in the tasks that read them.
     """
-    a = _null_slotted(left, left_key)
-    b = _null_slotted(right, right_key, _SLOT + "_r")
-    same = F.expr(f"`{left_key}` = `{right_key}` AND {_SLOT} = {_SLOT}_r")
-    return a.join(b, same, how).drop(_SLOT, _SLOT + "_r")
+    same = F.col(f"`{left_key}`") == F.col(f"`{right_key}`")
+    met = _named(left, left_key).join(_named(right, right_key), same, how)
+    out = met.unionByName(_nameless(left, left_key), allowMissingColumns=True)
+    if how.startswith("full"):
+        out = out.unionByName(_nameless(right, right_key), allowMissingColumns=True)
+    return out
 
 
 def frequent_keys(
@@ -62,6 +66,8 @@ def frequent_keys(
     the table's size. Keys of fewer than `rows` rows are no burden and left out. Counted
     exactly, after map-side combining, so a rerun of a lost task agrees."""
     counts = df.where(f"{key} IS NOT NULL").groupBy(key).agg(F.expr("count(*) AS __n"))
+    if share <= 0:
+        raise ValueError("share bounds the number of keys and must be above 0")
     total = counts.agg(F.expr("sum(__n)")).scalar()
     return counts.where(f"__n >= {rows}").where(F.expr("__n") > total * share).select(key)
 
@@ -112,19 +118,20 @@ def split_left_join(
 
 def left_join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """`left LEFT JOIN right USING (key)` where the right side has one row per key."""
-    own = [c for c in left.columns if c != key]
-    others = [c for c in right.columns if c != key]
-    slotted = right.selectExpr("*", f"{_no_slot(key)} AS {_SLOT}")
-    return _null_slotted(left, key).join(slotted, [key, _SLOT], "left").select(key, *own, *others)
+    columns = [key, *(c for c in (*left.columns, *right.columns) if c != key)]
+    met = _named(left, key).join(right, key, "left").select(*[F.col(f"`{c}`") for c in columns])
+    return met.unionByName(_nameless(left, key), allowMissingColumns=True)
 
 
 def without_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key is NULL or not among the parent's keys (an anti join).
 
-    The parent is reduced to its distinct keys before it is shuffled.
+    The parent is reduced to its distinct keys before it is shuffled; rows without a key are
+    never among them and pass by.
     """
-    keys = parent.select(key).distinct().selectExpr(key, f"{_no_slot(key)} AS {_SLOT}")
-    return _null_slotted(child, key).join(keys, [key, _SLOT], "left_anti").select(*child.columns)
+    keys = parent.select(F.col(f"`{key}`")).distinct()
+    lone = _named(child, key).join(keys, key, "left_anti")
+    return lone.select(*[F.col(f"`{c}`") for c in child.columns]).union(_nameless(child, key))
 
 
 def with_parent(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

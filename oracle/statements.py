@@ -387,7 +387,9 @@ def _top(body: str, columns: Columns, n: int, *first: str) -> str:
 
 
 def _dsum(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(18, 6))) AS DOUBLE)"
+    exact = f"TRY_CAST({c} AS DECIMAL(18, 6))"
+    uncut = f"coalesce(CAST({exact} AS DOUBLE) = {c}, {c} IS NULL)"
+    return f"CASE WHEN bool_and({uncut}) THEN CAST(sum({exact}) AS DOUBLE) ELSE sum({c}) END"
 
 
 def _davg(c: str) -> str:

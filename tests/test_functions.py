@@ -2,9 +2,10 @@
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from areaweave import fixed_values as fv
-from areaweave.functions import classes, cleaning
+from areaweave.functions import classes, cleaning, totals
 from areaweave.plans.row_jobs import ROW_JOBS, income_classes, top_industries, transform, value_classes
 
 
@@ -126,3 +127,16 @@ def test_filter_on_ranks_does_not_copy_the_sort(spark):
     df = industries(spark, {"Retail": 3}).where(" AND ".join(f"{c} <> ''" for c in fv.TOP_INDUSTRIES))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sort_array") == 1
+
+
+def test_totals_are_not_cut(spark):
+    rows = [("small", 1e-7), ("small", 3e-7), ("large", 1e13), ("large", 3e13), ("few", 0.1),
+            ("few", 0.2), ("few", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: (r.s, r.m) for r in df.groupBy("g").agg(
+        F.expr(f"{totals.steady_sum('x')} AS s"), F.expr(f"{totals.steady_avg('x')} AS m")
+    ).collect()}
+    assert got["small"] == (1e-7 + 3e-7, (1e-7 + 3e-7) / 2)
+    assert got["large"] == (4e13, 2e13)
+    assert got["few"] == (0.3, 0.15)
+    assert got["none"][0] is None

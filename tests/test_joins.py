@@ -38,7 +38,7 @@ def test_split_left_join_equals_plain_join(spark, options):
 @given(
     left=st.lists(st.tuples(st.sampled_from("abcd") | st.none(), st.integers(0, 3)), max_size=12),
     right=st.lists(st.tuples(st.sampled_from("abce") | st.none(), st.integers(0, 3)), max_size=25),
-    share=st.sampled_from([0.0, 0.2, 0.5]),
+    share=st.sampled_from([0.01, 0.2, 0.5]),
 )
 def test_split_left_join_on_any_rows(spark, left, right, share):
     a = spark.createDataFrame(left, "k STRING, l INT")
@@ -51,7 +51,7 @@ def test_frequent_keys_are_bounded_and_exact(spark):
     _, right = sides(spark)
     assert [r.k for r in joins.frequent_keys(right, "k", 0.05, 2).collect()] == ["hot"]
     assert joins.frequent_keys(right, "k").count() == 0
-    assert joins.frequent_keys(right, "k", 0.0, 1).count() == 152
+    assert joins.frequent_keys(right, "k", 0.0001, 1).count() == 152
 
 
 @pytest.mark.parametrize("how", ["left", "full"])
@@ -141,3 +141,9 @@ def test_reports_neither_cross_join_nor_sort_a_whole_table_for_a_cut(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         if name in ("x02", "j01", "a07", "a09"):
             assert "TakeOrderedAndProject" in plan, name
+
+
+def test_share_bounds_the_broadcast(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError):
+        joins.split_left_join(df, df, "k", share=0)
