@@ -15,11 +15,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return visible(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back: cuts the lineage, and what
     was computed survives the loss of any executor."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -103,22 +103,49 @@ def test_embeddings_on_a_grid(spark, monkeypatch):
 # --- 2 -------------------------------------------------------------------------------------
 
 
-def test_pieces_as_the_library(spark, docs):
+def test_pieces_as_the_library(spark, docs, monkeypatch):
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     rows = [(r.doc_id, r.text) for r in docs[:30]]
     rows += [(900, None), (901, ""), (902, " "), (903, "  a  b "), (904, "日本 😀\x00x\n\n y"),
-             (905, "q" * 90 + " z"), (906, "▁▁ x"), (None, "hello"), (None, "hello")]
+             (905, "q" * 90 + " z"), (907, "a" * 62 + " " + "b" * 63),
+             (908, " " * 100 + "x" + " " * 200), (909, "x1y2.z\n" * 20), (906, "▁▁ x"), (None, "hello"), (None, "hello")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, ids int")
-    found = pieces.encode_texts(df).withColumn("back", pieces.decode("ids")).collect()
-    assert len(found) == len(rows)
+    monkeypatch.setattr(pieces, "BLOCK", 5000)
+    found = pieces.encode_texts(df).withColumn("back", pieces.decode("ids")).withColumn(
+        "same", F.xxhash64("back") == F.col("text_hash")).collect()
+    expected = [(key, library.encode(text or "")) for key, text in rows]
+    assert sorted(((r.doc_id, list(r.ids)) for r in found), key=repr) == sorted(expected, key=repr)
     for row in found:
-        assert list(row.ids) == library.encode(row.text or "")
+        assert row.same
         assert row.back == library.decode(list(row.ids))
     assert pieces.encode_texts(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("part", ["q" * 70, "x" + "a" * 80, "▁" * 70, "▁" * 70 + "a", "▁" + "q" * 70])
+def test_long_parts(part):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    # A line break is in no piece, so what follows it is encoded for itself.
+    text = "a\n" + part.replace("▁", " ")
+    assert library.encode(text) == library.encode("a\n") + pieces._library_ids(library, part, True)
+
+
+def test_pieces_are_their_own_encoding():
+    """What the single pass over the edges rests on."""
+    scores = {piece: score for piece, _, score in pieces.read_model(pieces.MODEL).usable}
+    for piece in scores:
+        symbols = list(piece)
+        while len(symbols) > 1:
+            ways = [(-scores[a + b], i) for i, (a, b) in enumerate(itertools.pairwise(symbols))
+                    if a + b in scores]
+            assert ways, piece
+            at = min(ways)[1]
+            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+
+
 def test_viterbi(spark):
     table = [("a", 0, -1.0), ("b", 1, -1.5), ("ab", 2, -2.0), ("ba", 3, -2.2),
              ("aba", 4, -2.4), ("bb", 5, -9.0)]
