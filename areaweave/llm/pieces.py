@@ -119,13 +119,11 @@ def _unknown_ids(char: Column, pieces: Pieces) -> Column:
 
 def lattices(words: DataFrame, table_: DataFrame, pieces: Pieces) -> DataFrame:
     """`words`: distinct `word`s. Adds `edges`: start, end, score and ids of each substring that
-    is a piece, and of each character that is none. A word longer than `LATTICE` gets one edge. The piece table is the model's, of a size
+    is a piece, and of each character that is none. The piece table is the model's, of a size
     that does not depend on the texts, and is broadcast."""
     size = F.length("word")
-    last = F.when(size <= LATTICE, size - 1).otherwise(0)
-    spans = words.withColumn("s", F.explode(F.sequence(F.lit(0), last))).withColumn(
-        "e", F.explode(F.sequence(
-            F.col("s") + 1, F.least(last + 1, F.col("s") + pieces.longest))))
+    spans = words.withColumn("s", F.explode(F.sequence(F.lit(0), size - 1))).withColumn(
+        "e", F.explode(F.sequence(F.col("s") + 1, F.least(size, F.col("s") + pieces.longest))))
     cut = spans.withColumn("piece", F.expr("substring(word, s + 1, e - s)"))
     joined = cut.join(F.broadcast(table_), "piece", "left").where(
         F.col("id").isNotNull() | (F.col("e") - F.col("s") == 1))
@@ -190,27 +188,26 @@ def merged(edges: Column, length: Column) -> Column:
 
 
 def encode_words(words: DataFrame, model: str) -> DataFrame:
-    """Distinct `word`s with their `ids`."""
+    """Distinct `word`s of at most `LATTICE` characters with their `ids`."""
     pieces = read_model(model)
     known = words.sparkSession.createDataFrame(
         list(pieces.usable), "piece string, id int, score double")
     fold = viterbi if pieces.kind == UNIGRAM else merged
+    return lattices(words, known, pieces).select(
+        "word", fold(F.col("edges"), F.length("word")).alias("ids"))
 
-    def by_library(long_words: pd.Series) -> pd.Series:
+
+def encode_long(word: str, model: str) -> Column:
+    """The library's ids of the parts in a column."""
+    prefix = read_model(model).prefix
+
+    def run(words: pd.Series) -> pd.Series:
         import sentencepiece
 
-        found = pd.Series([None] * len(long_words), dtype=object)
-        at = np.flatnonzero(long_words.notna())
-        if len(at):
-            processor = sentencepiece.SentencePieceProcessor(model_file=model)
-            for i in at:
-                found[i] = _library_ids(processor, long_words[i], pieces.prefix)
-        return found
+        processor = sentencepiece.SentencePieceProcessor(model_file=model)
+        return pd.Series([_library_ids(processor, w, prefix) for w in words], dtype=object)
 
-    long_word = F.when(F.length("word") > LATTICE, F.col("word"))
-    folded = F.when(F.length("word") <= LATTICE, fold(F.col("edges"), F.length("word")))
-    return lattices(words, known, pieces).select("word", F.coalesce(
-        folded, F.pandas_udf(by_library, "array<int>")(long_word)).alias("ids"))
+    return F.pandas_udf(run, "array<int>")(word)
 
 
 def _library_ids(processor, part: str, prefix: bool) -> list[int]:
@@ -274,7 +271,8 @@ class _Block:
             pa.array([[names[i] for i in order]], pa.list_(pa.string())),
             pa.array([self.keys], pa.list_(key_type)),
             pa.array([self.hashes], pa.list_(pa.int64())),
-            pa.array([sizes], pa.list_(pa.int32())), pa.array([planes], pa.binary()),
+            pa.array([sizes], pa.list_(pa.int32())),
+            pa.array([pa.compress(planes, "zstd", asbytes=True)], pa.binary()),
         ], names=["block", "parts", "keys", "hashes", "sizes", "numbers"])
 
 
@@ -332,14 +330,16 @@ def _spelt_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(batch.num_rows):
             keys, hashes, sizes, planes, known = (column[at] for column in batch.columns)
-            numbers = np.frombuffer(planes.as_py(), np.uint8).reshape(4, -1).T.copy().view("<u4")
+            held = sizes.values.to_numpy()
+            plain = pa.decompress(planes.as_py(), 4 * int(held.sum(dtype=np.int64)), "zstd")
+            numbers = np.frombuffer(plain, np.uint8).reshape(4, -1).T.copy().view("<u4")
             if known.is_valid:
                 offsets = known.values.offsets.to_numpy().astype(np.int64)
                 flat = known.values.values.to_numpy()
             else:
                 offsets, flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
             ids, ends = _gathered(flat, offsets, numbers.ravel().astype(np.int64))
-            counts = _counts(sizes.values.to_numpy(), ends)
+            counts = _counts(held, ends)
             starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [keys.values, hashes.values, pa.ListArray.from_arrays(starts, pa.array(ids))],
@@ -354,9 +354,17 @@ def encode_texts(texts: DataFrame, key: str = "doc_id", text: str = "text",
     kind = texts.schema[key].dataType.simpleString()
     blocks = stored(blocks_of(texts, key, text, pieces), "blocks", compression="zstd")
     parts = blocks.select("block", F.posexplode("parts").alias("place", "word"))
-    ids = encode_words(parts.select("word").distinct(), model)
-    known = parts.join(ids, "word").groupBy("block").agg(
-        F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("found")).select(
+    # Dealt by part once: the distinct parts are taken from the rows they are joined back to. The
+    # same columns and filters on both sides let Spark use the exchange again.
+    dealt = parts.where((F.length("word") <= LATTICE) & F.col("block").isNotNull()
+                        ).repartition("word")
+    distinct = dealt.groupBy("word").agg(F.min(F.struct("block", "place")).alias("first")).where(
+        F.col("first").isNotNull())
+    ids = encode_words(distinct.select("word"), model)
+    rest = parts.where(F.length("word") > LATTICE).select(
+        "block", "place", encode_long("word", model).alias("ids"))
+    known = dealt.join(ids, "word").select("block", "place", "ids").union(rest).groupBy(
+        "block").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("found")).select(
         F.col("block").alias("own"),
         F.transform("found", lambda part: part["ids"]).alias("known"))
     whole = blocks.join(known, F.col("block") == F.col("own"), "left").select(
