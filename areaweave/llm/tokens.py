@@ -37,6 +37,7 @@ LONG_UNIT = 4096
 _RUN = re.compile(r"\s ")
 _UNITS = re.compile(r"\s*\S+|\s+\Z")
 _LETTER_DIGIT = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+_MARK = "\0"
 
 
 @lru_cache(maxsize=4)
@@ -69,9 +70,11 @@ def units(text: str) -> list[str]:
     """Pieces of the text whose ids, one after the other, are the ids of the text."""
     if _RUN.search(text):
         pieces = _UNITS.findall(text)
-    else:
+    elif _MARK in text:
         first, *rest = text.split(" ")
         pieces = [first, *[" " + piece for piece in rest]]
+    else:
+        pieces = text.replace(" ", _MARK + " ").split(_MARK)
     if len(text) > LONG_UNIT and len(max(pieces, key=len, default="")) > LONG_UNIT:
         pieces = [p for piece in pieces
                   for p in (_LETTER_DIGIT.split(piece) if len(piece) > LONG_UNIT else [piece])]
@@ -89,14 +92,19 @@ class UnitEncoder:
         return units(text) if cuts_at_blanks(self.path) else [text]
 
     def look_up(self, pieces: list[str]) -> list:
-        missing = list(set(pieces).difference(self.kept))
-        if missing:
-            if len(self.kept) + len(missing) > CACHED_UNITS:
-                self.kept.clear()
-                missing = list(set(pieces))
-            found = load(self.path).encode_batch_fast(missing, add_special_tokens=False)
-            self.kept.update(zip(missing, map(self.measure, found), strict=True))
-        return list(map(self.kept.__getitem__, pieces))
+        found = list(map(self.kept.get, pieces))
+        if None not in found:
+            return found
+        at = [i for i, value in enumerate(found) if value is None]
+        missing = list({pieces[i] for i in at})
+        encoded = load(self.path).encode_batch_fast(missing, add_special_tokens=False)
+        new = dict(zip(missing, map(self.measure, encoded), strict=True))
+        if len(self.kept) + len(new) > CACHED_UNITS:
+            self.kept.clear()
+        self.kept.update(new)
+        for i in at:
+            found[i] = new[pieces[i]]
+        return found
 
 
 def packed_ids(encoding) -> bytes:
