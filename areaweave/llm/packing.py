@@ -52,7 +52,7 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces_of(batch: pa.RecordBatch, vocabulary: str, end: int, capacity: int):
-    encode = tokens.encoder(vocabulary, tokens.packed_ids)
+    encode = tokens.encoder(vocabulary, bytes)
     rows: list[list] = [[], [], [], [], []]
     closing = np.uint32(end).tobytes()
     texts = ((value.as_py() or "") for value in batch.column(1))

@@ -32,12 +32,15 @@ BATCH_BYTES = 1 << 20
 CACHED_UNITS = 1_000_000
 """Units a Python worker remembers; memory only, results do not depend on it."""
 LONG_UNIT = 4096
+JOINED = 512
+"""Units encoded as one text."""
 
 # White space before a blank: the pre-tokenizer treats such a run as a whole.
 _RUN = re.compile(r"\s ")
 _UNITS = re.compile(r"\s*\S+|\s+\Z")
 _LETTER_DIGIT = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 _MARK = "\0"
+_BLANK = "Ġ"
 
 
 @lru_cache(maxsize=4)
@@ -81,8 +84,38 @@ def units(text: str) -> list[str]:
     return pieces
 
 
+@lru_cache(maxsize=4)
+def starts_with_blank(path: str) -> np.ndarray:
+    """By id: whether its token starts with a blank, which byte-level tokens show by a letter."""
+    vocabulary = load(path).get_vocab(with_added_tokens=True)
+    starts = np.zeros(max(vocabulary.values()) + 1, bool)
+    starts[[number for token, number in vocabulary.items() if token.startswith(_BLANK)]] = True
+    return starts
+
+
+def encode_units(path: str, wanted: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Each unit with its ids. Units of a blank and a word are encoded many at a time: in their
+    ids one after the other, a token that starts with a blank starts a unit."""
+    alone, words = [], []
+    for unit in wanted:
+        is_word = unit[:1] == " " and not unit[1:2].isspace() and not unit[-1].isspace()
+        (words if is_word and cuts_at_blanks(path) else alone).append(unit)
+    for first in range(0, len(words), JOINED):
+        part = words[first:first + JOINED]
+        ids = packed_ids(load(path).encode("".join(part), add_special_tokens=False))
+        cuts = 4 * np.flatnonzero(starts_with_blank(path)[np.frombuffer(ids, np.uint32)])
+        if len(cuts) == len(part):
+            ends = cuts.tolist()
+            yield from ((unit, ids[a:b]) for unit, a, b in zip(
+                part, ends, [*ends[1:], len(ids)], strict=True))
+        else:
+            alone += part
+    encoded = load(path).encode_batch_fast(alone, add_special_tokens=False)
+    yield from zip(alone, map(packed_ids, encoded), strict=True)
+
+
 class UnitEncoder:
-    """Encodes units and keeps what `measure` makes of their ids."""
+    """Encodes units and keeps what `measure` makes of their ids, 4 bytes each."""
 
     def __init__(self, path: str, measure: Callable):
         self.path, self.measure = path, measure
@@ -97,8 +130,7 @@ class UnitEncoder:
             return found
         at = [i for i, value in enumerate(found) if value is None]
         missing = list({pieces[i] for i in at})
-        encoded = load(self.path).encode_batch_fast(missing, add_special_tokens=False)
-        new = dict(zip(missing, map(self.measure, encoded), strict=True))
+        new = {unit: self.measure(ids) for unit, ids in encode_units(self.path, missing)}
         if len(self.kept) + len(new) > CACHED_UNITS:
             self.kept.clear()
         self.kept.update(new)
@@ -113,6 +145,10 @@ def packed_ids(encoding) -> bytes:
     return ids.tobytes()
 
 
+def n_ids(ids: bytes) -> int:
+    return len(ids) // 4
+
+
 @lru_cache(maxsize=8)
 def encoder(path: str, measure: Callable) -> UnitEncoder:
     return UnitEncoder(path, measure)
@@ -143,7 +179,7 @@ def balanced(texts: Iterator[str], cut: Callable[[str], list[str]], limit: int):
 
 
 def _counts(batch: pa.RecordBatch, path: str) -> np.ndarray:
-    encode = encoder(path, len)
+    encode = encoder(path, n_ids)
     texts = ((value.as_py() or "") for value in batch.column(1))
     totals = np.zeros(batch.num_rows, np.int64)
     for group in balanced(texts, encode.units, BATCH_BYTES):

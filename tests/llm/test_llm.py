@@ -287,6 +287,20 @@ def test_units():
         assert cut == library_ids(text), text
 
 
+def test_units_joined(monkeypatch):
+    monkeypatch.setattr(tokens, "JOINED", 7)
+    rng = random.Random(2)
+    bits = [" ", "\n", "\t", "a", "The", "42", "'s", "!!", "<|endoftext|>", "Ġ", "é", "\u180e",
+            "\u3000", "\x85", "\x1c", "日本", "😀", "\xa0", "\0"]
+    wanted = {"".join(rng.choice([[], [" "]])) + "".join(
+        rng.choice(bits) for _ in range(rng.randint(0, 5))) for _ in range(2000)}
+    units = sorted({unit for text in wanted for unit in tokens.units(text)})
+    found = dict(tokens.encode_units(tokens.VOCABULARY, units))
+    assert set(found) == set(units)
+    for unit in units:
+        assert np.frombuffer(found[unit], np.uint32).tolist() == library_ids(unit), unit
+
+
 def test_token_counts(spark, docs, monkeypatch):
     rows = [(r.doc_id, r.text) for r in docs] + [(900 + i, t) for i, t in enumerate(ODD_TEXTS)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, n_bytes int")
