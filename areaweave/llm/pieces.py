@@ -358,8 +358,8 @@ def encode_texts(texts: DataFrame, key: str = "doc_id", text: str = "text",
     # same columns and filters on both sides let Spark use the exchange again.
     dealt = parts.where((F.length("word") <= LATTICE) & F.col("block").isNotNull()
                         ).repartition("word")
-    distinct = dealt.groupBy("word").agg(F.min(F.struct("block", "place")).alias("first")).where(
-        F.col("first").isNotNull())
+    distinct = dealt.groupBy("word").agg(F.min("block").alias("b"), F.min("place").alias("p")
+                                         ).where("b IS NOT NULL AND p IS NOT NULL")
     ids = encode_words(distinct.select("word"), model)
     rest = parts.where(F.length("word") > LATTICE).select(
         "block", "place", encode_long("word", model).alias("ids"))
