@@ -10,7 +10,8 @@ curve, fitted to the document labels, turns into a score; words with a marginal
 more are the offending spans.
 
 Fitting uses at most `TRAIN_TOXIC` + `TRAIN_CLEAN` labelled texts, taken by the hash of their key,
-of at most `TRAIN_CHARS` characters each; scoring reads every text whole.
+of at most `TRAIN_CHARS` characters each, and learns from every sequence of these; scoring reads
+every text whole.
 
 Defined results: a NULL text is empty; a text without words scores as its lack of cues says,
 near 0. Without labelled texts of both kinds the score is the share of toxic labels (0 without
@@ -46,6 +47,7 @@ BEGINNINGS = (3, 4, 5, 6)
 LENGTH = 64
 """Words in a sequence; a text is cut into sequences of this length."""
 STEPS = 100
+FIT_ROWS = 2048
 KEPT_WORDS = 300_000
 GROUP_WORDS = 500_000
 _WORD = re.compile(r"\w+")
@@ -107,26 +109,48 @@ def marginals(score: np.ndarray, there: np.ndarray, chain: np.ndarray) -> tuple:
     return both[:, :, 1] * there, moves * there[:, :, None, None]
 
 
-def _sequences(words: list[str]) -> list[list[str]]:
-    return [words[i:i + LENGTH] for i in range(0, len(words), LENGTH)]
+def _lessons(split: list[list[str]], labels: list[int]) -> tuple:
+    """All sequences of the texts to learn from: the names of features, the numbers of each
+    word's features, which words are toxic, and how often each sequence stands. Sequences of
+    words without a feature differ by their length only, so each length of these is one row."""
+    found = cues(split, labels)
+    hits = [[bool(label) and not found.isdisjoint(features(w)) for w in words]
+            for words, label in zip(split, labels, strict=True)]
+    names = sorted({f for words, hit in zip(split, hits, strict=True)
+                    for w, h in zip(words, hit, strict=True) if h for f in features(w)})
+    place = {f: i for i, f in enumerate(names)}
+    told = {w: [place[f] for f in features(w) if f in place] for w in set().union(*split)}
+    sequences, marks, featureless = [], [], Counter()
+    for words, hit in zip(split, hits, strict=True):
+        for s in range(0, len(words), LENGTH):
+            part = [told[w] for w in words[s:s + LENGTH]]
+            if any(part):
+                sequences.append(part)
+                marks.append(hit[s:s + LENGTH])
+            else:
+                featureless[len(part)] += 1
+    times = np.array([1] * len(sequences) + list(featureless.values()), float)
+    sequences += [[[]] * n for n in featureless]
+    marks += [[False] * n for n in featureless]
+    return names, sequences, marks, times
+
+
+def _expected(score: np.ndarray, there: np.ndarray, chain: np.ndarray, times: np.ndarray) -> tuple:
+    """P(toxic) of each word, and the steps from i to j expected in all rows, each as often as
+    `times` says. Some rows at once, so that memory does not grow with their number."""
+    toxic, moves = np.zeros_like(score), np.zeros((2, 2))
+    for i in range(0, len(score), FIT_ROWS):
+        now = slice(i, i + FIT_ROWS)
+        toxic[now], steps = marginals(score[now], there[now], chain)
+        moves += np.einsum("r,rtij->ij", times[now], steps)
+    return toxic, moves
 
 
 def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> dict:
     """The model of labelled texts. `shares`: of all clean and toxic labels, the part that
     `texts` holds, which the logistic curve makes up for."""
     split = [_WORD.findall(text) for text in texts]
-    found = cues(split, labels)
-    sequences, marks = [], []
-    for words, label in zip(split, labels, strict=True):
-        for part in _sequences(words):
-            hit = [bool(label) and not found.isdisjoint(features(w)) for w in part]
-            # All sequences with toxic words, and every eighth of the others.
-            if any(hit) or len(sequences) % 2 == 0 and len(part) % 8 == 0:
-                sequences.append(part)
-                marks.append(hit)
-    names = sorted({f for part, hit in zip(sequences, marks, strict=True)
-                    for w, h in zip(part, hit, strict=True) if h for f in features(w)})
-    place = {f: i for i, f in enumerate(names)}
+    names, sequences, marks, times = _lessons(split, labels)
     rows = len(sequences)
     there = np.zeros((rows, LENGTH), bool)
     truth = np.zeros((rows, LENGTH))
@@ -134,25 +158,23 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> dic
     for i, (part, hit) in enumerate(zip(sequences, marks, strict=True)):
         there[i, :len(part)] = True
         truth[i, :len(part)] = hit
-        for t, word in enumerate(part):
-            for f in features(word):
-                if f in place:
-                    at.append(i * LENGTH + t)
-                    which.append(place[f])
+        for t, told in enumerate(part):
+            at.extend([i * LENGTH + t] * len(told))
+            which.extend(told)
     at, which = np.array(at, np.int64), np.array(which, np.int64)
     weight, bias, chain = np.zeros(len(names)), -8.0, np.zeros((2, 2))
     before = np.concatenate([np.zeros((rows, 1)), truth[:, :-1]], axis=1)
     moved = np.stack([np.stack([(1 - before) * (1 - truth), (1 - before) * truth], -1),
                       np.stack([before * (1 - truth), before * truth], -1)], -2)
-    wanted = (moved * there[:, :, None, None]).sum(axis=(0, 1)) if rows else chain
+    wanted = np.einsum("r,rtij->ij", times, moved * there[:, :, None, None])
     size = np.full(len(names), 1e-8), 1e-8, np.full((2, 2), 1e-8)
     for _ in range(STEPS if rows else 0):
         score = np.full(rows * LENGTH, bias)
         np.add.at(score, at, weight[which])
-        toxic, moves = marginals(score.reshape(rows, LENGTH), there, chain)
-        miss = ((truth - toxic) * there).ravel()
+        toxic, moves = _expected(score.reshape(rows, LENGTH), there, chain, times)
+        miss = ((truth - toxic) * there * times[:, None]).ravel()
         slope = (np.bincount(which, miss[at], len(names)) - 0.05 * weight,
-                 miss.sum(), wanted - moves.sum(axis=(0, 1)))
+                 miss.sum(), wanted - moves)
         size = tuple(s + g * g for s, g in zip(size, slope, strict=True))
         weight, bias, chain = (v + 0.7 * g / np.sqrt(s) for v, g, s in zip(
             (weight, bias, chain), slope, size, strict=True))

@@ -265,6 +265,21 @@ def test_toxic_spans():
     assert hit > clean and spans == [(4, 12)] and none == []
 
 
+def test_clean_texts_are_learnt(spark):
+    split = [["tau"] * 70, ["badge"] * 3, ["badword", "tau"] * 40]
+    *_, times = toxicity._lessons(split, [0, 0, 1])
+    assert times.sum() == 2 + 1 + 2
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+                    for name in ("documents", "labels"))
+    model = toxicity.learnt(docs, labels)
+    unseen = docs.join(labels.where(toxicity.held_out("doc_id")), "doc_id")
+    rows = toxicity.score_toxicity(unseen, model).collect()
+    toxic, clean = ([r for r in rows if r.toxic == v] for v in (1, 0))
+    assert sum(r.score >= 0.5 for r in toxic) >= 0.9 * len(toxic)
+    assert sum(r.score >= 0.5 for r in clean) <= 0.01 * len(clean)
+    assert sum(len(r.spans) > 0 for r in clean) <= 0.03 * len(clean)
+
+
 # --- 5 and 7 -------------------------------------------------------------------------------
 
 
