@@ -2,8 +2,10 @@
 
 Markup is stripped into lines, one per block of the page. Lines of menus, forms, adverts, notices
 and the like count no text. Over the lines a window of `WIDTH` slides and adds up text lengths:
-the sum surges where the article begins and dives to nothing where it ends. Of the stretches
-between such points the one with the most text is kept, all of its lines.
+the sum surges where the article begins and dives to nothing where it ends. A stretch between such
+points is kept, all of its lines, if its largest sum reaches `SURGE` of the page's largest. An
+`<article>` or `<main>` does not decide: its text weighs `ARTICLE` times as much, and where one
+begins or ends a stretch does so too.
 
 Defined results: a NULL or empty page, or one without text, gives an empty string. Broken markup
 (unclosed tags, a page cut off anywhere) is read as far as it goes. Repeated rows come back as
@@ -21,6 +23,10 @@ from pyspark.sql import functions as F
 from areaweave.llm.work import table
 
 WIDTH = 3
+SURGE = 0.2
+"""Share of the largest window sum of the page from which a stretch is kept."""
+ARTICLE = 1.5
+"""How much more text weighs within an article."""
 LINKED = 0.6
 """Share of link text from which a line outside an article is a menu."""
 
@@ -133,37 +139,31 @@ def lines(html: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def stretches(counts: list[int]) -> list[tuple[int, int]]:
-    """(first, end) between the points where the sums over windows surge from nothing and where
-    they dive to nothing again; lines that count nothing at either end are left out."""
+def _sums(counts: list[float]) -> list[float]:
     half = WIDTH // 2
-    sums = [sum(counts[max(0, i - half):i + half + 1]) for i in range(len(counts))]
+    return [sum(counts[max(0, i - half):i + half + 1]) for i in range(len(counts))]
+
+
+def stretches(counts: list[float], marked: list[bool]) -> list[tuple[int, int]]:
+    """(first, end) of the stretches that surge: lines between points where the sums over windows
+    are nothing or an article begins or ends, with a window of their own that sums up to `SURGE`
+    of the largest."""
     found, start = [], None
-    for i, total in enumerate([*sums, 0]):
-        if total and start is None:
-            start = i
-        elif not total and start is not None:
+    for i, total in enumerate([*_sums(counts), 0]):
+        if start is not None and (not total or marked[i] != marked[i - 1]):
             found.append((start, i))
             start = None
-    trimmed = []
-    for first, end in found:
-        full = [i for i in range(first, end) if counts[i]]
-        trimmed.append((full[0], full[-1] + 1))
-    return trimmed
+        if total and start is None:
+            start = i
+    peaks = [max(_sums(counts[first:end])) for first, end in found]
+    enough = SURGE * max(peaks, default=0)
+    return [s for s, peak in zip(found, peaks, strict=True) if peak and peak >= enough]
 
 
 def main_text(html: str | None) -> str:
     blocks = lines(html or "")
-    mass: dict[int, int] = {}
-    for _, article, count in blocks:
-        if article:
-            mass[article] = mass.get(article, 0) + count
-    best = max(mass, key=lambda a: mass[a]) if any(mass.values()) else 0
-    # Where the page marks its article, only that counts, over as many stretches as it has.
-    counts = [c if not best or article == best else 0 for _, article, c in blocks]
-    found = stretches(counts)
-    if found and not best:
-        found = [max(found, key=lambda s: sum(counts[s[0]:s[1]]))]
+    counts = [count * (ARTICLE if article else 1) for _, article, count in blocks]
+    found = stretches(counts, [article > 0 for _, article, _ in blocks])
     return "\n".join(blocks[i][0] for first, end in found for i in range(first, end) if counts[i])
 
 

@@ -461,6 +461,21 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = [" ".join([f"{w} goes on and on"] * 9) for w in ("This", "That", "Here", "There")]
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><p>{LONG[0]}</article><article><p>{LONG[1]}<p>Yes.</article>",
+     [LONG[0], LONG[1], "Yes."]),
+    (f"<p>{LONG[0]}</p><article><p>{LONG[1]}</p><p>{LONG[2]}</p></article><p>Call us.</p>",
+     LONG[:3]),
+    (f"<p>{LONG[0]}" + "<p><a>A menu</a>" * 3 + f"<p>Side.{'<p><a>B</a>' * 3}<p>{LONG[1]}",
+     LONG[:2]),
+], ids=["two articles", "text before an article", "menus between"])
+def test_text_surges(page, text):
+    assert html_text.main_text(page) == "\n".join(text)
+
+
 def test_extraction(spark):
     df = spark.createDataFrame([(i, p, "x") for i, (p, _) in enumerate(PAGES)],
                                "page_id int, html string, n_chars string")
