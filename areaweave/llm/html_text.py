@@ -1,11 +1,12 @@
 """HTML extraction by line-block distribution.
 
-Markup is stripped into lines, one per block of the page. Lines of menus, forms, adverts, notices
-and the like count no text. Over the lines a window of `WIDTH` slides and adds up text lengths:
-the sum surges where the article begins and dives to nothing where it ends. A stretch between such
-points is kept, all of its lines, if its largest sum reaches `SURGE` of the page's largest. An
-`<article>` or `<main>` does not decide: its text weighs `ARTICLE` times as much, and where one
-begins or ends a stretch does so too.
+Markup is stripped into lines, one per block of the page. Lines of navigation, forms, adverts,
+notices and the like are left out, so that they part nothing; other lines of links count no text.
+Over the lines a window of `WIDTH` slides and adds up text lengths: the sum surges where the
+article begins and dives to nothing where it ends. A stretch between such points is kept, all of
+its lines, if its largest sum reaches `SURGE` of the page's largest. An `<article>` or `<main>`
+does not decide: its text weighs `ARTICLE` times as much, and where one begins or ends a stretch
+does so too.
 
 Defined results: a NULL or empty page, or one without text, gives an empty string. Broken markup
 (unclosed tags, a page cut off anywhere) is read as far as it goes. Repeated rows come back as
@@ -77,7 +78,8 @@ def _is_noise(name: str, rest: str, in_article: bool) -> bool:
 
 
 def lines(html: str) -> list[tuple[str, int, int]]:
-    """(text, number of the article it stands in or 0, characters that count) per block."""
+    """(text, number of the article it stands in or 0, characters that count) per block of text
+    outside of noise."""
     out: list[tuple[str, int, int]] = []
     stack: list[tuple[str, bool, int]] = []  # element, noise, article
     parts: list[str] = []
@@ -88,10 +90,10 @@ def lines(html: str) -> list[tuple[str, int, int]]:
         text = " ".join(unescape("".join(parts)).split())
         noise = any(s[1] for s in stack)
         article = stack[-1][2] if stack else 0
-        if text or noise:
+        if text and not noise:
             menu = not article and linked > LINKED * len(text)
             rights = not article and _RIGHTS.match(text)
-            out.append((text, article, 0 if noise or menu or rights else len(text)))
+            out.append((text, article, 0 if menu or rights else len(text)))
         parts.clear()
         linked = 0
 

@@ -471,7 +471,11 @@ LONG = [" ".join([f"{w} goes on and on"] * 9) for w in ("This", "That", "Here",
      LONG[:3]),
     (f"<p>{LONG[0]}" + "<p><a>A menu</a>" * 3 + f"<p>Side.{'<p><a>B</a>' * 3}<p>{LONG[1]}",
      LONG[:2]),
-], ids=["two articles", "text before an article", "menus between"])
+    (f"<p>{LONG[0]}</p><p>{LONG[1]}</p><div class=ad><p>x</p><p>y</p></div><form><p>Mail<p>me"
+     f"</form><p>The end.</p>", [*LONG[:2], "The end."]),
+    ("<p>A</p><div class=ad><div><p>x</p></div><p>y</p></div><p>B</p>", ["A", "B"]),
+], ids=["two articles", "text before an article", "menus between", "noise between",
+        "nested advert"])
 def test_text_surges(page, text):
     assert html_text.main_text(page) == "\n".join(text)
 
