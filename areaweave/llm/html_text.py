@@ -8,6 +8,11 @@ its lines, if its largest sum reaches `SURGE` of the page's largest. An `<articl
 does not decide: its text weighs `ARTICLE` times as much, and where one begins or ends a stretch
 does so too.
 
+A noise word in a class, id or role does not silence what wraps the page's text: an element that
+holds an article, or, where no article stands elsewhere, more than half of the text. Adverts,
+reader comments and cookie notices (`BESIDE`) can be longer than the text, so for these only an
+article counts.
+
 Defined results: a NULL or empty page, or one without text, gives an empty string. Broken markup
 (unclosed tags, a page cut off anywhere) is read as far as it goes. Repeated rows come back as
 they are; an empty table gives an empty result. Extra columns are kept; output columns replace
@@ -31,6 +36,12 @@ ARTICLE = 1.5
 LINKED = 0.6
 """Share of link text from which a line outside an article is a menu."""
 
+WRAPS = 0.5
+"""Share of the page's text (or, for an article, of the longest one's) from which a wrapper of it
+is no noise."""
+TEASER = 0.1
+"""Share of the page's text up to which an article is a teaser, which a wrapper can silence."""
+
 # Element names of the HTML standard, and usual words of class names.
 RAW = ["script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head",
        "title", "textarea", "select", "canvas", "audio", "video"]
@@ -51,6 +62,13 @@ NOISE = ["ad", "ads", "adv", "advert", "adverts", "advertisement", "adbox", "ban
          "sharing", "social", "related", "recommended", "widget", "toolbar", "pagination",
          "pager", "search", "copyright", "contentinfo", "complementary", "respond", "replies"]
 
+BESIDE = ["ad", "ads", "adv", "advert", "adverts", "advertisement", "adbox", "promo", "promotion",
+          "sponsor", "sponsored", "newsletter", "comment", "comments", "disqus", "respond",
+          "replies", "cookie", "cookies", "consent", "gdpr"]
+NEGATED = ["no", "non", "not", "without", "has", "have", "with", "hide"]
+"""What follows in a name says what the page has beside the element."""
+LAYOUT = ["free", "layout", "template"]
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{'|'.join(RAW)})\b[^>]*(?:/>|>.*?(?:</(?P=raw)\s*>|(?=<body\b)|\Z))"
@@ -61,39 +79,84 @@ _WORD = re.compile(r"[a-z]+")
 _RIGHTS = re.compile(r"(?:©|\(c\) ?\d|copyright\b|all rights reserved)", re.I)
 _ASIDE, _VOID, _INLINE = frozenset(ASIDE), frozenset(VOID), frozenset(INLINE)
 _ENDS_ITSELF, _NOISE = frozenset(ENDS_ITSELF), frozenset(NOISE)
+_BESIDE, _NEGATED, _LAYOUT = frozenset(BESIDE), frozenset(NEGATED), frozenset(LAYOUT)
+_NONE, _NAMED, _ALWAYS_BESIDE, _ALWAYS = range(4)
 
 
-def _is_noise(name: str, rest: str, in_article: bool) -> bool:
+def _named(rest: str, in_article: bool) -> int:
+    level = _NONE
+    for found in _NAMES.finditer(rest):
+        for value in " ".join(filter(None, found.groups())).lower().split():
+            words = _WORD.findall(value)
+            if words and words[-1] in _LAYOUT:
+                continue
+            for word in words:
+                if word in _NEGATED:
+                    break
+                if word in _BESIDE:
+                    return _ALWAYS_BESIDE
+                if word in _NOISE or word == "header" and not in_article:
+                    level = _NAMED
+    return level
+
+
+def _noise(name: str, rest: str, in_article: bool) -> int:
+    """How far the element is noise: not, by a name, by a name of what stands beside the text, or
+    whatever it holds."""
     if name in _ASIDE or name == "header" and not in_article:
-        return True
+        return _ALWAYS
     if "=" not in rest or name in ("body", "html", "main", "article"):
-        return False
+        return _NONE
     if re.search(r"\bhidden\b(?!\s*=\s*.?until)|aria-hidden\s*=\s*.?true", rest, re.I):
-        return True
-    for found in _NAMES.finditer(rest):
-        words = _WORD.findall(" ".join(filter(None, found.groups())).lower())
-        if not _NOISE.isdisjoint(words) or "header" in words and not in_article:
-            return True
-    return False
+        return _ALWAYS
+    return _named(rest, in_article)
+
+
+def _silent(out: list[tuple], holders: list[tuple], articles: list[tuple]) -> list[bool]:
+    """Which of the elements with noise names are noise. `holders`: the element around it, its
+    level and article; `articles`: the element around it, and whether it has a noise name. Number
+    0 is the page."""
+    held = [0] * len(holders)
+    mass = [0] * len(articles)
+    for _, article, count, holder in out:
+        held[holder] += count
+        mass[article] += count
+    for i in range(len(holders) - 1, 0, -1):
+        held[holders[i][0]] += held[i]
+    real = [n if i and not noise else 0 for i, (n, (_, noise)) in enumerate(
+        zip(mass, articles, strict=True))]
+    least = max(WRAPS * max(real), TEASER * held[0], 1)
+    wraps = [False] * len(holders)
+    for n, (holder, _) in zip(real, articles, strict=True):
+        wraps[holder] |= n >= least
+    for i in range(len(holders) - 1, 0, -1):
+        wraps[holders[i][0]] |= wraps[i]
+    marked = max(real) >= least
+    silent = [False]
+    for i, (around, level, article) in enumerate(holders[1:], 1):
+        most = (level == _NAMED and held[i] > WRAPS * held[0] and (bool(article) or not marked))
+        silent.append(silent[around] or not (wraps[i] or most))
+    return silent
 
 
 def lines(html: str) -> list[tuple[str, int, int]]:
     """(text, number of the article it stands in or 0, characters that count) per block of text
     outside of noise."""
-    out: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, int]] = []  # element, noise, article
+    out: list[tuple[str, int, int, int]] = []  # and number of the holder with a noise name
+    stack: list[tuple[str, bool, int, int]] = []  # element, always noise, article, holder
+    holders: list[tuple[int, int, int]] = [(0, _NONE, 0)]
+    articles: list[tuple[int, bool]] = [(0, False)]
     parts: list[str] = []
-    linked = depth_a = articles = 0
+    linked = depth_a = 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join(unescape("".join(parts)).split())
-        noise = any(s[1] for s in stack)
-        article = stack[-1][2] if stack else 0
+        _, noise, article, holder = stack[-1] if stack else ("", False, 0, 0)
         if text and not noise:
             menu = not article and linked > LINKED * len(text)
             rights = not article and _RIGHTS.match(text)
-            out.append((text, article, 0 if menu or rights else len(text)))
+            out.append((text, article, 0 if menu or rights else len(text), holder))
         parts.clear()
         linked = 0
 
@@ -113,7 +176,7 @@ def lines(html: str) -> list[tuple[str, int, int]]:
             continue
         if name == "br":
             add(" ")
-        elif name in _INLINE and not (not tag["end"] and name == "span" and _is_noise(
+        elif name in _INLINE and not (not tag["end"] and name == "span" and _noise(
                 name, tag["rest"], False)):
             if name == "a":
                 depth_a = max(0, depth_a + (-1 if tag["end"] else 1))
@@ -130,15 +193,20 @@ def lines(html: str) -> list[tuple[str, int, int]]:
                 if stack and stack[-1][0] in _ENDS_ITSELF and (
                         name == stack[-1][0] or stack[-1][0] in ("p", "h1", "h2", "h3")):
                     stack.pop()
-                article = stack[-1][2] if stack else 0
+                _, always, article, holder = stack[-1] if stack else ("", False, 0, 0)
                 if name in ("article", "main") and not article:
-                    articles += 1
-                    article = articles
-                stack.append((name, _is_noise(name, tag["rest"], bool(article)), article))
+                    articles.append((holder, _named(tag["rest"], False) != _NONE))
+                    article = len(articles) - 1
+                level = _noise(name, tag["rest"], bool(article))
+                if level in (_NAMED, _ALWAYS_BESIDE):
+                    holders.append((holder, level, article))
+                    holder = len(holders) - 1
+                stack.append((name, always or level == _ALWAYS, article, holder))
     if at < len(html):
         add(html[at:])
     close()
-    return out
+    silent = _silent(out, holders, articles)
+    return [(text, article, count) for text, article, count, holder in out if not silent[holder]]
 
 
 def _sums(counts: list[float]) -> list[float]:

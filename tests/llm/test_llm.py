@@ -480,6 +480,26 @@ def test_text_surges(page, text):
     assert html_text.main_text(page) == "\n".join(text)
 
 
+BODY = f"<p>{LONG[0]}</p><p>{LONG[1]}</p>"
+
+
+@pytest.mark.parametrize("page, whole", [
+    (f"<div class='elementor-widget-container'><article>{BODY}</article></div>", True),
+    (f"<div class='elementor-widget-container'>{BODY}</div>", True),
+    (f"<div class='has-sidebar'>{BODY}</div>", True),
+    (f"<p>{LONG[2]}<p>{LONG[3]}<div class='no-sidebar content'><p>{LONG[0]}</div>", None),
+    (f"<div id='search-result'><div class=ad>{LONG[3]}</div><main>{BODY}</main></div>", True),
+    (f"<article><div class=widget><div class=share>Tell</div>{BODY}</div></article>", True),
+    (f"<article>{BODY}</article><div class=related><article>{LONG[2][:60]}</article></div>", True),
+    (f"<article>{BODY}</article><div class=sidebar><p>{LONG[2] * 9}</div>", True),
+    (f"{BODY}<ol id=comments><article class=comment><p>{LONG[2] * 9}</article></ol>", True),
+    (f"<div class='ad'>{BODY}</div><article></article>", False),
+])
+def test_noise_names_of_wrappers(page, whole):
+    want = [LONG[2], LONG[3], LONG[0]] if whole is None else LONG[:2] if whole else []
+    assert html_text.main_text(page) == "\n".join(want)
+
+
 def test_extraction(spark):
     df = spark.createDataFrame([(i, p, "x") for i, (p, _) in enumerate(PAGES)],
                                "page_id int, html string, n_chars string")
