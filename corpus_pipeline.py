@@ -5,8 +5,7 @@ Every stage takes (spark, documents, folder of tables) and returns documents, th
 pieces. A stage's rows are written to the shared scratch folder and read again by the next.
 
 Rows with a NULL `doc_id` stay in the corpus: they have no number to be compared by. Rows that
-repeat a `doc_id` are versions of one document, of which near-dedup keeps one. Extra columns are
-carried along. Empty tables give empty results.
+repeat a `doc_id` are compared like any others. Extra columns are carried along. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaweave.llm import packing, simhash, substrings, toxicity
-from areaweave.llm.work import stored, table
+from areaweave.llm.work import free_name, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +27,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest number."""
-    groups = simhash.simhash_groups(docs)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of near copies, the document with the smallest number, and of several with
+    that number the one with the smallest hash of its text. Groups, not numbers, are what one
+    row each is kept of: texts that repeat a number without being near stay both."""
+    version, first = free_name(docs.columns, "version"), free_name(docs.columns, "first")
+    named = docs.where("doc_id IS NOT NULL").withColumn(
+        version, F.struct("doc_id", F.xxhash64("text").alias("mark")))
+    groups = simhash.simhash_groups(
+        named.unionByName(docs.where("doc_id IS NULL"), allowMissingColumns=True), version)
+    least = groups.where(F.col(version) == F.col("component_id")).select(version).distinct()
+    # Rows of one number and text can differ in what else they carry.
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = named.join(least, version, "left_semi").groupBy(version).agg(
+        F.min_by(whole, others).alias(first)).select(f"`{first}`.*")
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 

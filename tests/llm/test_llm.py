@@ -570,6 +570,19 @@ def test_pipeline(spark):
     assert {r.doc_id for r in packed} == {r.doc_id for r in now.collect()}
 
 
+def test_near_copies_with_repeated_numbers(spark):
+    rng = random.Random(7)
+    a, b, c = (" ".join(f"w{rng.randrange(9999)}" for _ in range(80)) for _ in range(3))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, b, "x"), (4, c, "y"), (4, c, "x"),
+            (None, c, "x"), (None, c, "x")]
+    for mixed in (rows, rows[::-1]):
+        docs = spark.createDataFrame(mixed, "doc_id bigint, text string, version string")
+        kept = corpus_pipeline.drop_near_copies(spark, docs.repartition(3), SMALL)
+        assert kept.columns == docs.columns
+        assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+            [(1, a, "x"), (2, b, "x"), (4, c, "x"), (None, c, "x"), (None, c, "x")], key=str)
+
+
 def test_digest_of_kept_text(spark):
     rows = substrings.op8_substring_dedup(spark, SMALL).collect()
     assert all(re.fullmatch("[0-9a-f]{64}", r.kept_sha256) for r in rows)
