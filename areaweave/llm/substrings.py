@@ -84,14 +84,15 @@ _FOUND = "h1 bigint, h2 bigint, key bigint, text_hash bigint, place int, settled
 
 
 def _found(batch: pa.RecordBatch, h1, h2, row, place, settled) -> pa.RecordBatch:
-    """Rows to compare by hash, then rows with what is settled for a row (under the hash of its
-    text, so that they are spread like the others)."""
+    """Rows to compare by hash, then rows with what is settled for a row. These need no comparison;
+    they stand under a hash of text and key, so that copies of one text are spread."""
     known = np.array(list(settled), np.int64)
     row = np.concatenate([row, known])
     texts = batch.column(1).to_numpy(zero_copy_only=False)
     nothing = np.zeros(len(known), np.int64)
+    salt = (_keys(batch)[known].astype(np.uint64) * np.uint64(_ODD[0])).view(np.int64)
     return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([h1, texts[known]])),
+        pa.array(np.concatenate([h1, texts[known] ^ salt])),
         pa.array(np.concatenate([h2, nothing])),
         batch.column(0).take(pa.array(row)),
         pa.array(texts[row]),

@@ -8,6 +8,7 @@ import zlib
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -435,6 +436,21 @@ def test_substrings(spark):
     assert substrings.substring_dedup(df.limit(0)).count() == 0
 
 
+def test_settled_copies_are_spread():
+    text = " ".join(f"w{i}" for i in range(40))
+    whole = pa.RecordBatch.from_pydict(
+        {"key": range(200), "text_hash": [77] * 200, "text": [text] * 200})
+    found = pa.Table.from_batches(substrings._anchor_rows(iter([whole]))).to_pylist()
+    settled = [r for r in found if r["settled"] is not None]
+    assert len(settled) == 200 and len({r["h1"] for r in settled}) == 200
+    anchors = [r["h1"] for r in found if r["settled"] is None]
+    whole = whole.append_column("known", pa.array([anchors] * 200))
+    found = pa.Table.from_batches(substrings._window_rows(iter([whole]))).to_pylist()
+    settled = [r for r in found if r["settled"] is not None]
+    assert len(settled) == 199 and len({(r["h1"], r["h2"]) for r in settled}) == 199
+    assert {r["text_hash"] for r in found} == {77}
+
+
 def test_cover():
     assert {(a - b) % substrings.PERIOD for a in substrings.COVER for b in substrings.COVER} == set(
         range(substrings.PERIOD))
