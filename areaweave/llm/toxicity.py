@@ -4,7 +4,7 @@ Labels are given per document, so training words get theirs in two steps. First,
 beginnings that stand in toxic texts far more often than in clean ones (by the log-likelihood
 ratio, over different neighbours, so that copies of one text count once) become cues; a word of a
 toxic text with a cue is labelled toxic. Then a chain with two states is fitted to sequences of
-labelled words by gradient ascent. A text is scored by forward-backward: the marginals of all its
+labelled words by gradient ascent. A text is scored by forward-backward over the whole text: the marginals of all its
 words give the expected number of toxic words and the most certain one, which a logistic
 curve, fitted to the document labels, turns into a score; words with a marginal of one half or
 more are the offending spans.
@@ -45,7 +45,7 @@ LIFT = 20.0
 """How much more often than in clean texts a cue stands in toxic ones."""
 BEGINNINGS = (3, 4, 5, 6)
 LENGTH = 64
-"""Words in a sequence; a text is cut into sequences of this length."""
+"""Words in a sequence; texts are learnt from, and gone through, in sequences of this length."""
 STEPS = 100
 FIT_ROWS = 2048
 KEPT_WORDS = 300_000
@@ -79,23 +79,23 @@ def cues(texts: list[list[str]], labels: list[int]) -> set[str]:
             and _ratio(n, counts[0][f], totals[1], totals[0]) >= CUE}
 
 
-def marginals(score: np.ndarray, there: np.ndarray, chain: np.ndarray) -> tuple:
-    """Forward-backward over rows of words. `score`: how much each word speaks for toxic;
-    `chain`[i, j]: from state i to j; the first word comes from state 0. Returns P(toxic) of each
-    word and P(from i to j) of each step, 0 where no word is."""
+def _ways(score: np.ndarray, there: np.ndarray, chain: np.ndarray, first: np.ndarray,
+          last: np.ndarray) -> tuple:
+    """Forward-backward over rows of words, `first` being the states before each row and `last`
+    what the words after it say of its last state. Returns P(toxic) and the parts of it."""
     rows, length = score.shape
     emit = np.stack([np.zeros_like(score), score], axis=2)
     step = np.exp(chain)
     lift = np.exp(emit - emit.max(axis=2, keepdims=True))
     ahead = np.zeros((rows, length, 2))
     back = np.ones((rows, length, 2))
-    now = np.tile([1.0, 0.0], (rows, 1))
+    now = first
     for t in range(length):
         new = (now @ step) * lift[:, t]
         new /= new.sum(axis=1, keepdims=True)
         now = np.where(there[:, t, None], new, now)
         ahead[:, t] = now
-    later = np.ones((rows, 2))
+    later = last
     for t in range(length - 1, -1, -1):
         back[:, t] = later
         new = (later * lift[:, t]) @ step.T
@@ -103,10 +103,47 @@ def marginals(score: np.ndarray, there: np.ndarray, chain: np.ndarray) -> tuple:
         later = np.where(there[:, t, None], new, later)
     both = ahead * back
     both /= both.sum(axis=2, keepdims=True)
+    return both[:, :, 1] * there, ahead, back, lift, step
+
+
+def marginals(score: np.ndarray, there: np.ndarray, chain: np.ndarray) -> tuple:
+    """Forward-backward over rows of words. `score`: how much each word speaks for toxic;
+    `chain`[i, j]: from state i to j; the first word comes from state 0. Returns P(toxic) of each
+    word and P(from i to j) of each step, 0 where no word is."""
+    rows = len(score)
+    toxic, ahead, back, lift, step = _ways(
+        score, there, chain, np.tile([1.0, 0.0], (rows, 1)), np.ones((rows, 2)))
     before = np.concatenate([np.tile([1.0, 0.0], (rows, 1, 1)), ahead[:, :-1]], axis=1)
     moves = before[:, :, :, None] * step * (lift * back)[:, :, None, :]
     moves /= moves.sum(axis=(2, 3), keepdims=True)
-    return both[:, :, 1] * there, moves * there[:, :, None, None]
+    return toxic, moves * there[:, :, None, None]
+
+
+def _products(score: np.ndarray, there: np.ndarray, chain: np.ndarray) -> np.ndarray:
+    """What each row of words makes of the states before it: the product of its steps, scaled."""
+    step = np.exp(chain)
+    emit = np.stack([np.zeros_like(score), score], axis=2)
+    lift = np.exp(emit - emit.max(axis=2, keepdims=True))
+    now = np.tile(np.eye(2), (len(score), 1, 1))
+    for t in range(score.shape[1]):
+        new = (now @ step) * lift[:, None, t]
+        new /= new.max(axis=(1, 2), keepdims=True)
+        now = np.where(there[:, t, None, None], new, now)
+    return now
+
+
+def _borders(products: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The states before each sequence, and what comes after it says of its last state, along
+    the sequences of each text."""
+    first, last = np.tile([1.0, 0.0], (len(owner), 1)), np.ones((len(owner), 2))
+    same = np.flatnonzero(owner[1:] == owner[:-1])
+    for i in same.tolist():
+        now = first[i] @ products[i]
+        first[i + 1] = now / now.sum()
+    for i in same[::-1].tolist():
+        now = products[i + 1] @ last[i + 1]
+        last[i] = now / now.sum()
+    return first, last
 
 
 def _lessons(split: list[list[str]], labels: list[int]) -> tuple:
@@ -214,7 +251,7 @@ def _tag(split: list[list[str]], model: dict, kept: dict | None):
     weights = dict(zip(model["names"], model["weight"], strict=True))
     kept = {} if kept is None else kept
     chain = np.array(model["chain"])
-    plain = _plain(model["bias"], tuple(map(tuple, model["chain"])))
+    product, parts = _plain(model["bias"], tuple(map(tuple, model["chain"])))
     words = [w for text in split for w in text]
     new = set(words).difference(kept)
     if len(kept) + len(new) > KEPT_WORDS:
@@ -224,7 +261,8 @@ def _tag(split: list[list[str]], model: dict, kept: dict | None):
     scores = np.fromiter(map(kept.__getitem__, words), float, len(words))
     counts = np.array([len(text) for text in split], np.int64)
     starts = np.concatenate([[0], np.cumsum(counts)])
-    # Sequences of words that no feature speaks about all look alike but for their length.
+    # The chain runs over whole texts, in sequences. Those of words that no feature speaks about
+    # all look alike but for their length and their borders.
     lengths, firsts, owner = [], [], []
     for i, n in enumerate(counts):
         for s in range(0, int(n), LENGTH):
@@ -235,29 +273,63 @@ def _tag(split: list[list[str]], model: dict, kept: dict | None):
     top, total = np.zeros(len(split)), np.zeros(len(split))
     told = np.concatenate([[0], np.cumsum(scores != 0)])
     active = told[firsts + lengths] > told[firsts] if len(firsts) else np.zeros(0, bool)
-    dull = ~active
-    np.maximum.at(top, owner[dull], plain[0][lengths[dull]])
-    np.add.at(total, owner[dull], plain[1][lengths[dull]])
     spots: list[list[int]] = [[] for _ in split]
-    if active.any():
-        cells = firsts[active][:, None] + np.arange(LENGTH)
-        there = np.arange(LENGTH) < lengths[active][:, None]
+    products = product[lengths]
+
+    def held(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cells = firsts[rows][:, None] + np.arange(LENGTH)
+        there = np.arange(LENGTH) < lengths[rows][:, None]
         score = np.where(there, scores[np.minimum(cells, len(scores) - 1)], 0) + model["bias"]
-        toxic, _ = marginals(score, there, chain)
-        np.maximum.at(top, owner[active], toxic.max(axis=1))
-        np.add.at(total, owner[active], toxic.sum(axis=1))
+        return there, score
+
+    def note(toxic: np.ndarray, rows: np.ndarray) -> None:
+        np.maximum.at(top, owner[rows], toxic.max(axis=1))
+        np.add.at(total, owner[rows], toxic.sum(axis=1))
         for r, t in zip(*np.nonzero(toxic >= 0.5), strict=True):
-            text = owner[active][r]
-            spots[text].append(int(cells[r, t] - starts[text]))
+            text = owner[rows[r]]
+            spots[text].append(int(firsts[rows[r]] + t - starts[text]))
+
+    joined = np.zeros(len(owner), bool)
+    if len(owner):
+        joined[1:] |= owner[1:] == owner[:-1]
+        joined[:-1] |= owner[1:] == owner[:-1]
+    for rows in _some(np.flatnonzero(active & joined)):
+        there, score = held(rows)
+        products[rows] = _products(score, there, chain)
+    first, last = _borders(products, owner)
+    alone = ~active & ~joined
+    single = parts[:, :, 0].sum(axis=2) / product[:, 0].sum(axis=1)[:, None]
+    np.maximum.at(top, owner[alone], single.max(axis=1)[lengths[alone]])
+    np.add.at(total, owner[alone], single.sum(axis=1)[lengths[alone]])
+    for rows in _some(np.flatnonzero(~active & joined)):
+        way = np.einsum("ri,rtij,rj->rt", first[rows], parts[lengths[rows]], last[rows])
+        way /= np.einsum("ri,rij,rj->r", first[rows], product[lengths[rows]], last[rows])[:, None]
+        note(way, rows)
+    for rows in _some(np.flatnonzero(active)):
+        there, score = held(rows)
+        note(_ways(score, there, chain, first[rows], last[rows])[0], rows)
     return list(zip(top.tolist(), total.tolist(), spots, strict=True))
 
 
+def _some(rows: np.ndarray) -> Iterator[np.ndarray]:
+    for i in range(0, len(rows), FIT_ROWS):
+        yield rows[i:i + FIT_ROWS]
+
+
 @lru_cache(maxsize=4)
 def _plain(bias: float, chain: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Highest marginal and sum of marginals of a featureless sequence of each length."""
-    there = np.arange(LENGTH) < np.arange(LENGTH + 1)[:, None]
-    toxic, _ = marginals(np.full(there.shape, bias), there, np.array(chain))
-    return toxic.max(axis=1), toxic.sum(axis=1)
+    """Of a featureless sequence of each length: the product of its steps, and for each of its
+    words the part of this that goes through toxic."""
+    step = np.exp(np.array(chain)) * np.exp([0.0, bias])
+    step /= np.abs(np.linalg.eigvals(step)).max()
+    powers = [np.eye(2)]
+    for _ in range(LENGTH):
+        powers.append(powers[-1] @ step)
+    parts = np.zeros((LENGTH + 1, LENGTH, 2, 2))
+    for n in range(LENGTH + 1):
+        for t in range(n):
+            parts[n, t] = np.outer(powers[t + 1][:, 1], powers[n - 1 - t][1])
+    return np.array(powers), parts
 
 
 @lru_cache(maxsize=2)

@@ -233,6 +233,22 @@ def test_marginals():
         assert np.allclose(toxic[r, :n], want)
 
 
+def test_chain_crosses_sequences():
+    model = {"names": ["=bad", "=poor"], "weight": [6.0, 2.5], "bias": -4.0,
+             "chain": [[1.0, -1.0], [-1.0, 1.5]]}
+    rng = random.Random(3)
+    split = [[rng.choice(["tau"] * 9 + ["bad", "poor"]) for _ in range(n)]
+             for n in (0, 1, 63, 64, 65, 128, 300, 20)]
+    split += [["tau"] * n for n in (1, 64, 200)]
+    split += [["tau"] * 130 + ["bad", "poor"] + ["tau"] * 130,
+              ["tau"] * 61 + ["bad"] * 3 + ["poor", "poor"] + ["tau"] * 70]
+    for words, (top, total, spots) in zip(split, toxicity._tag(split, model, None), strict=True):
+        score = np.array([[{"bad": 6.0, "poor": 2.5}.get(w, 0) - 4.0 for w in words]])
+        whole, _ = toxicity.marginals(score, score == score, np.array(model["chain"]))
+        assert np.isclose(top, whole.max(initial=0)) and np.isclose(total, whole.sum())
+        assert sorted(spots) == np.flatnonzero(whole[0] >= 0.5).tolist()
+
+
 def test_toxicity_held_out(spark):
     found = toxicity.op4_toxicity(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
