@@ -24,7 +24,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -67,13 +66,24 @@ def _ratio(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
 
 def cues(texts: list[list[str]], labels: list[int]) -> set[str]:
     """Words and beginnings that mark toxic texts. An occurrence counts by its neighbours."""
-    seen = ({}, {})
+    number = {"": 0}
+    codes: tuple[list, list] = ([], [])
     for words, label in zip(texts, labels, strict=True):
-        lower = ["", *(w.lower() for w in words), ""]
-        for before, (word, after) in zip(lower, pairwise(lower[1:]), strict=False):
-            seen[label].setdefault((before, word, after), None)
-    counts = [Counter(f for _, word, _ in found for f in features(word)) for found in seen]
-    totals = [max(1, len(found)) for found in seen]
+        codes[label].extend([0, *[number.setdefault(w.lower(), len(number)) for w in words], 0])
+    counts, totals = [], []
+    for found in codes:
+        place = np.array([0, 0, *found], np.int64)
+        pairs, pair = np.unique(place[:-2] * len(number) + place[1:-1], return_inverse=True)
+        seen = np.unique(pair * len(number) + place[2:])
+        middle = pairs[seen // len(number)] % len(number)
+        times = np.bincount(middle, minlength=len(number))
+        count = Counter()
+        for word, n in zip(number, times.tolist(), strict=True):
+            if n and word:
+                for f in features(word):
+                    count[f] += n
+        counts.append(count)
+        totals.append(max(1, int((middle > 0).sum())))
     return {f for f, n in counts[1].items()
             if n / totals[1] >= LIFT * counts[0][f] / totals[0]
             and _ratio(n, counts[0][f], totals[1], totals[0]) >= CUE}
@@ -186,7 +196,8 @@ def _expected(score: np.ndarray, there: np.ndarray, chain: np.ndarray, times: np
 def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> dict:
     """The model of labelled texts. `shares`: of all clean and toxic labels, the part that
     `texts` holds, which the logistic curve makes up for."""
-    split = [_WORD.findall(text) for text in texts]
+    once: dict[str, str] = {}
+    split = [[once.setdefault(w, w) for w in _WORD.findall(text)] for text in texts]
     names, sequences, marks, times = _lessons(split, labels)
     rows = len(sequences)
     there = np.zeros((rows, LENGTH), bool)
