@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from areaweave.sources.scratch import scratch_path
@@ -23,6 +26,18 @@ def stored(df: DataFrame, label: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most `limit` bytes of text; a longer text is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def free_name(taken: Iterable[str], wanted: str) -> str:
     """`wanted`, with underscores in front until it clashes with no column."""
     low = {name.lower() for name in taken}
