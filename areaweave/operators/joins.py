@@ -9,29 +9,30 @@ No size is assumed and nothing is hinted: broadcasts are left to Spark's size ch
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SLOTS = 1024
-COPIES = 32
-HOT_SHARE = 0.001
-HOT_ROWS = 100_000
+from areaweave.operators.key_stats import SLOT_ROWS
+
+_SLOT, _OTHER, _SLOTS, _MET = "__slot", "__other_slot", "__slots", "__met"
 
-_SLOT, _HOT, _MET = "__slot", "__hot", "__met"
+
+def _quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
 
 
 def _no_slot(key: str) -> str:
     """Always 0, but not visibly so: a slot the optimizer knows to be constant would leave
     the join keys and turn into a filter, and NULL keys would pile up again."""
-    return f"CAST(pmod(xxhash64(`{key}`), 1) AS INT)"
+    return f"pmod(xxhash64(`{key}`), 1)"
 
 
-def _slot_text(key: str, columns: list[str]) -> str:
-    row = ", ".join(f"`{c}`" for c in columns)
-    return (
-        f"CASE WHEN `{key}` IS NULL THEN CAST(pmod(xxhash64({row}), {NULL_SLOTS}) AS INT) "
-        f"ELSE {_no_slot(key)} END"
-    )
+def _slot_if_null(key: str, columns: Sequence[str]) -> str:
+    """Spreads rows without a key by what else they hold; they match nothing in any slot."""
+    return (f"CASE WHEN `{key}` IS NULL THEN xxhash64({', '.join(_quoted(columns))}) "
+            f"ELSE {_no_slot(key)} END")
 
 
 def _named(df: DataFrame, key: str) -> DataFrame:
@@ -42,77 +43,83 @@ def _nameless(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(f"`{key}`").isNull())
 
 
-def outer_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str
-) -> DataFrame:
-    """Left or full outer join on two differently named keys; both keys stay in the result.
+def outer_chain(tables: Sequence[tuple[DataFrame, str]], how: str) -> DataFrame:
+    """Outer joins of tables with differently named keys; all keys stay in the result.
+
+    `tables`: (rows, key). A `left` chain matches every table on the first one's key, a `full`
+    chain each on the key of the table before it. For tables with at most a few rows per key.
 
-    For sides with at most a few rows per key (area tables). Only rows with a key are
-    shuffled, on the key alone, so tables bucketed by it are joined where they lie. Rows
-    with a NULL key never match and pass by in a union, in the tasks that read them.
+    Rows without a key match nothing. They are set aside once, from the base tables, and come back
+    in a union, in the tasks that read them, so that the joins see keys only: a left chain keeps
+    the partitioning of its first join, or of the buckets, to the end. In a full chain a row that
+    the table before did not have gets a NULL key on the way; it is dealt out by the keys it has.
     """
-    same = F.col(f"`{left_key}`") == F.col(f"`{right_key}`")
-    met = _named(left, left_key).join(_named(right, right_key), same, how)
-    out = met.unionByName(_nameless(left, left_key), allowMissingColumns=True)
-    if how.startswith("full"):
-        out = out.unionByName(_nameless(right, right_key), allowMissingColumns=True)
-    return out
+    full = how.startswith("full")
+    (first, key), *rest = tables
+    joined = _named(first, key)
+    for i, (df, own) in enumerate(rest):
+        on = tables[i][1] if full else key
+        side, same = _named(df, own), F.col(f"`{on}`") == F.col(f"`{own}`")
+        if full and i:
+            known = [k for _, k in tables[:i + 1]]
+            joined = joined.withColumn(_SLOT, F.expr(_slot_if_null(on, known)))
+            side = side.withColumn(_OTHER, F.expr(_no_slot(own)))
+            same = same & (F.col(_SLOT) == F.col(_OTHER))
+        joined = joined.join(side, same, how).drop(_SLOT, _OTHER)
+    for df, own in tables if full else tables[:1]:
+        joined = joined.unionByName(_nameless(df, own), allowMissingColumns=True)
+    return joined
 
 
-def frequent_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS
+def outer_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str
 ) -> DataFrame:
-    """Keys holding more than `share` of all rows: fewer than 1/share of them, whatever
-    the table's size. Keys of fewer than `rows` rows are no burden and left out. Counted
-    exactly, after map-side combining, so a rerun of a lost task agrees."""
-    counts = df.where(f"{key} IS NOT NULL").groupBy(key).agg(F.expr("count(*) AS __n"))
-    if share <= 0:
-        raise ValueError("share bounds the number of keys and must be above 0")
-    total = counts.agg(F.expr("sum(__n)")).scalar()
-    return counts.where(f"__n >= {rows}").where(F.expr("__n") > total * share).select(key)
+    """Left or full outer join on two differently named keys; both keys stay in the result."""
+    return outer_chain([(left, left_key), (right, right_key)], how)
 
 
 def split_left_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    copies: int = COPIES,
-    share: float = HOT_SHARE,
-    rows: int = HOT_ROWS,
+    frequent: DataFrame | None = None,
+    unique: Sequence[str] = (),
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """`left LEFT JOIN right USING (key)` for a right side with frequent keys.
 
-    Rows of a frequent right key are dealt out over `copies` slots, and the left rows of
-    that key are repeated once per slot. A repeated left row that meets no partner in its
-    slot is dropped again: its key was counted on the right, so it has partners elsewhere.
-    Every other row behaves as in the plain join. Result: key, left columns, right columns.
+    `frequent`: the right table's key statistics (`key`, `rows`), as stored with exactly these
+    rows; nothing is counted here. A key of n rows gets n / `slot_rows` slots: its rows are dealt
+    out over them by the right table's unique columns, so that equal values elsewhere do not
+    keep rows together, and the left rows of that key are repeated once per slot. A repeated
+    left row that meets no partner in its slot is dropped again: its key is counted on the
+    right, so it has partners elsewhere. Every other row behaves as in the plain join, and
+    left rows without a key are spread. Result: key, left columns, right columns.
     """
-    # Fewer than 1/share one-column rows: a proven bound, so broadcasting is safe.
-    hot = F.broadcast(frequent_keys(right, key, share, rows).selectExpr(key, f"true AS {_HOT}"))
-    own = [c for c in left.columns if c != key]
-    others = [c for c in right.columns if c != key]
-    deal = f"CAST(pmod(xxhash64({', '.join(right.columns)}), {copies}) AS INT)"
-    dealt = (
-        right.where(f"{key} IS NOT NULL")
-        .join(hot, key, "left")
-        .selectExpr(
-            key,
-            *others,
-            f"CASE WHEN {_HOT} THEN {deal} ELSE {_no_slot(key)} END AS {_SLOT}",
-            f"true AS {_MET}",
-        )
-    )
-    slots = (
-        f"CASE WHEN {_HOT} THEN sequence(0, {copies - 1}) "
-        f"ELSE array({_slot_text(key, left.columns)}) END"
-    )
-    repeated = left.join(hot, key, "left").selectExpr(
-        key, *own, _HOT, f"explode({slots}) AS {_SLOT}"
-    )
+    own = [f"`{c}`" for c in left.columns if c != key]
+    others = [f"`{c}`" for c in right.columns if c != key]
+    named, slots = right.where(f"`{key}` IS NOT NULL"), f"CAST(NULL AS INT) AS {_SLOTS}"
+    if frequent is not None:
+        counted = frequent.selectExpr(
+            f"`key` AS `{key}`", f"CAST(ceil(rows / {slot_rows}) AS INT) AS {_SLOTS}").where(
+            f"{_SLOTS} > 1")
+        left, named = (df.join(counted, key, "left") for df in (left, named))
+        slots = _SLOTS
+    deal = ", ".join(_quoted(unique or right.columns))
+    dealt = named.selectExpr("*", *([slots] if frequent is None else [])).selectExpr(
+        f"`{key}`", *others,
+        f"CASE WHEN {_SLOTS} IS NULL THEN {_no_slot(key)} "
+        f"ELSE pmod(xxhash64({deal}), {_SLOTS}) END AS {_SLOT}",
+        f"true AS {_MET}")
+    repeated = left.selectExpr("*", *([slots] if frequent is None else [])).selectExpr(
+        f"`{key}`", *own, _SLOTS,
+        f"explode(CASE WHEN {_SLOTS} IS NULL THEN "
+        f"array({_slot_if_null(key, [c for c in left.columns if c != _SLOTS])}) "
+        f"ELSE sequence(0L, {_SLOTS} - 1L) END) AS {_SLOT}")
     return (
         repeated.join(dealt, [key, _SLOT], "left")
-        .where(f"{_MET} IS NOT NULL OR {_HOT} IS NULL")
-        .select(key, *own, *others)
+        .where(f"{_MET} IS NOT NULL OR {_SLOTS} IS NULL")
+        .selectExpr(f"`{key}`", *own, *others)
     )
 
 

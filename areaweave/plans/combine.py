@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from areaweave import fixed_values as fv
 from areaweave.functions.totals import steady_avg, steady_sum
-from areaweave.operators.joins import outer_join, with_parent
+from areaweave.operators.joins import outer_chain, outer_join, with_parent
 from areaweave.operators.ranking import sorted_rows, top_k
 
 CLASSES_ABOVE = ["Rich", "Upper_Middle", "Middle"]
@@ -34,8 +34,7 @@ def full_pair(first: DataFrame, second: DataFrame, shown: str) -> DataFrame:
 def full_chain(first: DataFrame, middle: DataFrame, last: DataFrame) -> DataFrame:
     """Full outer chain: the third table is matched on the middle table's key only, so an
     area missing there comes as two rows. NAME is the first table's key and may be NULL."""
-    joined = outer_join(first, middle, "k1", "k2", "full")
-    joined = outer_join(joined, last, "k2", "k3", "full")
+    joined = outer_chain([(first, "k1"), (middle, "k2"), (last, "k3")], "full")
     return joined.withColumnRenamed("k1", "NAME").drop("k2", "k3")
 
 
@@ -162,17 +161,15 @@ def named_industries() -> str:
     return " AND ".join(f"{c} <> ''" for c in INDUSTRIES)
 
 
-def industry_of_higher_income(income: DataFrame, industry: DataFrame,
-                              per_area: bool = False) -> DataFrame:
-    """Class totals and income index by leading industries, or by area and industries.
+def industry_of_higher_income(income: DataFrame, industry: DataFrame) -> DataFrame:
+    """Class totals and income index by leading industries.
 
     The filters on class and industry are applied before the join and the grouping.
     """
     upper = income.where(F.col("Predominant_Class").isin(CLASSES_ABOVE))
-    keys = (["ZCTA5"] if per_area else []) + INDUSTRIES
     return (
         upper.join(industry.where(named_industries()), "ZCTA5")
-        .groupBy(*keys)
+        .groupBy(*INDUSTRIES)
         .agg(
             *(F.expr(f"{steady_sum(c)} AS Total_{c}") for c in CLASSES_ABOVE),
             F.expr(f"{steady_avg('Average')} AS Average"),
@@ -186,20 +183,18 @@ def working_time_and_income(hours: DataFrame, weeks: DataFrame, income: DataFram
     h = hours.selectExpr("ZCTA5 AS k1", "Work_35h_or_more", "No_working AS no_working_weekly")
     w = weeks.selectExpr("ZCTA5 AS k2", "Work_50_to_52_weeks", "No_working AS no_working_yearly")
     i = income.selectExpr("ZCTA5 AS k3", "Average")
-    joined = outer_join(outer_join(h, w, "k1", "k2", "left"), i, "k1", "k3", "left")
+    joined = outer_chain([(h, "k1"), (w, "k2"), (i, "k3")], "left")
     return joined.where("Average <> 0").select(
         "Work_50_to_52_weeks", "no_working_yearly", "Work_35h_or_more", "no_working_weekly",
         "Average",
     )
 
 
-def work_by_industry(hours: DataFrame, commute: DataFrame, industry: DataFrame,
-                     named: bool = False) -> DataFrame:
-    """Home workers and full weeks by leading industries; `named` drops unfilled ranks."""
-    ranked = industry.where(named_industries()) if named else industry
+def work_by_industry(hours: DataFrame, commute: DataFrame, industry: DataFrame) -> DataFrame:
+    """Home workers and full weeks by leading industries."""
     return (
         hours.join(commute, "ZCTA5")
-        .join(ranked, "ZCTA5")
+        .join(industry, "ZCTA5")
         .groupBy(*INDUSTRIES)
         .agg(
             F.expr(f"{steady_sum('Work_From_Home')} AS Total_Work_From_Home"),

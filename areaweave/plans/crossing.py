@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areaweave.operators.joins import left_join_unique, split_left_join
+from areaweave.operators.key_stats import SLOT_ROWS
 
 
-def resources_and_income(income: DataFrame, crosswalk: DataFrame, resources: DataFrame) -> DataFrame:
+def resources_and_income(income: DataFrame, crosswalk: DataFrame, resources: DataFrame,
+                         areas: DataFrame | None = None) -> DataFrame:
     """Museums and libraries per ZIP next to the income index of its area.
 
     `num_of_public_resources` counts the merged ZIPCODE of the joined rows, so a ZIP
@@ -16,17 +18,19 @@ def resources_and_income(income: DataFrame, crosswalk: DataFrame, resources: Dat
     themselves. Areas without a ZIP form groups with a NULL ZIPCODE and score 0.
 
     Both sides are counted before they meet, so no joined row is ever built: a ZIP with a
-    large part of all resources arrives as one number.
+    large part of all resources arrives as one number. `areas`: the crosswalk's statistics
+    of ZCTA5, if stored.
     """
     per_zip = resources.where(F.col("ZIPCODE").isNotNull()).groupBy("ZIPCODE").agg(
         F.count("*").alias("rows"), F.count("MID").alias("found")
     )
-    areas = (
-        split_left_join(income.select("ZCTA5", "Average"), crosswalk.select("ZCTA5", "ZIPCODE"), "ZCTA5")
+    counted = (
+        split_left_join(income.select("ZCTA5", "Average"), crosswalk.select("ZCTA5", "ZIPCODE"),
+                        "ZCTA5", areas, ["ZIPCODE"])
         .groupBy("ZIPCODE", F.col("Average").alias("average_income"))
         .agg(F.count("ZIPCODE").alias("pairs"))
     )
-    return left_join_unique(areas, per_zip, "ZIPCODE").select(
+    return left_join_unique(counted, per_zip, "ZIPCODE").select(
         "ZIPCODE",
         "average_income",
         (F.col("pairs") * F.coalesce("rows", F.lit(1))).alias("num_of_public_resources"),
@@ -70,10 +74,13 @@ def colleges_and_enrollment(pubpriv: DataFrame, crosswalk: DataFrame, colleges:
     )
 
 
-def area_resource_listing(income: DataFrame, crosswalk: DataFrame, resources: DataFrame) -> DataFrame:
+def area_resource_listing(income: DataFrame, crosswalk: DataFrame, resources: DataFrame,
+                          areas: DataFrame | None = None, zips: DataFrame | None = None,
+                          slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Every area with its ZIPs and their resources, keys merged, nothing dropped.
 
-    Both right sides may have frequent keys, which are dealt out over several tasks.
+    Rows of frequent keys of both right sides are dealt out over several tasks, by the
+    statistics stored with the crosswalk (`areas`, of ZCTA5) and the resources (`zips`, of ZIPCODE).
     """
-    areas = split_left_join(income, crosswalk, "ZCTA5")
-    return split_left_join(areas, resources, "ZIPCODE")
+    listed = split_left_join(income, crosswalk, "ZCTA5", areas, ["ZIPCODE"], slot_rows)
+    return split_left_join(listed, resources, "ZIPCODE", zips, ["MID"], slot_rows)

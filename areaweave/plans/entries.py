@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaweave import fixed_values as fv
 from areaweave.functions import classes, cleaning, totals
-from areaweave.operators import checks, joins, ranking
-from areaweave.plans import combine, crossing, explore, integrity, row_jobs
+from areaweave.operators import checks, joins, key_stats, ranking
+from areaweave.plans import combine, crossing, explore, integrity, reporting, row_jobs
 from areaweave.plans.modeled import AREA_TABLES
 from areaweave.plans.row_jobs import ROW_JOBS
 from areaweave.plans.staged import SURVEY_EXTRACTS, job_staged, job_survey
-from areaweave.sources import csv_files, tables
+from areaweave.sources import csv_files, published, tables
 from areaweave.sources.area_tables import SCHOOLS, AreaTables
 from areaweave.sources.csv_files import CsvLoad, read_csv, write_csv
 from areaweave.sources.field_lists import school_field_list, schema_from_json, school_fields
+from areaweave.sources.runs import run_namespace
 from areaweave.sources.scratch import scratch_path
 
 Query = Callable[[AreaTables], DataFrame]
@@ -36,16 +35,9 @@ def entry(name: str) -> Callable[[Query], Query]:
     return register
 
 
-@cache
-def _namespace(spark: SparkSession) -> str:
-    """One namespace per session, kept in the shared scratch folder."""
-    name = f"areaweave_{uuid.uuid4().hex[:12]}"
-    tables.create_namespace(spark, name, scratch_path(spark, "tables"))
-    return name
-
-
 def _table_name(t: AreaTables, name: str) -> str:
-    return f"{_namespace(t.spark)}.{name}"
+    """A name of this call's own."""
+    return f"{run_namespace(t.spark)}.{name}"
 
 
 def _through_csv(t: AreaTables, table: str, load: CsvLoad) -> DataFrame:
@@ -120,24 +112,33 @@ def _(t):
 
 @entry("ns_create")
 def _(t):
-    name = _namespace(t.spark)
+    name = run_namespace(t.spark)
     tables.create_namespace(t.spark, name)
     return tables.replace_table(t.modeled("zip_to_zcta5"), f"{name}.first_table")
 
 
 @entry("sink_ctas")
 def _(t):
-    return tables.create_table(
-        t.modeled("Labor_Force_Stats"), _table_name(t, f"created_{uuid.uuid4().hex}")
-    )
+    return tables.create_table(t.modeled("Labor_Force_Stats"), _table_name(t, "created"))
 
 
 @entry("sink_replace")
 def _(t):
+    """Two versions; the first is of other rows, and read to the end after the swap."""
+    name = _table_name(t, "replaced")
+    schools, layout = t.modeled("private_school"), ["ZIPCODE", "SCHOOLID"]
+    tables.replace_table(schools.where("LATITUDE > 0"), name, layout)
+    return tables.replace_table(schools, name, layout)
+
+
+@entry("sink_rollback")
+def _(t):
+    """The name points at the version before the last again, of which no file was touched."""
     name = _table_name(t, "replaced")
-    schools = t.modeled("private_school")
-    tables.replace_table(schools, name, ["ZIPCODE", "SCHOOLID"])
-    return tables.replace_table(schools, name, ["ZIPCODE", "SCHOOLID"])
+    tables.replace_table(t.modeled("zip_to_zcta5"), name)
+    tables.replace_table(t.modeled("zip_to_zcta5").where("ZCTA5 IS NULL"), name)
+    published.roll_back(t.spark, name)
+    return t.spark.table(name)
 
 
 @entry("sink_truncate")
@@ -163,10 +164,14 @@ def _(t):
 
 @entry("sink_view")
 def _(t):
-    name = _table_name(t, "enrollment_stored")
+    """A stored view over a name that is published anew afterwards."""
+    space = run_namespace(t.spark)
+    name = f"{space}.enrollment_stored"
+    tables.replace_table(t.ready("pubpriv").where("College_Undergrad_Public = 0"), name)
+    view = tables.store_view(t.spark, f"{space}.v_mostly_private", (
+        f"SELECT * FROM {name} WHERE College_Undergrad_Private > College_Undergrad_Public"))
     tables.replace_table(t.ready("pubpriv"), name)
-    query = f"SELECT * FROM {name} WHERE College_Undergrad_Private > College_Undergrad_Public"
-    return tables.store_view(t.spark, _table_name(t, "v_mostly_private"), query)
+    return t.spark.table(f"{space}.v_mostly_private").select(*view.columns)
 
 
 # --- projections and filters -------------------------------------------------
@@ -395,7 +400,8 @@ def _(t):
 @entry("join_left_using")
 def _(t):
     crosswalk = t.ready("zipmap").select("ZCTA5", "ZIPCODE")
-    return joins.split_left_join(t.ready("income").select("ZCTA5", "Average"), crosswalk, "ZCTA5")
+    return joins.split_left_join(t.ready("income").select("ZCTA5", "Average"), crosswalk, "ZCTA5",
+                                 t.key_stats("zipmap", "ZCTA5"), ["ZIPCODE"])
 
 
 @entry("join_full_2way")
@@ -512,10 +518,8 @@ def _(t):
 
 @entry("sort_in_view")
 def _(t):
-    view = tables.publish_view(
-        combine.value_and_units(t.ready("housing_value"), t.ready("housing_status")),
-        "v_Housing_Value_and_Unit_Status")
-    return combine.in_order(view, "Total_Housing_Units")
+    return combine.in_order(_stored_view(t, "v_Housing_Value_and_Unit_Status"),
+                            "Total_Housing_Units")
 
 
 @entry("sort_in_ctas")
@@ -556,7 +560,7 @@ def _staged(t: AreaTables, dataset: str, names: list[str], load: CsvLoad) -> Dat
     folder = scratch_path(t.spark, dataset)
     for name in names:
         write_csv(t.staging(name), f"{folder}/{name}", load)
-    space = _namespace(t.spark)
+    space = run_namespace(t.spark)
     return job_staged(t.spark, dataset, folder, f"{space}_{dataset}", scratch_path(t.spark, "job"))
 
 
@@ -588,7 +592,7 @@ def _write_survey(t: AreaTables) -> str:
 
 @entry("job_staged_survey")
 def _(t):
-    return job_survey(t.spark, _write_survey(t), f"{_namespace(t.spark)}_survey",
+    return job_survey(t.spark, _write_survey(t), f"{run_namespace(t.spark)}_survey",
                       scratch_path(t.spark, "job"))
 
 
@@ -694,9 +698,19 @@ def _(t):
         t.modeled("Income"), t.modeled("Housing_Value"), t.modeled("Working_Weeks_Per_Year")))
 
 
-def _view(name: str, make: Query) -> None:
-    """A published view: the report without order or limit, read back by name."""
-    ENTRIES[f"v01_{name}"] = lambda t: tables.publish_view(make(t), name).select("*")
+def _stored_view(t, name: str) -> DataFrame:
+    """A published view over stored tables: the job's own, or else stored for this call."""
+    space = run_namespace(t.spark)
+    names = {job: t.ready_name(job) or f"{space}.{job}" for job in reporting.VIEWS[name].reads}
+    for job, stored in names.items():
+        if t.ready_name(job) is None:
+            tables.replace_table(t.ready(job), stored)
+    (view,) = reporting.create_views(t.spark, space, names, [name])
+    return t.spark.table(view)
+
+
+for _name in reporting.VIEWS:
+    ENTRIES[f"v01_{_name}"] = lambda t, name=_name: _stored_view(t, name)
 
 
 def _class_and_college(t):
@@ -711,13 +725,12 @@ def _class_and_value(t):
     return combine.class_and_value(t.ready("income"), t.ready("housing_value"))
 
 
-def _higher_income(t, per_area=False):
-    return combine.industry_of_higher_income(t.ready("income"), t.ready("industry"), per_area)
+def _higher_income(t):
+    return combine.industry_of_higher_income(t.ready("income"), t.ready("industry"))
 
 
-def _work_by_industry(t, named=False):
-    return combine.work_by_industry(
-        t.ready("hours"), t.ready("commute"), t.ready("industry"), named)
+def _work_by_industry(t):
+    return combine.work_by_industry(t.ready("hours"), t.ready("commute"), t.ready("industry"))
 
 
 def _enrollment_by_class(t):
@@ -730,7 +743,8 @@ def _graduates(t):
 
 def _resources(t, filtered=True):
     return crossing.resources_and_income(
-        t.ready("income", filtered), t.ready("zipmap"), t.ready("resources"))
+        t.ready("income", filtered), t.ready("zipmap"), t.ready("resources"),
+        t.key_stats("zipmap", "ZCTA5"))
 
 
 def _schools_and_class(t, filtered=True):
@@ -871,19 +885,24 @@ def _(t):
 
 @entry("x04")
 def _(t):
-    return crossing.area_resource_listing(t.ready("income"), t.ready("zipmap"), t.ready("resources"))
+    return crossing.area_resource_listing(
+        t.ready("income"), t.ready("zipmap"), t.ready("resources"),
+        t.key_stats("zipmap", "ZCTA5"), t.key_stats("resources", "ZIPCODE"))
 
 
-_view("v_Industry_With_Higher_Income", lambda t: _higher_income(t, per_area=True))
-_view("v_Income_Class_With_School_Enrollment", _enrollment_by_class)
-_view("v_Working_Situtation_In_Different_Industry", lambda t: _work_by_industry(t, named=True))
-_view("v_Housing_Value_and_Unit_Status", _value_and_units)
-_view("v_Income_Housing_Value", _class_and_value)
-_view("v_School_Enrollment_Average", lambda t: combine.areas_above_average(t.ready("enrollment")))
-_view("v_Industry_School_Enrollment_Average", _graduates)
-_view("v_Public_Resources_with_Income", _resources)
-_view("v_School_with_Income_Class", _schools_and_class)
-_view("v_Postsecondary_vs_PublicPrivate_enrollment", _colleges)
+@entry("x04_split")
+def _(t):
+    """The same over stored tables with key statistics, one row to a slot: all keys of several
+    rows are dealt out."""
+    space, spark = run_namespace(t.spark), t.spark
+    keys = {"zipmap": "ZCTA5", "resources": "ZIPCODE"}
+    stored = {job: tables.replace_table(t.ready(job), f"{space}.{job}") for job in keys}
+    for job, key in keys.items():
+        key_stats.store_key_statistics(spark, f"{space}.{job}", key, more_than=1)
+    return crossing.area_resource_listing(
+        t.ready("income"), stored["zipmap"], stored["resources"],
+        *(key_stats.key_statistics(spark, f"{space}.{job}", key) for job, key in keys.items()),
+        slot_rows=1)
 
 
 # --- integrity reports ------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.plans import modeled, row_jobs
+from areaweave.operators.key_stats import store_key_statistics
+from areaweave.plans import modeled, reporting, row_jobs
 from areaweave.sources import csv_files
 from areaweave.sources.csv_files import CsvLoad, read_csv
 from areaweave.sources.field_lists import school_field_list, schema_from_json
@@ -26,6 +27,8 @@ class Branch:
     model: Callable[[DataFrame], DataFrame]
     layout: tuple[str, ...]
     row_job: str
+    counted: tuple[str, ...] = ()
+    """Keys of the finished table whose statistics are stored with it."""
 
 
 def _school(table: str, row_job: str) -> Branch:
@@ -40,9 +43,9 @@ DATASETS = {
         _school("private_school", "private_school"),
     ],
     "uds": [Branch("zip_to_zcta5", csv_files.CROSSWALK_LOAD, modeled.crosswalk_table,
-                   ("ZIPCODE",), "zipmap")],
+                   ("ZIPCODE",), "zipmap", ("ZCTA5",))],
     "iml": [Branch("public_resources", csv_files.RESOURCE_LOAD, modeled.resource_table,
-                   (), "resources")],
+                   (), "resources", ("ZIPCODE",))],
 }
 
 
@@ -97,6 +100,8 @@ def job_staged(spark: SparkSession, dataset: str, in_dir: str, namespace: str,
         staged = replace_table(rows, f"{staging_ns}.{table}")
         clean = replace_table(branch.model(staged), target, branch.layout)
         ready = row_jobs.run(clean, branch.row_job, f"{target}_ready")
+        for key in branch.counted:
+            store_key_statistics(spark, f"{target}_ready", key)
         return [_counted(staged, table, "staging"), _counted(clean, table, "modeled"),
                 _counted(ready, table, "ready")]
 
@@ -129,3 +134,14 @@ def job_survey(spark: SparkSession, in_dir: str, namespace: str, location: str |
     survey = [name for name, job in row_jobs.ROW_JOBS.items() if job.columns]
     counts = _side_by_side(load, list(SURVEY_EXTRACTS)) + _side_by_side(make, survey)
     return reduce(DataFrame.unionByName, counts)
+
+
+def job_views(spark: SparkSession, namespace: str, tables: Mapping[str, str] | None = None,
+              location: str | None = None) -> list[str]:
+    """Keep the published views in `<namespace>_reporting`, over the tables the jobs stored in
+    `<namespace>_modeled`, or over `tables` (row job -> table). Safe to repeat."""
+    stored = tables or {name: f"{namespace}_modeled.{job.source}_ready"
+                        for name, job in row_jobs.ROW_JOBS.items()}
+    space = f"{namespace}_reporting"
+    create_namespace(spark, space, f"{location}/{space}" if location else None)
+    return reporting.create_views(spark, space, stored)

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from areaweave.operators.key_stats import key_statistics
 from areaweave.plans import modeled, row_jobs
 from areaweave.sources import derived
 
@@ -51,6 +52,12 @@ class AreaTables:
         job = row_jobs.ROW_JOBS[name]
         return row_jobs.full(self.modeled(job.source), job, filtered)
 
+    def ready_name(self, name: str) -> None:
+        """These tables are not stored."""
+
+    def key_stats(self, name: str, key: str) -> None:
+        """Nor is anything counted of them."""
+
     def sample(self, name: str) -> DataFrame:
         job = row_jobs.ROW_JOBS[name]
         return row_jobs.sample(self.modeled(job.source), job)
@@ -74,7 +81,13 @@ class StoredTables:
         job = row_jobs.ROW_JOBS[name]
         if job.full_filter and not filtered:
             return row_jobs.full(self.modeled(job.source), job, filtered)
-        return self.spark.table(f"{self.namespace}_modeled.{job.source}_ready")
+        return self.spark.table(self.ready_name(name))
+
+    def ready_name(self, name: str) -> str:
+        return f"{self.namespace}_modeled.{row_jobs.ROW_JOBS[name].source}_ready"
+
+    def key_stats(self, name: str, key: str) -> DataFrame | None:
+        return key_statistics(self.spark, self.ready_name(name), key)
 
     def sample(self, name: str) -> DataFrame:
         job = row_jobs.ROW_JOBS[name]

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from areaweave.fixed_values import SAMPLE_ROWS
 from areaweave.operators.ranking import top_k
+from areaweave.sources.published import publish
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -37,33 +38,16 @@ def create_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str, layout: Sequence[str] = ()) -> DataFrame:
-    """Store a table, replacing an earlier one, optionally laid out in key order.
-
-    Give the table's key last in `layout`: files are cut by ranges over all of it, so a
-    value many rows share still spreads over several files and tasks.
-    """
-    rows = df.repartitionByRange(*layout).sortWithinPartitions(*layout) if layout else df
-    rows.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
-
-
-def replace_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Store a table, replacing an earlier one, so that joins on `key` need no shuffle.
-
-    One file per bucket. For tables whose key identifies a row; tables joined with each
-    other need the same number of buckets.
-    """
-    rows = df.repartition(buckets, key).write.mode("overwrite")
-    rows.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Store the next version of a table, optionally laid out in key order, and let its name
+    stand for it; see `published.publish`."""
+    return publish(df, name, layout)
 
 
 def truncate_table(df: DataFrame, name: str, schema: T.StructType | str,
                    key: str | None = None, buckets: int | None = None) -> DataFrame:
     """Replace a table's rows, writing the declared columns, by name, in declared types;
-    bucketed by `key` if a number of buckets is given."""
-    rows = to_declared(df, schema)
-    return replace_bucketed(rows, name, key, buckets) if buckets else replace_table(rows, name)
+    bucketed by `key` if a number of buckets is given (for tables whose key identifies a row)."""
+    return publish(to_declared(df, schema), name, key=key, buckets=buckets)
 
 
 def to_declared(df: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -79,12 +63,6 @@ def dump_rows(df: DataFrame, folder: str) -> str:
     return folder
 
 
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Name a result for the session without computing it."""
-    df.createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
-
-
 def store_view(spark: SparkSession, name: str, query: str) -> DataFrame:
     """A view kept in the catalog, planned anew at each read; `query` reads stored tables."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")

@@ -426,6 +426,7 @@ SQL["src_sample"] = (
 SQL["ns_create"] = "SELECT * FROM m_zip_to_zcta5"
 SQL["sink_ctas"] = "SELECT * FROM m_Labor_Force_Stats"
 SQL["sink_replace"] = "SELECT * FROM m_private_school"
+SQL["sink_rollback"] = "SELECT * FROM m_zip_to_zcta5"
 SQL["sink_truncate"] = "SELECT * FROM d_resources"
 SQL["sink_audit"] = (
     f"SELECT 'input' AS stage, NAME AS area, {', '.join(fv.WEEKS)} FROM m_Working_Weeks_Per_Year "
@@ -761,6 +762,7 @@ SQL["x03"] = _top(_COLLEGES, ["ZCTA5", "Public_enrollment", "Private_enrollment"
 SQL["x04"] = (
     "SELECT * FROM d_income LEFT JOIN d_zipmap USING (ZCTA5) LEFT JOIN d_resources USING (ZIPCODE)"
 )
+SQL["x04_split"] = SQL["x04"]
 SQL["join_to_aggregate"] = _COLLEGES
 SQL["join_agg_to_agg"] = _schools("d_all_income")
 
