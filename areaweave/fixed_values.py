@@ -178,17 +178,6 @@ SCHOOL_LEADING_FIELDS = {
     "public_school": ["NCESSCH", "NAME", "OPSTFIPS"],
 }
 
-SCHOOL_SINK = (
-    "SCHOOLID STRING, NAME STRING, STREET STRING, CITY STRING, STATE STRING, "
-    "ZIPCODE STRING, LATITUDE DOUBLE, LONGITUDE DOUBLE"
-)
-CROSSWALK_SINK = "ZIPCODE STRING, STATE STRING, ZCTA5 STRING"
-RESOURCE_SINK = (
-    "MID BIGINT, DISCIPL STRING, COMMONNAME STRING, LEGALNAME STRING, ADSTREET STRING, "
-    "ADCITY STRING, ADSTATE STRING, ZIPCODE STRING, PHONE STRING, WEBURL STRING, "
-    "INCOME DOUBLE, REVENUE DOUBLE, LONGITUDE DOUBLE, LATITUDE DOUBLE"
-)
-
 # --- names the exploration reports give to the codes (spelling as published) --
 
 LABOR_FORCE_REPORT = {

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areaweave.operators.joins import without_parent
@@ -46,9 +48,38 @@ def missing_parents(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return without_parent(child, parent, key)
 
 
-def as_report(df: DataFrame, subject: str, measures: dict[str, Column]) -> DataFrame:
-    """Evaluate all measures of a table in one scan; one result row per measure."""
-    one_row = df.agg(*(m.cast("bigint").alias(name) for name, m in measures.items()))
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """field, value (as text), rows: how often each value of the columns occurs, NULL included.
+
+    All columns are counted by one shuffle, combined map-side first, so a value that many
+    rows share is one row per task. Any number of key checks follow from these counts.
+    """
+    pairs = ", ".join(f"struct('{c}' AS field, CAST(`{c}` AS STRING) AS value)" for c in columns)
+    return df.selectExpr(f"inline(array({pairs}))").groupBy("field", "value").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def rows_where(field: str, condition: str = "true") -> str:
+    """Over value counts: rows whose value of `field` meets the condition."""
+    return f"coalesce(sum(rows) FILTER (WHERE field = '{field}' AND {condition}), 0)"
+
+
+def values_where(field: str, condition: str = "value IS NOT NULL") -> str:
+    """Over value counts: distinct values of `field` that meet the condition."""
+    return f"count_if(field = '{field}' AND {condition})"
+
+
+def orphan_rows(counts: DataFrame, field: str, parent: DataFrame, key: str) -> DataFrame:
+    """The value counts of one field whose value is NULL or not among the parent's keys: the child
+    is not read again, and a value that many child rows share meets the parent once."""
+    own = counts.where(F.col("field") == field)
+    keys = parent.select(F.col(f"`{key}`").cast("string").alias("value"))
+    return without_parent(own, keys, "value")
+
+
+def as_report(df: DataFrame, subject: str, measures: dict[str, str]) -> DataFrame:
+    """Evaluate all measures (SQL aggregates) in one pass; one result row per measure."""
+    one_row = df.agg(*(F.expr(f"CAST({m} AS BIGINT)").alias(name) for name, m in measures.items()))
     pairs = F.explode(
         F.array(*(F.struct(F.lit(name).alias("check_name"), F.col(name).alias("value"))
                   for name in measures))

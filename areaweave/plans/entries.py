@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +16,18 @@ from areaweave.operators import checks, joins, key_stats, ranking
 from areaweave.plans import combine, crossing, explore, integrity, reporting, row_jobs
 from areaweave.plans.modeled import AREA_TABLES
 from areaweave.plans.row_jobs import ROW_JOBS
-from areaweave.plans.staged import SURVEY_EXTRACTS, job_staged, job_survey
+from areaweave.plans.staged import (
+    SURVEY_EXTRACTS, SURVEY_JOBS, TUTORIAL_EXTRACTS, audit, job_load, job_staged, job_survey,
+)
 from areaweave.sources import csv_files, published, tables
 from areaweave.sources.area_tables import SCHOOLS, AreaTables
 from areaweave.sources.csv_files import CsvLoad, read_csv, write_csv
-from areaweave.sources.field_lists import school_field_list, schema_from_json, school_fields
+from areaweave.sources.field_lists import (
+    drift, read_field_list, schema_from_json, school_field_list, school_fields, sink_schemas,
+)
+from areaweave.sources.landing import land, landed
 from areaweave.sources.runs import run_namespace
-from areaweave.sources.scratch import scratch_path
+from areaweave.sources.scratch import run_folder, scratch_path
 
 Query = Callable[[AreaTables], DataFrame]
 ENTRIES: dict[str, Query] = {}
@@ -46,17 +54,35 @@ def _through_csv(t: AreaTables, table: str, load: CsvLoad) -> DataFrame:
     return read_csv(t.spark, write_csv(t.staging(table), path, load), load)
 
 
+def _landed(t: AreaTables, table: str, load: CsvLoad) -> DataFrame:
+    """The same by landing the extract: its types are found while it is read once."""
+    folder = scratch_path(t.spark, f"landed-{table}")
+    path = write_csv(t.staging(table), scratch_path(t.spark, table), load)
+    land(t.spark, path, load, folder)
+    return landed(t.spark, folder)
+
+
+def _fields(df: DataFrame, table: str, key: str) -> DataFrame:
+    """One row per value: table, key, column, and the value as a number or as text, by its type."""
+    cells = (
+        f"named_struct('field', '{f.name}', "
+        + ("'number', CAST(NULL AS DOUBLE), 'text', {0})" if f.dataType == tables.T.StringType() else
+           "'number', CAST({0} AS DOUBLE), 'text', CAST(NULL AS STRING))").format(f.name)
+        for f in df.schema if f.name != key)
+    return df.selectExpr(f"'{table}' AS table_name", f"{key} AS area", f"inline(array({', '.join(cells)}))")
+
+
 # --- sources and sinks ---------------------------------------------------------
 
 
 @entry("src_csv_infer")
 def _(t):
-    return _through_csv(t, "current_students", csv_files.PLAIN_LOAD)
+    return _landed(t, "current_students", csv_files.PLAIN_LOAD)
 
 
 @entry("src_csv_nullmarker")
 def _(t):
-    return _through_csv(t, "zip_to_zcta5", csv_files.CROSSWALK_LOAD)
+    return _landed(t, "zip_to_zcta5", csv_files.CROSSWALK_LOAD)
 
 
 @entry("src_csv_nullmarker_survey")
@@ -66,6 +92,33 @@ def _(t):
     return rows.selectExpr(*(f"CAST({c} AS STRING) AS {c}" for c in rows.columns))
 
 
+@entry("src_csv_survey_values")
+def _(t):
+    """The survey in the types found: numbers where every value of a column is one, else text."""
+    return _fields(_landed(t, "economics", csv_files.SURVEY_LOAD), "economics", "NAME")
+
+
+@entry("src_csv_survey_types")
+def _(t):
+    """The type found for each column of the four survey extracts."""
+    found = [(name, field.name, field.dataType.simpleString())
+             for name, load in SURVEY_EXTRACTS.items()
+             for field in _landed(t, name, load).schema]
+    return t.spark.createDataFrame(found, "table_name STRING, field STRING, type STRING")
+
+
+for _name in TUTORIAL_EXTRACTS:
+    @entry(f"src_tutorial_{_name}")
+    def _(t, name=_name):
+        """One of the three tutorial extracts, loaded as tables by one job."""
+        folder = scratch_path(t.spark, "tutorial")
+        for each, load in TUTORIAL_EXTRACTS.items():
+            write_csv(t.staging(each), f"{folder}/{each}", load)
+        space = run_namespace(t.spark)
+        job_load(t.spark, folder, space, TUTORIAL_EXTRACTS, scratch_path(t.spark, "job"))
+        return t.spark.table(f"{space}_staging.{name}")
+
+
 RAGGED_SCHEMA = "MID BIGINT, DISCIPL STRING, ADZIP5 INT, INCOME15 STRING, WEBURL STRING"
 
 
@@ -85,6 +138,21 @@ def _(t):
     return rows.withColumn("uneven", uneven).drop(csv_files.MALFORMED)
 
 
+@entry("src_csv_ragged_inferred")
+def _(t):
+    """The resources' own load: names from the header, types found, uneven rows padded or cut."""
+    path = scratch_path(t.spark, "ragged")
+    names = "MID,DISCIPL,ADZIP5,INCOME15,WEBURL"
+    t.staging("public_resources").selectExpr(
+        "concat_ws(',', slice(array(CAST(MID AS STRING), DISCIPL, CAST(ADZIP5 AS STRING), "
+        "INCOME15, WEBURL, 'surplus'), 1, "
+        f"CASE DISCIPL WHEN 'click' THEN 3 WHEN 'view' THEN 6 ELSE 5 END)) AS `{names}`"
+    ).write.options(header=True, quote="", sep="|", ignoreLeadingWhiteSpace=False).csv(path)
+    folder = scratch_path(t.spark, "landed-ragged")
+    land(t.spark, path, csv_files.RESOURCE_LOAD, folder)
+    return landed(t.spark, folder)
+
+
 @entry("src_csv_schema")
 def _(t):
     schema = tables.T.StructType.fromDDL(
@@ -99,6 +167,21 @@ def _(t):
     return _through_csv(t, "postsecondary_school", CsvLoad(schema=schema))
 
 
+@entry("src_schema_drift")
+def _(t):
+    """A field list kept in a file, against the schema found in an extract."""
+    path = scratch_path(t.spark, "fields")
+    wanted = [{"name": "sid", "type": "INTEGER"}, {"name": "cno", "type": "STRING"},
+              {"name": "sname", "type": "STRING"}, {"name": "credits", "type": "FLOAT"}]
+    t.spark.createDataFrame([(json.dumps(wanted, indent=1),)], "value STRING").coalesce(
+        1).write.text(path)
+    found = _landed(t, "current_students", csv_files.PLAIN_LOAD).schema
+    return t.spark.createDataFrame(
+        [(d.column, d.problem, d.declared, d.found)
+         for d in drift(read_field_list(t.spark, path), found)],
+        "field STRING, problem STRING, declared STRING, found STRING")
+
+
 @entry("src_query")
 def _(t):
     income = t.modeled("Income")
@@ -144,13 +227,13 @@ def _(t):
 @entry("sink_truncate")
 def _(t):
     return tables.truncate_table(
-        t.ready("resources"), _table_name(t, "truncated"), fv.RESOURCE_SINK
+        t.ready("resources"), _table_name(t, "truncated"), sink_schemas()["resources"]
     )
 
 
 @entry("sink_audit")
 def _(t):
-    folder = scratch_path(t.spark, "audit")
+    folder = run_folder(scratch_path(t.spark, "audit"))
     row_jobs.run(t.modeled("Working_Weeks_Per_Year"), "weeks", _table_name(t, "audited"), folder)
     before = "NAME STRING, " + ", ".join(f"{c} BIGINT" for c in fv.WEEKS)
     after = "ZCTA5 STRING, " + ", ".join(f"{c} BIGINT" for c in fv.WEEKS.values())
@@ -533,6 +616,16 @@ def _(t):
     return explore.preview(t.modeled("public_school"), "SCHOOLID", 10)
 
 
+@entry("limit_any")
+def _(t):
+    """Any ten rows: how many there are, have a key and are rows of the table."""
+    schools = t.modeled("public_school")
+    some = tables.read_sample(schools, "SCHOOLID", 10, ordered=False)
+    known = joins.with_parent(some, schools, "SCHOOLID")
+    return some.agg(F.count("SCHOOLID").alias("rows")).join(
+        known.agg(F.count("SCHOOLID").alias("found")))
+
+
 # --- checks and the staged job ---------------------------------------------------------
 
 
@@ -556,27 +649,99 @@ def _(t):
     return checks.missing_parents(t.ready("zipmap"), t.ready("income"), "ZCTA5")
 
 
-def _staged(t: AreaTables, dataset: str, names: list[str], load: CsvLoad) -> DataFrame:
-    folder = scratch_path(t.spark, dataset)
+_JOBS = {
+    "edge": (SCHOOLS, csv_files.PLAIN_LOAD, ["postsecondary", "public_school", "private_school"]),
+    "uds": (["zip_to_zcta5"], csv_files.CROSSWALK_LOAD, ["zipmap"]),
+    "iml": (["public_resources"], csv_files.RESOURCE_LOAD, ["resources"]),
+}
+
+
+def _extracts(t: AreaTables, dataset: str, left_out: tuple[str, ...] = (),
+              folder: str | None = None) -> str:
+    folder = folder or scratch_path(t.spark, dataset)
+    names, load, _ = _JOBS[dataset]
     for name in names:
-        write_csv(t.staging(name), f"{folder}/{name}", load)
-    space = run_namespace(t.spark)
-    return job_staged(t.spark, dataset, folder, f"{space}_{dataset}", scratch_path(t.spark, "job"))
+        if name not in left_out:
+            write_csv(t.staging(name), f"{folder}/{name}", load)
+    return folder
+
+
+def _staged(t: AreaTables, dataset: str, **options) -> tuple[DataFrame, str]:
+    """What the job returns, and the namespace it stored its tables in."""
+    space = f"{run_namespace(t.spark)}_{dataset}"
+    return job_staged(t.spark, dataset, _extracts(t, dataset), space,
+                      scratch_path(t.spark, "job"), **options), space
+
+
+for _dataset, _entry_name in {"edge": "job_staged", "uds": "job_staged_uds",
+                              "iml": "job_staged_iml"}.items():
+    ENTRIES[_entry_name] = lambda t, dataset=_dataset: _staged(t, dataset)[0]
 
 
-@entry("job_staged")
+@entry("job_rows_edge")
 def _(t):
-    return _staged(t, "edge", SCHOOLS, csv_files.PLAIN_LOAD)
+    """What the job stored, by value."""
+    _, space = _staged(t, "edge")
+    ready = [t.spark.table(f"{space}_modeled.{name}_ready").select(
+        F.lit(name).alias("table_name"), "*") for name in SCHOOLS]
+    return ready[0].unionByName(ready[1]).unionByName(ready[2])
 
 
-@entry("job_staged_uds")
+@entry("job_rows_uds")
 def _(t):
-    return _staged(t, "uds", ["zip_to_zcta5"], csv_files.CROSSWALK_LOAD)
+    _, space = _staged(t, "uds")
+    return t.spark.table(f"{space}_modeled.zip_to_zcta5_ready")
 
 
-@entry("job_staged_iml")
+@entry("job_rows_iml")
 def _(t):
-    return _staged(t, "iml", ["public_resources"], csv_files.RESOURCE_LOAD)
+    _, space = _staged(t, "iml")
+    return t.spark.table(f"{space}_modeled.public_resources_ready")
+
+
+@entry("job_audit")
+def _(t):
+    """What was counted while all four jobs ran, and the rows of their dumps."""
+    folder, found = scratch_path(t.spark, "audits"), []
+    survey = f"{run_namespace(t.spark)}_survey"
+    job_survey(t.spark, _write_survey(t), survey, scratch_path(t.spark, "job"),
+               audit_root=f"{folder}/survey")
+    found.append(audit(t.spark, survey, SURVEY_JOBS))
+    for dataset, (_, _, jobs) in _JOBS.items():
+        _, space = _staged(t, dataset, audit_root=f"{folder}/{dataset}")
+        found.append(audit(t.spark, space, jobs))
+    counted = reduce(DataFrame.unionByName, found)
+    # <folder>/<job>/<time>/<table>/<input or output>/<file>
+    step = F.split("path", "/")
+    dumped = t.spark.read.option("recursiveFileLookup", True).text(folder).select(
+        F.col("_metadata.file_path").alias("path")).select(
+        F.element_at(step, -3).alias("source"), F.element_at(step, -2).alias("dump")).groupBy(
+        "source").agg(F.count_if(F.col("dump") == "input").alias("dumped_before"),
+                      F.count_if(F.col("dump") == "output").alias("dumped_after"))
+    sources = t.spark.createDataFrame([(name, job.source) for name, job in ROW_JOBS.items()],
+                                      "job STRING, source STRING")
+    return counted.join(sources, "job").join(dumped, "source").drop("source")
+
+
+@entry("job_rerun")
+def _(t):
+    """The job fails at one of its extracts, is started again once that is there, and once more:
+    every step has run once. Versions of each table, and its rows."""
+    folder = _extracts(t, "edge", left_out=("public_school",))
+    space, place = f"{run_namespace(t.spark)}_rerun", scratch_path(t.spark, "job")
+    try:
+        job_staged(t.spark, "edge", folder, space, place)
+        raise RuntimeError("an extract is missing")
+    except AnalysisException:
+        pass
+    write_csv(t.staging("public_school"), f"{folder}/public_school", _JOBS["edge"][1])
+    for _ in range(2):
+        counts = job_staged(t.spark, "edge", folder, space, place)
+    stages = {"staging": ("staging", ""), "modeled": ("modeled", ""), "ready": ("modeled", "_ready")}
+    made = [(name, stage, len(published.versions(t.spark, f"{space}_{layer}.{name}{end}")))
+            for name in SCHOOLS for stage, (layer, end) in stages.items()]
+    return counts.join(t.spark.createDataFrame(
+        made, "table_name STRING, stage STRING, versions BIGINT"), ["table_name", "stage"])
 
 
 def _write_survey(t: AreaTables) -> str:
@@ -590,10 +755,23 @@ def _write_survey(t: AreaTables) -> str:
     return folder
 
 
+def _survey(t: AreaTables) -> tuple[DataFrame, str]:
+    space = f"{run_namespace(t.spark)}_survey"
+    return job_survey(t.spark, _write_survey(t), space, scratch_path(t.spark, "job")), space
+
+
 @entry("job_staged_survey")
 def _(t):
-    return job_survey(t.spark, _write_survey(t), f"{run_namespace(t.spark)}_survey",
-                      scratch_path(t.spark, "job"))
+    return _survey(t)[0]
+
+
+@entry("job_rows_survey")
+def _(t):
+    """All values of the thirteen tables the job stored."""
+    _, space = _survey(t)
+    return reduce(DataFrame.unionByName, (
+        _fields(t.spark.table(f"{space}_modeled.{name}_ready"), name, "ZCTA5")
+        for name in AREA_TABLES))
 
 
 # --- exploration reports and previews --------------------------------------------------

@@ -1,52 +1,60 @@
-"""Integrity reports: every check of a table in one scan of it."""
+"""Integrity reports: every check of a table from one count of its key values."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from areaweave.fixed_values import ZIP_LENGTH
-from areaweave.operators.checks import as_report, missing_parents
+from areaweave.operators.checks import (
+    as_report, orphan_rows, rows_where, value_counts, values_where,
+)
 
 
-def _key(name: str) -> dict[str, Column]:
-    return {f"{name}_values": F.count(name), f"{name}_distinct": F.count_distinct(name)}
+def _key(name: str) -> dict[str, str]:
+    return {f"{name}_values": rows_where(name, "value IS NOT NULL"),
+            f"{name}_distinct": values_where(name)}
+
+
+def _too_short(name: str) -> dict[str, str]:
+    return {f"{name}_too_short": rows_where(name, f"length(value) < {ZIP_LENGTH}")}
 
 
 def school_report(table: str, modeled: DataFrame, transformed: DataFrame) -> DataFrame:
     """Key counts before the row job; keys, missing and overlong ZIPs after it."""
+    keys = ["SCHOOLID", "ZIPCODE"]
     before = {**_key("SCHOOLID"), **_key("ZIPCODE")}
     after = {
         **_key("SCHOOLID"),
-        "ZIPCODE_missing": F.count_if(F.col("ZIPCODE").isNull()),
-        "ZIPCODE_too_long": F.count_if(F.length("ZIPCODE") > ZIP_LENGTH),
+        "ZIPCODE_missing": rows_where("ZIPCODE", "value IS NULL"),
+        "ZIPCODE_too_long": rows_where("ZIPCODE", f"length(value) > {ZIP_LENGTH}"),
     }
-    return as_report(modeled, f"{table} modeled", before).unionByName(
-        as_report(transformed, f"{table} transformed", after)
+    return as_report(value_counts(modeled, keys), f"{table} modeled", before).unionByName(
+        as_report(value_counts(transformed, keys), f"{table} transformed", after)
     )
 
 
 def crosswalk_report(modeled: DataFrame, transformed: DataFrame, income: DataFrame) -> DataFrame:
+    names = ["ZIPCODE", "ZCTA5"]
     keys = {**_key("ZIPCODE"), **_key("ZCTA5")}
-    lengths = {
-        f"{c}_too_short": F.count_if(F.length(c) < ZIP_LENGTH) for c in ("ZIPCODE", "ZCTA5")
-    }
-    orphans = missing_parents(transformed, income, "ZCTA5")
+    counts = value_counts(transformed, names)
+    orphans = orphan_rows(counts, "ZCTA5", income, "ZCTA5")
     return (
-        as_report(modeled, "zip_to_zcta5 modeled", keys)
-        .unionByName(as_report(transformed, "zip_to_zcta5 transformed", {**keys, **lengths}))
+        as_report(value_counts(modeled, names), "zip_to_zcta5 modeled", keys)
+        .unionByName(as_report(counts, "zip_to_zcta5 transformed",
+                               {**keys, **_too_short("ZIPCODE"), **_too_short("ZCTA5")}))
         .unionByName(as_report(orphans, "zip_to_zcta5 transformed",
-                               {"ZCTA5_without_income": F.count("*")}))
+                               {"ZCTA5_without_income": rows_where("ZCTA5")}))
     )
 
 
 def resource_report(modeled: DataFrame, transformed: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    keys = {"rows": F.count("*"), "MID_distinct": F.count_distinct("MID")}
-    short = {"ZIPCODE_too_short": F.count_if(F.length("ZIPCODE") < ZIP_LENGTH)}
-    orphans = missing_parents(transformed, crosswalk, "ZIPCODE")
+    keys = {"rows": rows_where("MID"), "MID_distinct": values_where("MID")}
+    counts = value_counts(transformed, ["MID", "ZIPCODE"])
+    orphans = orphan_rows(counts, "ZIPCODE", crosswalk, "ZIPCODE")
     return (
-        as_report(modeled, "public_resources modeled", keys)
-        .unionByName(as_report(transformed, "public_resources transformed", {**keys, **short}))
+        as_report(value_counts(modeled, ["MID"]), "public_resources modeled", keys)
+        .unionByName(as_report(counts, "public_resources transformed",
+                               {**keys, **_too_short("ZIPCODE")}))
         .unionByName(as_report(orphans, "public_resources transformed",
-                               {"ZIPCODE_without_area": F.count("*")}))
+                               {"ZIPCODE_without_area": rows_where("ZIPCODE")}))
     )

@@ -7,10 +7,13 @@ works on the first 50 rows and keeps the source key, as a dry run.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areaweave import fixed_values as fv
 from areaweave.functions.classes import (
@@ -22,6 +25,7 @@ from areaweave.functions.classes import (
 )
 from areaweave.functions.cleaning import area_code, five_digit_zip, or_zero, pad_code
 from areaweave.plans.modeled import AREA_TABLES
+from areaweave.sources.field_lists import sink_schemas
 from areaweave.sources.tables import dump_rows, read_query, read_sample, truncate_table
 
 
@@ -109,15 +113,6 @@ ROW_JOBS = {
     "postsecondary": RowJob("postsecondary_school", "SCHOOLID", recode={"ZIPCODE": five_digit_zip}),
 }
 
-SINKS = {
-    "zipmap": fv.CROSSWALK_SINK,
-    "resources": fv.RESOURCE_SINK,
-    "private_school": fv.SCHOOL_SINK,
-    "public_school": fv.SCHOOL_SINK,
-    "postsecondary": fv.SCHOOL_SINK,
-}
-
-
 def null_filled(df: DataFrame, job: RowJob, key: str) -> DataFrame:
     """NULL as zero in the job's columns, under their codes."""
     filled = (f"{or_zero(c, job.sink_type(c))} AS {c}" for c in job.columns)
@@ -145,30 +140,66 @@ def full(source: DataFrame, job: RowJob, filtered: bool = True) -> DataFrame:
 
 
 def sample(source: DataFrame, job: RowJob) -> DataFrame:
-    """The dry run: 50 rows, source key kept."""
+    """The dry run: 50 rows with a key, which is kept as it is."""
     rows = read_sample(read_query(source, where=job.sample_filter), job.key)
     return transform(rows, job, keep_key=True)
 
 
+def sink_schema(name: str, dry_run: bool = False) -> T.StructType:
+    """The declared result of a job; a dry run keeps the source's key under its name."""
+    declared, job = sink_schemas()[name], ROW_JOBS[name]
+    if not (dry_run and job.columns):
+        return declared
+    return T.StructType([T.StructField(job.key, T.StringType()), *declared.fields[1:]])
+
+
 def run(source: DataFrame, name: str, target: str, audit_folder: str | None = None,
-        dry_run: bool = False, buckets: int | None = None) -> DataFrame:
+        dry_run: bool = False, buckets: int | None = None, inputs: str | None = None) -> DataFrame:
     """Transform a stored source table into a stored target table, whole or as a dry run.
 
-    `buckets` stores an area table bucketed by ZCTA5, which spares reports their shuffles.
+    The result is written in the types declared for the job. `buckets` stores an area table
+    bucketed by ZCTA5, which spares reports their shuffles. `inputs` is kept with the result.
+
+    Rows read, rows without a key, rows chosen and rows made are counted while the result is written
+    and kept with it; if they do not add up, the job fails and the target stays as it was.
 
     With an audit folder the rows before and after are dumped as well: the first from the
     (pruned) source scan, the second from the stored result, so nothing is computed twice
     and nothing has to be cached.
     """
     job = ROW_JOBS[name]
+    used = [job.key, *job.columns] if job.columns else source.columns
+    condition = job.sample_filter if dry_run else job.full_filter
+    read, chosen, made = Observation(), Observation(), Observation()
+    counted = F.count(F.lit(1)).alias("rows")
+    seen = [counted, F.count_if(F.col(job.key).isNull()).alias("nameless")]
+    whole = read_query(source, used)
+    picked = read_query(whole, where=condition)
+    # A sample is sorted, for which rows can be read twice; those are counted on their own.
+    picked = read_sample(picked, job.key) if dry_run else picked
     if audit_folder:
-        used = [job.key, *job.columns] if job.columns else source.columns
-        condition = job.sample_filter if dry_run else job.full_filter
-        before = read_query(source, used, condition)
-        dump_rows(read_sample(before, job.key) if dry_run else before, f"{audit_folder}/input")
-    result = sample(source, job) if dry_run else full(source, job)
-    declared = SINKS.get(name, result.schema)
-    stored = truncate_table(result, target, declared, "ZCTA5", None if dry_run else buckets)
+        dump_rows(picked, f"{audit_folder}/input")
+    rows = picked if dry_run else read_query(whole.observe(read, *seen), where=condition)
+    result = transform(rows.observe(chosen, counted), job, keep_key=dry_run).observe(made, counted)
+
+    def approve(stored: DataFrame) -> dict[str, str]:
+        total = whole.agg(*seen).first().asDict() if dry_run else read.get
+        counts = {**total, "chosen": chosen.get["rows"], "made": made.get["rows"],
+                  "stored": stored.count()}
+        if counts["stored"] != counts["made"]:
+            # Tasks of a shuffle that had to run again counted their rows again.
+            counts["chosen"] = counts["made"] = picked.count()
+        check_counts(name, counts)
+        return {"counts": json.dumps(counts), **({"inputs": inputs} if inputs else {})}
+
+    stored = truncate_table(result, target, sink_schema(name, dry_run), "ZCTA5",
+                            None if dry_run else buckets, approve)
     if audit_folder:
         dump_rows(stored, f"{audit_folder}/output")
     return stored
+
+
+def check_counts(name: str, counts: Mapping[str, int]) -> None:
+    """A row job makes one row of each it chooses, and all of them are stored."""
+    if not counts["rows"] >= counts["chosen"] == counts["made"] == counts["stored"]:
+        raise ValueError(f"rows of {name} do not add up: {dict(counts)}")

@@ -23,6 +23,7 @@ _STAGING = {
     "zip_to_zcta5": derived.zip_to_zcta5,
     "public_resources": derived.public_resources,
     "current_students": derived.current_students,
+    "new_students": derived.new_students,
     "classes": derived.classes,
 }
 SCHOOLS = ["private_school", "public_school", "postsecondary_school"]

@@ -2,15 +2,15 @@
 
 A `CsvLoad` says how one extract is written: fixed or inferred types, the text that
 means NULL, line breaks inside quotes, rows of uneven length. Empty fields are NULL.
-Inference reads the files once more, and quoted line breaks keep a file from being
-split over tasks, so extracts of any size should come as many files and with a schema.
+`read_csv` without a schema reads the files twice, once to infer it; `landing.land` reads them
+once. Quoted line breaks, which have to be asked for, keep a file from being split over tasks.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 MALFORMED = "_malformed"
@@ -32,13 +32,7 @@ RESOURCE_LOAD = CsvLoad(quoted_newlines=True, ragged=True)
 PLAIN_LOAD = CsvLoad()
 
 
-def read_csv(spark: SparkSession, path: str, load: CsvLoad, keep_malformed: bool = False) -> DataFrame:
-    """Read one extract.
-
-    A row of the wrong length fails the load, unless the load is `ragged`: then missing
-    trailing fields are NULL and surplus ones are dropped. `keep_malformed` (ragged loads
-    with a schema) adds a column holding the text of each uneven row, NULL for the rest.
-    """
+def _reader(spark: SparkSession, load: CsvLoad) -> DataFrameReader:
     reader = (
         spark.read.option("header", load.header)
         .option("multiLine", load.quoted_newlines)
@@ -47,8 +41,22 @@ def read_csv(spark: SparkSession, path: str, load: CsvLoad, keep_malformed: bool
         # Parse whole rows even when few columns are used, or uneven rows go unnoticed.
         .option("columnPruning", False)
     )
-    if load.null_marker is not None:
-        reader = reader.option("nullValue", load.null_marker)
+    return reader if load.null_marker is None else reader.option("nullValue", load.null_marker)
+
+
+def text_rows(spark: SparkSession, path: str, load: CsvLoad) -> DataFrame:
+    """One extract with every column as text; only its first line is read for the names."""
+    return _reader(spark, load).option("inferSchema", False).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, load: CsvLoad, keep_malformed: bool = False) -> DataFrame:
+    """Read one extract.
+
+    A row of the wrong length fails the load, unless the load is `ragged`: then missing
+    trailing fields are NULL and surplus ones are dropped. `keep_malformed` (ragged loads
+    with a schema) adds a column holding the text of each uneven row, NULL for the rest.
+    """
+    reader = _reader(spark, load)
     if load.schema is None:
         return reader.option("inferSchema", True).csv(path)
     schema = load.schema
@@ -59,8 +67,10 @@ def read_csv(spark: SparkSession, path: str, load: CsvLoad, keep_malformed: bool
 
 
 def write_csv(df: DataFrame, path: str, load: CsvLoad) -> str:
-    """Write rows the way `load` reads them back; one file per task."""
+    """Write rows the way `load` reads them back, blanks included; one file per task."""
     writer = df.write.mode("overwrite").option("header", load.header).option("escape", '"')
+    for side in ("Leading", "Trailing"):
+        writer = writer.option(f"ignore{side}WhiteSpace", False)
     if load.null_marker is not None:
         writer = writer.option("nullValue", load.null_marker)
     writer.csv(path)

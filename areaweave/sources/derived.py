@@ -235,6 +235,16 @@ def current_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def new_students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tutorial table: one row per student who joined, with the day and whether fees are paid."""
+    return load(spark, sf_dir, "customer").where("c_acctbal < 0").selectExpr(
+        "CAST(c_custkey AS INT) AS sid",
+        "c_name AS sname",
+        "date_add(DATE '2018-01-01', CAST(pmod(c_custkey, 365) AS INT)) AS joined",
+        "pmod(c_custkey, 2) = 0 AS paid",
+    )
+
+
 def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tutorial table: one row per class."""
     return load(spark, sf_dir, "part").selectExpr(

@@ -17,13 +17,15 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
+Approval = Callable[[DataFrame], Mapping[str, str]]
+
 _MARK = "__v"
-_PROPERTY = "areaweave.version"
+_OWN = "areaweave."
 _STAMP = "%Y%m%d%H%M%S%f"
 
 
@@ -47,12 +49,22 @@ def quoted(spark: SparkSession, name: str) -> str:
     return ".".join(f"`{part}`" for part in _split(spark, name))
 
 
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(spark, name)}").collect()
+    return {r.key.removeprefix(_OWN): r.value for r in rows if r.key.startswith(_OWN)}
+
+
 def current(spark: SparkSession, name: str) -> str | None:
     """The version table the name stands for; None if it is no published name."""
     if not spark.catalog.tableExists(quoted(spark, name)):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(spark, name)}").collect()
-    return next((r.value for r in rows if r.key == _PROPERTY), None)
+    return _properties(spark, name).get("version")
+
+
+def notes(spark: SparkSession, name: str) -> dict[str, str]:
+    """What was kept with the version the name stands for; empty if it is no published name."""
+    version = current(spark, name)
+    return _properties(spark, version) if version else {}
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
@@ -64,10 +76,19 @@ def versions(spark: SparkSession, name: str) -> list[str]:
                   if stamped_at(r.tableName, prefix) and r.tableName.count("__") == prefix.count("__"))
 
 
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _listed(properties: Mapping[str, str]) -> str:
+    return ", ".join(f"'{_OWN}{key}' = {_text(value)}" for key, value in properties.items())
+
+
 def point(spark: SparkSession, name: str, version: str) -> None:
     """Let the name stand for a stored version."""
     spark.sql(f"CREATE OR REPLACE VIEW {quoted(spark, name)} "
-              f"TBLPROPERTIES ('{_PROPERTY}' = '{version}') AS SELECT * FROM {quoted(spark, version)}")
+              f"TBLPROPERTIES ({_listed({'version': version})}) "
+              f"AS SELECT * FROM {quoted(spark, version)}")
 
 
 def _version_name(spark: SparkSession, name: str) -> str:
@@ -87,12 +108,15 @@ def _take_over(spark: SparkSession, name: str) -> None:
 
 
 def publish(df: DataFrame, name: str, layout: Sequence[str] = (), key: str | None = None,
-            buckets: int | None = None) -> DataFrame:
+            buckets: int | None = None,
+            approve: Approval | None = None) -> DataFrame:
     """Write `df` as the next version of a table and point the name at it.
 
     `layout`: columns whose ranges the files are cut by and sorted in, the table's key last, so
     that a value many rows share still spreads over several files and tasks. `key`, `buckets`: one
     file per bucket, which spares joins on the key their shuffle; other tables need the same number.
+    `approve` is called with the rows as stored, before the name moves: what it returns is kept
+    with that version (`notes`), and if it raises the version goes and the name stays where it was.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(quoted(spark, name)) and current(spark, name) is None:
@@ -106,6 +130,8 @@ def publish(df: DataFrame, name: str, layout: Sequence[str] = (), key: str | Non
         writer = df.write
     try:
         writer.mode("errorifexists").saveAsTable(version)
+        if approve and (kept := approve(spark.table(quoted(spark, version)))):
+            spark.sql(f"ALTER TABLE {quoted(spark, version)} SET TBLPROPERTIES ({_listed(kept)})")
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {quoted(spark, version)}")
         raise

@@ -340,8 +340,9 @@ for _j, _t in _SURVEY_JOBS.items():
     _filter = f" WHERE {_POOR}" if _j == "income" else ""
     _key = "substr(NAME, 7) AS ZCTA5"
     CTES[f"d_{_j}"] = _classified(_j, "ZCTA5", _zeroed(_j, _key, f"m_{_t}{_filter}"))
-    _dry = {"income": f" WHERE {_POOR}",
-            "industry": " WHERE DP03_0033E > 10 AND DP03_0034E > 10"}.get(_j, "")
+    _dry = " WHERE NAME IS NOT NULL" + {
+        "income": f" AND {_POOR}",
+        "industry": " AND DP03_0033E > 10 AND DP03_0034E > 10"}.get(_j, "")
     _fifty = f"(SELECT * FROM m_{_t}{_dry}{_order(['NAME', *_codes(_t)])} LIMIT 50)"
     CTES[f"p_{_j}"] = _classified(_j, "NAME", _zeroed(_j, "NAME", _fifty))
 CTES["d_all_income"] = _classified(
@@ -359,7 +360,8 @@ for _j, (_t, _k, _out) in _PLACE_JOBS.items():
     CTES[f"d_{_j}"] = f"SELECT * REPLACE ({_fix}) FROM m_{_t}"
     _first = [_k, *(c for c in _out if c != _k)]
     CTES[f"p_{_j}"] = (
-        f"SELECT * REPLACE ({_fix}) FROM (SELECT * FROM m_{_t}{_order(_first)} LIMIT 50)"
+        f"SELECT * REPLACE ({_fix}) FROM "
+        f"(SELECT * FROM m_{_t} WHERE {_k} IS NOT NULL{_order(_first)} LIMIT 50)"
     )
 
 # --- statements ---------------------------------------------------------------------------
@@ -411,6 +413,71 @@ SQL["src_csv_nullmarker_survey"] = (
     "SELECT * REPLACE (CAST(DP03_0003E AS VARCHAR) AS DP03_0003E, "
     "CAST(DP03_0014E AS VARCHAR) AS DP03_0014E) FROM s_economics"
 )
+
+
+def _fields(table: str, source: str, key: str, numbers: Columns, texts: Columns) -> str:
+    """One row per value; columns in both lists are numbers if all their values are."""
+    listed = list(dict.fromkeys([*numbers, *texts]))
+    both = [c for c in listed if c in numbers and c in texts]
+    whole = ", ".join(f"(SELECT {_all_numbers(c)} FROM {source}) AS is_{c}" for c in both)
+    number = [
+        f"CASE WHEN is_{c} THEN TRY_CAST({c} AS DOUBLE) END" if c in both
+        else f"CAST({c} AS DOUBLE)" if c in numbers else "CAST(NULL AS DOUBLE)" for c in listed]
+    text = [f"CASE WHEN NOT is_{c} THEN {c} END" if c in both
+            else c if c in texts else "CAST(NULL AS VARCHAR)" for c in listed]
+    return (
+        f"SELECT '{table}' AS table_name, {key} AS area, unnest([{_strings(listed)}]) AS field, "
+        f"unnest([{', '.join(number)}]) AS number, unnest([{', '.join(text)}]) AS text "
+        f"FROM {source}" + (f", (SELECT {whole})" if whole else "")
+    )
+
+
+def _all_numbers(c: str) -> str:
+    return f"count({c}) > 0 AND count({c}) = count(TRY_CAST({c} AS DOUBLE))"
+
+
+def _found_type(c: str) -> str:
+    text = f"CAST({c} AS VARCHAR)"
+    return (
+        f"CASE WHEN count({c}) = 0 THEN 'string' "
+        f"WHEN bool_and(regexp_matches({text}, '^[0-9]+$')) THEN 'int' "
+        f"WHEN count({c}) = count(TRY_CAST({text} AS DOUBLE)) THEN 'double' ELSE 'string' END"
+    )
+
+
+_LANDED = {
+    "economics": ["DP03_0003E", "DP03_0014E", *_ECON, "DP03_0025E"],
+    "housing": ["DP04_0001E", "DP04_0006E", *_HOUSING],
+    "school_enrollment": list(_SCHOOL),
+    "work": ["S2303_C01_033E", *_WORK, *_WORK_MEASURES],
+}
+SQL["src_csv_survey_values"] = _fields(
+    "economics", "s_economics", "NAME", _LANDED["economics"], [*_ECON, "DP03_0025E"])
+SQL["src_csv_survey_types"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, unnest([{_strings(['NAME', *cs])}]) AS field, "
+    f"unnest(['string', {', '.join(_found_type(c) for c in cs)}]) AS type FROM s_{t}"
+    for t, cs in _LANDED.items()
+)
+SQL["src_tutorial_classes"] = (
+    "SELECT 'CS' || p_partkey AS cno, p_name AS cname, CAST(p_size AS INTEGER) AS credits FROM part"
+)
+SQL["src_tutorial_current_students"] = "SELECT * FROM s_current_students"
+SQL["src_tutorial_new_students"] = (
+    "SELECT CAST(c_custkey AS INTEGER) AS sid, c_name AS sname, "
+    "CAST(DATE '2018-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS joined, "
+    "c_custkey % 2 = 0 AS paid FROM customer WHERE c_acctbal < 0"
+)
+SQL["src_csv_ragged_inferred"] = (
+    "SELECT CAST(MID AS INTEGER) AS MID, DISCIPL, ADZIP5, "
+    "CASE WHEN DISCIPL <> 'click' THEN INCOME15 END AS INCOME15, "
+    "CASE WHEN DISCIPL <> 'click' THEN WEBURL END AS WEBURL FROM s_public_resources"
+)
+SQL["src_schema_drift"] = (
+    "SELECT * FROM (VALUES ('credits', 'missing', 'double', NULL), "
+    "('balance', 'extra', NULL, 'double'), ('sid', 'type', 'bigint', 'int'), "
+    "('cno', 'order', 'cno', 'sname')) v(field, problem, declared, found) "
+    "WHERE EXISTS (SELECT 1 FROM customer)"
+)
 SQL["src_csv_ragged"] = (
     "SELECT MID, DISCIPL, ADZIP5, CASE WHEN DISCIPL <> 'click' THEN INCOME15 END AS INCOME15, "
     "CASE WHEN DISCIPL <> 'click' THEN WEBURL END AS WEBURL, "
@@ -805,6 +872,9 @@ SQL["top_k_multi"] = _top("SELECT * FROM d_hours", out_columns("hours"), 20,
 SQL["sort_full"] = "SELECT ZCTA5, Grad_HigherEdu FROM d_enrollment"
 SQL["sort_in_view"] = _VALUE_UNITS
 SQL["sort_in_ctas"] = "SELECT * FROM m_postsecondary_school"
+SQL["limit_any"] = (
+    "SELECT least(10, count(SCHOOLID)) AS rows, least(10, count(SCHOOLID)) AS found FROM m_public_school"
+)
 SQL["limit_plain"] = _top("SELECT * FROM m_public_school", SCHOOL_OUT, 10)
 
 # Checks and the staged job.
@@ -887,6 +957,48 @@ SQL["job_staged_survey"] = " UNION ALL ".join(
 SQL["job_staged_uds"] = _manifest({"zip_to_zcta5": "zipmap"})
 SQL["job_staged_iml"] = _manifest({"public_resources": "resources"})
 
+SQL["job_rows_edge"] = " UNION ALL BY NAME ".join(
+    f"SELECT '{t}' AS table_name, * FROM d_{j}" for t, j in _SCHOOL_JOBS.items())
+SQL["job_rows_uds"] = "SELECT * FROM d_zipmap"
+SQL["job_rows_iml"] = "SELECT * FROM d_resources"
+# The extract has every area of the economics table, with or without industries.
+CTES["m_landed_industry"] = (
+    f"SELECT NAME, {', '.join(fv.INDUSTRY)} FROM s_economics LEFT JOIN "
+    "(SELECT * EXCLUDE (DP03_0003E) FROM s_economics_industry) USING (NAME)"
+)
+CTES["d_landed_industry"] = _classified(
+    "industry", "ZCTA5", _zeroed("industry", "substr(NAME, 7) AS ZCTA5", "m_landed_industry"))
+
+
+def _job_fields(job: str, table: str) -> str:
+    texts = {"income": ["Predominant_Class"], "industry": list(fv.TOP_INDUSTRIES)}.get(job, [])
+    source = "d_landed_industry" if job == "industry" else f"d_{job}"
+    columns = out_columns(job)[1:]
+    return _fields(table, source, "ZCTA5", [c for c in columns if c not in texts], texts)
+
+
+SQL["job_rows_survey"] = " UNION ALL ".join(_job_fields(j, t) for j, t in _SURVEY_JOBS.items())
+
+
+def _audited(job: str, source: str, key: str, done: str, condition: str = "true") -> str:
+    return (
+        f"SELECT '{job}' AS job, (SELECT count(*) FROM {source}) AS rows_read, "
+        f"(SELECT count(*) FROM {source} WHERE {key} IS NULL) AS rows_without_key, "
+        f"n AS rows_chosen, n AS rows_made, n AS rows_stored, n AS dumped_before, "
+        f"n AS dumped_after FROM (SELECT count(*) AS n FROM {done} WHERE {condition})"
+    )
+
+
+SQL["job_audit"] = " UNION ALL ".join([
+    *(_audited(j, "m_landed_industry" if j == "industry" else f"m_{t}", "NAME",
+               "d_landed_industry" if j == "industry" else f"d_{j}")
+      for j, t in _SURVEY_JOBS.items()),
+    *(_audited(j, f"m_{t}", k, f"d_{j}") for j, (t, k, _) in _PLACE_JOBS.items()),
+])
+SQL["job_rerun"] = (
+    f"SELECT *, CAST(1 AS BIGINT) AS versions FROM ({_manifest(_SCHOOL_JOBS)})"
+)
+
 # Exploration reports.
 
 

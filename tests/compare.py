@@ -34,7 +34,7 @@ def canonical(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 _KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-    "boolean": "BOOLEAN",
+    "boolean": "BOOLEAN", "date": "DATE",
 }
 
 
