@@ -7,9 +7,13 @@ these pairs by the same shift of at most 6, so two equal windows of 13 words alw
 anchor at the same place in both. Only windows around an anchor that two rows share are then
 hashed in full and compared.
 
-Hot passages: within a batch of rows equal anchors and equal windows are combined before the
-shuffle. A row that is not the smallest of its batch is settled on the spot; per batch one row
-for each hash goes on, so a passage that a third of all rows holds is one row per batch.
+A batch is gone through in slices of `SLICE` bytes of text, a longer text alone, so the words held
+at one time do not depend on the batch or on how long its texts are.
+
+Hot passages: within a slice equal anchors and equal windows are combined before the shuffle. A
+row that is not the smallest of its slice is settled on the spot; per slice one row for each hash
+goes on, so a passage that a third of all rows holds is one row per slice. Rows that repeat a key
+and text count once.
 
 Defined results: a NULL or empty text has no words; a NULL key is neither smaller nor greater
 than another, so such rows stay whole and remove nothing. Rows with equal keys do not remove one
@@ -25,16 +29,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_64_intdigest, xxh64_intdigest
 
-from areaweave.llm.work import free_name, table
+from areaweave.llm.work import byte_slices, free_name, table
 
 WINDOW = 13
 PERIOD = 7
 COVER = (1, 2, 4)
 """Differences of these numbers modulo the period give every remainder."""
 ANCHOR = WINDOW - PERIOD + 1
+SLICE = 2 << 20
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+ANCHOR_BITS = 48
+"""Bits of an anchor's hash that are compared. Anchors only say where to look, so a chance hit costs
+a few windows; windows are compared by 64 bits of one hash and 32 of another, of the words anew."""
 
 
 class Words:
@@ -48,16 +56,22 @@ class Words:
         self.row = np.repeat(np.arange(len(split)), self.counts)
         self.place = np.arange(len(self.words)) - self.starts[self.row]
         self.left = self.counts[self.row] - self.place
-        self.codes = np.fromiter(map(xxh64_intdigest, self.words), np.uint64, len(self.words))
+        self.codes = self.coded(xxh64_intdigest)
+
+    def coded(self, digest) -> np.ndarray:
+        return np.fromiter(map(digest, self.words), np.uint64, len(self.words))
 
-    def hashes(self, at: np.ndarray, length: int, odd: int) -> np.ndarray:
+    def hashes(self, at: np.ndarray, length: int, odd: int, codes: np.ndarray) -> np.ndarray:
         """Hashes of the `length` words from each of `at` on."""
         total = np.zeros(len(at), np.uint64)
         for step in range(length):
-            total = total * np.uint64(odd) + self.codes[at + step]
+            total = total * np.uint64(odd) + codes[at + step]
         total ^= total >> np.uint64(32)
         return (total * np.uint64(odd)).view(np.int64)
 
+    def anchor_hashes(self, at: np.ndarray) -> np.ndarray:
+        return self.hashes(at, ANCHOR, _ODD[0], self.codes) >> (64 - ANCHOR_BITS)
+
     def anchors(self) -> np.ndarray:
         chosen = np.isin(self.place % PERIOD, COVER) & (self.left >= ANCHOR)
         return np.flatnonzero(chosen & (self.counts[self.row] >= WINDOW))
@@ -80,25 +94,32 @@ def _settle(hashes: list[np.ndarray], keys: np.ndarray):
     return order, smallest, several[group] if len(order) else several
 
 
-_FOUND = "h1 bigint, h2 bigint, key bigint, text_hash bigint, place int, settled array<bigint>"
+_ANCHORS = "h1 bigint, key bigint, text_hash bigint, settled array<int>"
+_WINDOWS = "h1 bigint, h2 int, key bigint, text_hash bigint, place int, settled array<int>"
 
 
-def _found(batch: pa.RecordBatch, h1, h2, row, place, settled) -> pa.RecordBatch:
+def _found(batch: pa.RecordBatch, h1, row, settled, **more) -> pa.RecordBatch:
     """Rows to compare by hash, then rows with what is settled for a row. These need no comparison;
     they stand under a hash of text and key, so that copies of one text are spread."""
     known = np.array(list(settled), np.int64)
     row = np.concatenate([row, known])
     texts = batch.column(1).to_numpy(zero_copy_only=False)
-    nothing = np.zeros(len(known), np.int64)
     salt = (_keys(batch)[known].astype(np.uint64) * np.uint64(_ODD[0])).view(np.int64)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([h1, texts[known] ^ salt])),
-        pa.array(np.concatenate([h2, nothing])),
-        batch.column(0).take(pa.array(row)),
-        pa.array(texts[row]),
-        pa.array(np.concatenate([place, nothing]).astype(np.int32)),
-        pa.array([None] * len(h1) + list(settled.values()), pa.list_(pa.int64())),
-    ], names=["h1", "h2", "key", "text_hash", "place", "settled"])
+    columns = {
+        "h1": pa.array(np.concatenate([h1, texts[known] ^ salt])),
+        "key": batch.column(0).take(pa.array(row)),
+        "text_hash": pa.array(texts[row]),
+        "settled": pa.array([None] * len(h1) + list(settled.values()), pa.list_(pa.int32())),
+        **{name: pa.array(np.concatenate([values, np.zeros(len(known), values.dtype)]))
+           for name, values in more.items()},
+    }
+    names = [c.split()[0] for c in (_WINDOWS if more else _ANCHORS).split(", ")]
+    return pa.RecordBatch.from_arrays([columns[name] for name in names], names=names)
+
+
+def _short(codes: np.ndarray) -> np.ndarray:
+    """What tells the shared anchors of one text from its others, well enough to look there."""
+    return codes.astype(np.int32)
 
 
 def _by_row(keys: np.ndarray, values: np.ndarray) -> dict[int, np.ndarray]:
@@ -110,24 +131,31 @@ def _by_row(keys: np.ndarray, values: np.ndarray) -> dict[int, np.ndarray]:
         keys[order][np.concatenate([[0], cuts])], np.split(values[order], cuts), strict=True)}
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns: key, hash of the text, text, ...; one of the rows that repeat a key and hash."""
+    for batch in batches:
+        for part in byte_slices(batch, 2, SLICE):
+            row = np.rec.fromarrays([_keys(part), part.column(1).to_numpy()])
+            first = np.unique(row, return_index=True)[1]
+            yield part if len(first) == len(row) else part.take(pa.array(np.sort(first)))
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns: key, hash of the text, text."""
-    for batch in batches:
+    for batch in _slices(batches):
         words = Words(batch.column(2))
         at = words.anchors()
         if not len(at):
             continue
         pairs = np.unique(np.rec.fromarrays(
-            [words.hashes(at, ANCHOR, _ODD[0]), words.row[at]], names="code,row"))
+            [words.anchor_hashes(at), words.row[at]], names="code,row"))
         codes, row = pairs["code"], pairs["row"]
         order, smallest, several = _settle([codes], _keys(batch)[row])
         codes, row = codes[order], row[order]
-        # Shared within the batch: known for all its rows. The smallest still stands for the
-        # batch, since rows elsewhere may have the same anchor.
+        # Shared within the slice: known for all its rows. The smallest still stands for the
+        # slice, since rows elsewhere may have the same anchor.
         one = _in_row_order(smallest, row)
-        nothing = np.zeros(len(one), np.int64)
-        yield _found(batch, codes[one], nothing, row[one], nothing,
-                     _by_row(row[several], codes[several]))
+        yield _found(batch, codes[one], row[one], _by_row(row[several], _short(codes[several])))
 
 
 def _in_row_order(chosen: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -142,15 +170,15 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns: key, hash of the text, text, hashes of its shared anchors."""
-    for batch in batches:
+    for batch in _slices(batches):
         words = Words(batch.column(2))
         at = words.anchors()
-        codes = words.hashes(at, ANCHOR, _ODD[0])
+        codes = _short(words.anchor_hashes(at))
         shared = np.zeros(len(at), bool)
         cuts = np.searchsorted(at, words.starts)
         for row, known in enumerate(batch.column(3)):
             lo, hi = cuts[row], cuts[row + 1]
-            shared[lo:hi] = np.isin(codes[lo:hi], known.values.to_numpy())
+            shared[lo:hi] = np.isin(codes[lo:hi], _short(known.values.to_numpy()))
         # The window starts from which a shared anchor is reached.
         hit = at[shared]
         cover = np.zeros(len(words.words) + 1, np.int64)
@@ -160,26 +188,28 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(at):
             continue
         row, place = words.row[at], words.place[at]
-        h1, h2 = (words.hashes(at, WINDOW, odd) for odd in _ODD)
+        h1 = words.hashes(at, WINDOW, _ODD[0], words.codes)
+        h2 = words.hashes(at, WINDOW, _ODD[1], words.coded(xxh3_64_intdigest)).astype(np.int32)
+        place = place.astype(np.int32)
         order, smallest, _ = _settle([h1, h2], _keys(batch)[row])
         row, place, h1, h2 = row[order], place[order], h1[order], h2[order]
         one = _in_row_order(smallest, row)
-        yield _found(batch, h1[one], h2[one], row[one], place[one],
-                     _by_row(row[~smallest], place[~smallest]))
+        yield _found(batch, h1[one], row[one], _by_row(row[~smallest], place[~smallest]),
+                     h2=h2[one], place=place[one])
 
 
-def _strip(text: bytes | None, starts) -> tuple[bytes, int, int]:
+def _strip(text: bytes | None, starts) -> tuple[str, int, int]:
     """The kept words joined by a blank, the number of words and of removed words."""
     words = (text or b"").split()
     if starts is None or not len(starts):
-        return b" ".join(words), len(words), 0
+        return b" ".join(words).decode(), len(words), 0
     cover = np.zeros(len(words) + 1, np.int64)
     starts = np.unique(starts)
     cover[starts] += 1
     np.add.at(cover, starts + WINDOW, -1)
     gone = np.cumsum(cover[:-1]) > 0
     kept = [word for word, out in zip(words, gone.tolist(), strict=True) if not out]
-    return b" ".join(kept), len(words), int(gone.sum())
+    return b" ".join(kept).decode(), len(words), int(gone.sum())
 
 
 _STRIPPED = StructType([StructField("kept", StringType()), StructField("n_words", LongType()),
@@ -190,7 +220,7 @@ def _stripped(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
     rows = [_strip(t.encode() if t is not None else None, s)
             for t, s in zip(text, starts, strict=True)]
     return pd.DataFrame({
-        "kept": [r[0].decode() for r in rows], "n_words": [r[1] for r in rows],
+        "kept": [r[0] for r in rows], "n_words": [r[1] for r in rows],
         "n_removed": [r[2] for r in rows]})
 
 
@@ -202,18 +232,19 @@ def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFr
              F.col(f"`{text}`").alias("text")]
     named = texts.select(*given)
     several = F.count(F.lit(1)).over(Window.partitionBy("h1"))
-    # A hash with rows of several batches is shared, and so is what a batch settled.
-    anchors = named.mapInArrow(_anchor_rows, _FOUND).withColumn("several", several).where(
+    short = F.shiftright(F.shiftleft("h1", 32), 32).cast("int")  # as _short does
+    # A hash with rows of several slices is shared, and so is what a slice settled.
+    anchors = named.mapInArrow(_anchor_rows, _ANCHORS).withColumn("several", several).where(
         "several > 1 OR settled IS NOT NULL")
     shared = anchors.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
-        F.coalesce("settled", F.array("h1")))).alias("shared"))
+        F.coalesce("settled", F.array(short)))).alias("shared"))
     least = F.min("key").over(Window.partitionBy("h1", "h2"))
     windows = texts.join(shared, (row[0] == F.col("key")) & (row[1] == F.col("text_hash"))
                          ).select(*given, "shared").mapInArrow(
-        _window_rows, _FOUND).withColumn("least", least).where(
+        _window_rows, _WINDOWS).withColumn("least", least).where(
         "settled IS NOT NULL OR least < key")
     return windows.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
-        F.coalesce("settled", F.array(F.col("place").cast("bigint"))))).alias("starts"))
+        F.coalesce("settled", F.array("place")))).alias("starts"))
 
 
 def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -234,7 +265,7 @@ def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -
                      F.col("starts").alias(starts)),
         (F.col(f"`{key}`") == F.col(own)) & (F.col(mark) == F.col(hashed)), "left")
     nameless = whole.where(F.col(f"`{key}`").isNull()).withColumn(
-        starts, F.lit(None).cast("array<bigint>"))
+        starts, F.lit(None).cast("array<int>"))
     columns = [F.col(f"`{c}`") for c in (*kept, starts)]
     strip = F.pandas_udf(_stripped, _STRIPPED)
     done = joined.select(*columns).union(nameless.select(*columns)).withColumn(

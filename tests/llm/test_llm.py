@@ -620,3 +620,35 @@ def test_digest_of_kept_text(spark):
     assert all(re.fullmatch("[0-9a-f]{64}", r.kept_sha256) for r in rows)
     assert hashlib.sha256(b"").hexdigest() not in {
         r.kept_sha256 for r in rows if r.n_words > r.n_removed}
+
+
+def peak(run) -> int:
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_large_batch_of_windows():
+    """Twelve MB of text in one batch take little more than a slice of it does."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=700)) for _ in range(3000)]
+    rows = pa.record_batch([
+        pa.array(range(3000), pa.int64()), pa.array([hash(t) for t in texts], pa.int64()),
+        pa.array(texts)], names=["key", "text_hash", "text"])
+    assert rows.nbytes > 12e6
+    assert peak(lambda: [len(b) for b in substrings._anchor_rows(iter([rows]))]) < 100e6
+
+
+def test_repeated_rows_count_once_in_a_slice():
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = pa.record_batch([
+        pa.array([7] * 200, pa.int64()), pa.array([5] * 200, pa.int64()), pa.array([text] * 200)],
+        names=["key", "text_hash", "text"])
+    (found,) = substrings._anchor_rows(iter([rows]))
+    assert found.num_rows == len(substrings.Words(pa.array([text])).anchors())
