@@ -18,6 +18,7 @@ from areaweave.llm import (
     embeddings, entries, html_text, neighbours, packing, pieces, simhash, substrings, tokens,
     toxicity, urls, work,
 )
+from areaweave.llm import components as component_rounds
 from areaweave.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,16 +56,39 @@ def test_sql(spark, name):
     con.close()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [1 << 18, 40])
+def test_components(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(component_rounds, "TASK_EDGES", task_edges)
     rng = random.Random(1)
     links = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)]
-    links += [(300 + i, 301 + i) for i in range(30)]
+    links += [(300 + i, 301 + i) for i in range(30)] + [(350, 340 + i) for i in range(30)] * 2
+    rng.shuffle(links)
     root = roots(400, links)
     touched = {x for a, b in links if a != b for x in (a, b)}
     found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert len(found) == len(touched)
     assert {r.vertex: r.component for r in found} == {x: root[x] for x in touched}
 
 
+def test_components_of_texts_and_of_nothing(spark):
+    links = [("c", "b"), ("b", "d"), ("x", "x"), ("z", "y")]
+    found = components(spark.createDataFrame(links, "a string, b string")).collect()
+    assert sorted(map(tuple, found)) == [("b", "b"), ("c", "b"), ("d", "b"), ("y", "y"), ("z", "y")]
+    assert components(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_contraction_of_one_task(seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(-50, 150), rng.randrange(-50, 150)) for _ in range(40 * seed + 20)]
+    root = roots(200, [(a + 50, b + 50) for a, b in links])
+    a, b = component_rounds.contracted(*(np.array(c) for c in zip(*links, strict=True)))
+    assert len(set(a.tolist())) == len(a)
+    touched = {x for pair in links for x in pair}
+    assert dict(zip(a.tolist(), b.tolist(), strict=True)) == {
+        x: root[x + 50] - 50 for x in touched if root[x + 50] - 50 != x}
+
+
 # --- 1 -------------------------------------------------------------------------------------
 
 
