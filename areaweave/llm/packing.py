@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from areaweave.llm import tokens
-from areaweave.llm.work import stored, table
+from areaweave.llm.work import giving_back, stored, table
 
 CAPACITY = 1024
 END = 2
@@ -51,8 +51,7 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, (first if s == 0 else capacity)) for s in starts]
 
 
-def _pieces_of(batch: pa.RecordBatch, vocabulary: str, end: int, capacity: int):
-    encode = tokens.encoder(vocabulary, bytes)
+def _pieces_of(batch: pa.RecordBatch, encode: tokens.UnitEncoder, end: int, capacity: int):
     rows: list[list] = [[], [], [], [], []]
     closing = np.uint32(end).tobytes()
     texts = ((value.as_py() or "") for value in batch.column(1))
@@ -84,13 +83,16 @@ def _pieces_of(batch: pa.RecordBatch, vocabulary: str, end: int, capacity: int):
 def token_pieces(
     documents: DataFrame, key: str = "doc_id", text: str = "text",
     vocabulary: str = tokens.VOCABULARY, end: int = END, capacity: int = CAPACITY,
+    cached_units: int = tokens.CACHED_UNITS,
 ) -> DataFrame:
-    """Encode each text, end it with `end` and cut it: key, piece, start, length, ids_crc32."""
+    """Encode each text, end it with `end` and cut it: key, piece, start, length, ids_crc32.
+    `cached_units`: what a worker may remember, memory against time."""
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = tokens.encoder(vocabulary, bytes, cached_units)
         for batch in batches:
-            row, *others = _pieces_of(batch, vocabulary, end, capacity)
+            row, *others = _pieces_of(batch, encode, end, capacity)
             types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())),
@@ -98,7 +100,7 @@ def token_pieces(
                 names=["key", "piece", "start", "length", "ids_crc32"])
 
     return documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
+        giving_back(run), f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     ).withColumnRenamed("key", key)
 
 
@@ -359,9 +361,10 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
         (F.col("at") + F.pmod(nth, F.col("many")) * F.col("length")).alias("offset"))
 
 
-def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
+                   cached_units: int = tokens.CACHED_UNITS) -> DataFrame:
     """Encode, cut and pack whole documents."""
-    pieces = stored(token_pieces(documents, key, text), "pieces")
+    pieces = stored(token_pieces(documents, key, text, cached_units=cached_units), "pieces")
     return pack(pieces, [key, "piece", "start", "ids_crc32"])
 
 

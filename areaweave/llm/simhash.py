@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from areaweave.llm.components import components
-from areaweave.llm.work import stored, table
+from areaweave.llm.work import giving_back, stored, table
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -69,7 +69,7 @@ def fingerprints(texts: DataFrame, key: str, text: str, shingle: int = SHINGLE)
                                              names=["key", "point"])
 
     return texts.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
-        run, f"key {kind}, point bigint")
+        giving_back(run), f"key {kind}, point bigint")
 
 
 # --- vantage-point trees ---------------------------------------------------------------------

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from xxhash import xxh3_64_intdigest, xxh64_intdigest
 
-from areaweave.llm.work import byte_slices, free_name, table
+from areaweave.llm.work import byte_slices, free_name, give_back, giving_back, table
 
 WINDOW = 13
 PERIOD = 7
@@ -216,12 +216,14 @@ _STRIPPED = StructType([StructField("kept", StringType()), StructField("n_words"
                         StructField("n_removed", LongType())])
 
 
-def _stripped(text: pd.Series, starts: pd.Series) -> pd.DataFrame:
-    rows = [_strip(t.encode() if t is not None else None, s)
-            for t, s in zip(text, starts, strict=True)]
-    return pd.DataFrame({
-        "kept": [r[0] for r in rows], "n_words": [r[1] for r in rows],
-        "n_removed": [r[2] for r in rows]})
+def _stripped(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for text, starts in parts:
+        rows = [_strip(t.encode() if t is not None else None, s)
+                for t, s in zip(text, starts, strict=True)]
+        yield pd.DataFrame({
+            "kept": [r[0] for r in rows], "n_words": [r[1] for r in rows],
+            "n_removed": [r[2] for r in rows]})
+    give_back()
 
 
 def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFrame:
@@ -234,14 +236,14 @@ def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFr
     several = F.count(F.lit(1)).over(Window.partitionBy("h1"))
     short = F.shiftright(F.shiftleft("h1", 32), 32).cast("int")  # as _short does
     # A hash with rows of several slices is shared, and so is what a slice settled.
-    anchors = named.mapInArrow(_anchor_rows, _ANCHORS).withColumn("several", several).where(
+    anchors = named.mapInArrow(giving_back(_anchor_rows), _ANCHORS).withColumn("several", several).where(
         "several > 1 OR settled IS NOT NULL")
     shared = anchors.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array(short)))).alias("shared"))
     least = F.min("key").over(Window.partitionBy("h1", "h2"))
     windows = texts.join(shared, (row[0] == F.col("key")) & (row[1] == F.col("text_hash"))
                          ).select(*given, "shared").mapInArrow(
-        _window_rows, _WINDOWS).withColumn("least", least).where(
+        giving_back(_window_rows), _WINDOWS).withColumn("least", least).where(
         "settled IS NOT NULL OR least < key")
     return windows.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array("place")))).alias("starts"))

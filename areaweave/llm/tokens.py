@@ -117,8 +117,8 @@ def encode_units(path: str, wanted: list[str]) -> Iterator[tuple[str, bytes]]:
 class UnitEncoder:
     """Encodes units and keeps what `measure` makes of their ids, 4 bytes each."""
 
-    def __init__(self, path: str, measure: Callable):
-        self.path, self.measure = path, measure
+    def __init__(self, path: str, measure: Callable, limit: int = CACHED_UNITS):
+        self.path, self.measure, self.limit = path, measure, limit
         self.kept: dict[str, object] = {}
 
     def units(self, text: str) -> list[str]:
@@ -131,7 +131,7 @@ class UnitEncoder:
         at = [i for i, value in enumerate(found) if value is None]
         missing = list({pieces[i] for i in at})
         new = {unit: self.measure(ids) for unit, ids in encode_units(self.path, missing)}
-        if len(self.kept) + len(new) > CACHED_UNITS:
+        if len(self.kept) + len(new) > self.limit:
             self.kept.clear()
         self.kept.update(new)
         for i in at:
@@ -150,8 +150,8 @@ def n_ids(ids: bytes) -> int:
 
 
 @lru_cache(maxsize=8)
-def encoder(path: str, measure: Callable) -> UnitEncoder:
-    return UnitEncoder(path, measure)
+def encoder(path: str, measure: Callable, limit: int = CACHED_UNITS) -> UnitEncoder:
+    return UnitEncoder(path, measure, limit)
 
 
 def balanced(texts: Iterator[str], cut: Callable[[str], list[str]], limit: int):

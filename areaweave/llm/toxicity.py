@@ -33,7 +33,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, LongType, StructField, StructType,
 )
 
-from areaweave.llm.work import free_name, table
+from areaweave.llm.work import free_name, give_back, table
 
 TRAIN_TOXIC = 3000
 TRAIN_CLEAN = 6000
@@ -343,13 +343,10 @@ def _plain(bias: float, chain: tuple) -> tuple[np.ndarray, np.ndarray]:
     return np.array(powers), parts
 
 
-@lru_cache(maxsize=2)
-def _loaded(text: str) -> tuple[dict, dict]:
-    return json.loads(text), {}
-
-
-def _score(texts: list[str], model_text: str) -> list[tuple[float, list[dict]]]:
-    model, kept = _loaded(model_text)
+def _score(texts: list[str], model: str | dict, kept: dict | None = None
+           ) -> list[tuple[float, list[dict]]]:
+    """`kept`: scores of words met before, which a task passes on."""
+    model = json.loads(model) if isinstance(model, str) else model
     if "constant" in model:
         return [(model["constant"], []) for _ in texts]
     out = []
@@ -406,6 +403,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str, text: str, label: s
         else:
             model = {"constant": float(many[1] / (many[0] + many[1]))}
         yield pd.DataFrame({"model": [json.dumps(model)]})
+        give_back()
 
     bounded = sample.limit(TRAIN_CLEAN + TRAIN_TOXIC)
     found = bounded.coalesce(1).mapInPandas(run, "model string").collect()
@@ -417,10 +415,14 @@ def score_toxicity(documents: DataFrame, model: str, text: str = "text") -> Data
     offending words. Map-only."""
     kept = [c for c in documents.columns if c == text or c.lower() not in ("score", "spans")]
 
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = _score([t if t is not None else "" for t in texts], model)
-        return pd.DataFrame({"score": [r[0] for r in rows], "spans": [
-            [{"start": a, "end": b} for a, b in r[1]] for r in rows]})
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        loaded, words = json.loads(model), {}
+        for texts in parts:
+            rows = _score([t if t is not None else "" for t in texts], loaded, words)
+            yield pd.DataFrame({"score": [r[0] for r in rows], "spans": [
+                [{"start": a, "end": b} for a, b in r[1]] for r in rows]})
+        words.clear()
+        give_back()
 
     result = free_name(kept, "result")
     scored = documents.withColumn(result, F.pandas_udf(run, _RESULT)(F.col(f"`{text}`")))

@@ -59,7 +59,8 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    # Workers of the stages before still stand beside those that encode.
+    return packing.pack_documents(docs, cached_units=250_000)
 
 
 STAGES = [
