@@ -24,7 +24,6 @@ replace input columns of their names. An empty table gives an empty result.
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -216,13 +215,19 @@ _STRIPPED = StructType([StructField("kept", StringType()), StructField("n_words"
                         StructField("n_removed", LongType())])
 
 
-def _stripped(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+def _stripped(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Text and places of windows to remove. In slices, so that only their words are objects."""
     for text, starts in parts:
-        rows = [_strip(t.encode() if t is not None else None, s)
-                for t, s in zip(text, starts, strict=True)]
-        yield pd.DataFrame({
-            "kept": [r[0] for r in rows], "n_words": [r[1] for r in rows],
-            "n_removed": [r[2] for r in rows]})
+        batch = pa.RecordBatch.from_arrays([text, starts], names=["text", "starts"])
+        done = []
+        for part in byte_slices(batch, 0, SLICE):
+            rows = [_strip(t.as_py(), s.values.to_numpy() if s.is_valid else None)
+                    for t, s in zip(part.column(0).cast(pa.binary()), part.column(1), strict=True)]
+            done.append(pa.StructArray.from_arrays(
+                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+                    (pa.string(), pa.int64(), pa.int64()))], names=_STRIPPED.names))
+        yield pa.concat_arrays(done) if done else pa.array([], pa.struct(
+            [("kept", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())]))
     give_back()
 
 
@@ -269,7 +274,7 @@ def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -
     nameless = whole.where(F.col(f"`{key}`").isNull()).withColumn(
         starts, F.lit(None).cast("array<int>"))
     columns = [F.col(f"`{c}`") for c in (*kept, starts)]
-    strip = F.pandas_udf(_stripped, _STRIPPED)
+    strip = F.arrow_udf(_stripped, _STRIPPED)
     done = joined.select(*columns).union(nameless.select(*columns)).withColumn(
         result, strip(F.col(f"`{text}`"), F.col(starts)))
     return done.select(*[F.col(f"`{c}`") for c in kept],
