@@ -4,7 +4,9 @@ Markup is stripped into lines, one per block of the page. Lines of navigation, f
 notices and the like are left out, so that they part nothing; other lines of links count no text.
 Over the lines a window of `WIDTH` slides and adds up text lengths: the sum surges where the
 article begins and dives to nothing where it ends. A stretch between such points is kept, all of
-its lines, if its largest sum reaches `SURGE` of the page's largest. An `<article>` or `<main>`
+its lines, if its largest sum reaches `SURGE` of the page's largest. A shorter one is kept too from
+its first to its last line of a kind that a kept stretch has, elements of one name within the same
+element: a short paragraph of the text is not lost behind a list of links. An `<article>` or `<main>`
 does not decide: its text weighs `ARTICLE` times as much, and where one begins or ends a stretch
 does so too.
 
@@ -76,7 +78,9 @@ _TAG = re.compile(
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
-_RIGHTS = re.compile(r"(?:©|\(c\) ?\d|copyright\b|all rights reserved)", re.I)
+_RIGHTS = re.compile(
+    r"(?:©|\(c\) ?\d|copyright\s*(?:©|\(c\)|\d{4}\b)|(?:copyright\b.{0,80})?all rights reserved\W*$)",
+    re.I)
 _ASIDE, _VOID, _INLINE = frozenset(ASIDE), frozenset(VOID), frozenset(INLINE)
 _ENDS_ITSELF, _NOISE = frozenset(ENDS_ITSELF), frozenset(NOISE)
 _BESIDE, _NEGATED, _LAYOUT = frozenset(BESIDE), frozenset(NEGATED), frozenset(LAYOUT)
@@ -139,11 +143,15 @@ def _silent(out: list[tuple], holders: list[tuple], articles: list[tuple]) -> li
     return silent
 
 
-def lines(html: str) -> list[tuple[str, int, int]]:
-    """(text, number of the article it stands in or 0, characters that count) per block of text
-    outside of noise."""
+def lines(html: str) -> list[tuple[str, int, int, tuple[int, str]]]:
+    """(text, number of the article it stands in or 0, characters that count, kind) per block of
+    text outside of noise. The kind is the number of the element around the one with the text, and
+    this one's name."""
     out: list[tuple[str, int, int, int]] = []  # and number of the holder with a noise name
+    kinds: list[tuple[int, str]] = []
     stack: list[tuple[str, bool, int, int]] = []  # element, always noise, article, holder
+    numbers: list[int] = []  # of the elements of the stack
+    opened = 0
     holders: list[tuple[int, int, int]] = [(0, _NONE, 0)]
     articles: list[tuple[int, bool]] = [(0, False)]
     parts: list[str] = []
@@ -157,6 +165,7 @@ def lines(html: str) -> list[tuple[str, int, int]]:
             menu = not article and linked > LINKED * len(text)
             rights = not article and _RIGHTS.match(text)
             out.append((text, article, 0 if menu or rights else len(text), holder))
+            kinds.append((numbers[-2] if len(numbers) > 1 else 0, stack[-1][0] if stack else ""))
         parts.clear()
         linked = 0
 
@@ -187,12 +196,13 @@ def lines(html: str) -> list[tuple[str, int, int]]:
                 place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name),
                              None)
                 if place is not None:
-                    del stack[place:]
+                    del stack[place:], numbers[place:]
             elif name not in _VOID and not tag["rest"].endswith("/"):
                 # A block ends what cannot hold it.
                 if stack and stack[-1][0] in _ENDS_ITSELF and (
                         name == stack[-1][0] or stack[-1][0] in ("p", "h1", "h2", "h3")):
                     stack.pop()
+                    numbers.pop()
                 _, always, article, holder = stack[-1] if stack else ("", False, 0, 0)
                 if name in ("article", "main") and not article:
                     articles.append((holder, _named(tag["rest"], False) != _NONE))
@@ -202,11 +212,14 @@ def lines(html: str) -> list[tuple[str, int, int]]:
                     holders.append((holder, level, article))
                     holder = len(holders) - 1
                 stack.append((name, always or level == _ALWAYS, article, holder))
+                opened += 1
+                numbers.append(opened)
     if at < len(html):
         add(html[at:])
     close()
     silent = _silent(out, holders, articles)
-    return [(text, article, count) for text, article, count, holder in out if not silent[holder]]
+    return [(text, article, count, kind) for (text, article, count, holder), kind in zip(
+        out, kinds, strict=True) if not silent[holder]]
 
 
 def _sums(counts: list[float]) -> list[float]:
@@ -214,10 +227,10 @@ def _sums(counts: list[float]) -> list[float]:
     return [sum(counts[max(0, i - half):i + half + 1]) for i in range(len(counts))]
 
 
-def stretches(counts: list[float], marked: list[bool]) -> list[tuple[int, int]]:
+def stretches(counts: list[float], marked: list[bool], kinds: list) -> list[tuple[int, int]]:
     """(first, end) of the stretches that surge: lines between points where the sums over windows
     are nothing or an article begins or ends, with a window of their own that sums up to `SURGE`
-    of the largest."""
+    of the largest. Of the others, the part between lines of a kind that these have."""
     found, start = [], None
     for i, total in enumerate([*_sums(counts), 0]):
         if start is not None and (not total or marked[i] != marked[i - 1]):
@@ -227,13 +240,24 @@ def stretches(counts: list[float], marked: list[bool]) -> list[tuple[int, int]]:
             start = i
     peaks = [max(_sums(counts[first:end])) for first, end in found]
     enough = SURGE * max(peaks, default=0)
-    return [s for s, peak in zip(found, peaks, strict=True) if peak and peak >= enough]
+    surging = [bool(peak) and peak >= enough for peak in peaks]
+    known = {kinds[i] for (first, end), surges in zip(found, surging, strict=True) if surges
+             for i in range(first, end) if counts[i]}
+    kept = []
+    for (first, end), surges in zip(found, surging, strict=True):
+        alike = [i for i in range(first, end) if counts[i] and kinds[i] in known]
+        if surges:
+            kept.append((first, end))
+        elif alike:
+            kept.append((alike[0], alike[-1] + 1))
+    return kept
 
 
 def main_text(html: str | None) -> str:
     blocks = lines(html or "")
-    counts = [count * (ARTICLE if article else 1) for _, article, count in blocks]
-    found = stretches(counts, [article > 0 for _, article, _ in blocks])
+    counts = [count * (ARTICLE if article else 1) for _, article, count, _ in blocks]
+    found = stretches(counts, [article > 0 for _, article, _, _ in blocks],
+                      [kind for *_, kind in blocks])
     return "\n".join(blocks[i][0] for first, end in found for i in range(first, end) if counts[i])
 
 
