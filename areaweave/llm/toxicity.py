@@ -10,8 +10,10 @@ curve, fitted to the document labels, turns into a score; words with a marginal
 more are the offending spans.
 
 Fitting uses at most `TRAIN_TOXIC` + `TRAIN_CLEAN` labelled texts, taken by the hash of their key,
-of at most `TRAIN_CHARS` characters each, and learns from every sequence of these; scoring reads
-every text whole.
+of at most `TRAIN_CHARS` characters each and `TRAIN_ALL_CHARS` of one label, and learns from every
+sequence of these; scoring reads every text whole, however long, in sequences of `LENGTH` words.
+Of rows that repeat a key one text is learnt from, the one with the smallest hash; a text with
+both labels is learnt as clean. The model does not depend on the order of rows.
 
 Defined results: a NULL text is empty; a text without words scores as its lack of cues says,
 near 0. Without labelled texts of both kinds the score is the share of toxic labels (0 without
@@ -27,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, DoubleType, LongType, StructField, StructType,
@@ -38,6 +40,8 @@ from areaweave.llm.work import free_name, give_back, table
 TRAIN_TOXIC = 3000
 TRAIN_CLEAN = 6000
 TRAIN_CHARS = 65_536
+TRAIN_ALL_CHARS = 32_000_000
+"""Characters of all texts of one label that the model is fitted to."""
 CUE = 25.0
 """Log-likelihood ratio from which a word or beginning is a cue."""
 LIFT = 20.0
@@ -49,6 +53,8 @@ STEPS = 100
 FIT_ROWS = 2048
 KEPT_WORDS = 300_000
 GROUP_WORDS = 500_000
+TAGGED = 500
+"""Texts of the sample that are tagged at one time."""
 _WORD = re.compile(r"\w+")
 
 
@@ -64,26 +70,36 @@ def _ratio(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return size if toxic / all_toxic > clean / all_clean else -size
 
 
+def _middles(found: list[np.ndarray], many: int) -> np.ndarray:
+    """How often each word stands between two others, equal neighbours counting once."""
+    place = np.concatenate([np.zeros(2, np.int32), *found])
+    before, middle, after = place[:-2], place[1:-1], place[2:]
+    order = np.lexsort((after, before, middle))
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for side in (before, middle, after):
+        side = side[order]
+        new[1:] |= side[1:] != side[:-1]
+    return np.bincount(middle[order[new]], minlength=many)
+
+
 def cues(texts: list[list[str]], labels: list[int]) -> set[str]:
     """Words and beginnings that mark toxic texts. An occurrence counts by its neighbours."""
     number = {"": 0}
     codes: tuple[list, list] = ([], [])
     for words, label in zip(texts, labels, strict=True):
-        codes[label].extend([0, *[number.setdefault(w.lower(), len(number)) for w in words], 0])
+        codes[label].append(np.array(
+            [0, *[number.setdefault(w.lower(), len(number)) for w in words], 0], np.int32))
     counts, totals = [], []
     for found in codes:
-        place = np.array([0, 0, *found], np.int64)
-        pairs, pair = np.unique(place[:-2] * len(number) + place[1:-1], return_inverse=True)
-        seen = np.unique(pair * len(number) + place[2:])
-        middle = pairs[seen // len(number)] % len(number)
-        times = np.bincount(middle, minlength=len(number))
+        times = _middles(found, len(number))
         count = Counter()
         for word, n in zip(number, times.tolist(), strict=True):
             if n and word:
                 for f in features(word):
                     count[f] += n
         counts.append(count)
-        totals.append(max(1, int((middle > 0).sum())))
+        totals.append(max(1, int(times[1:].sum())))
     return {f for f, n in counts[1].items()
             if n / totals[1] >= LIFT * counts[0][f] / totals[0]
             and _ratio(n, counts[0][f], totals[1], totals[0]) >= CUE}
@@ -161,23 +177,25 @@ def _lessons(split: list[list[str]], labels: list[int]) -> tuple:
     word's features, which words are toxic, and how often each sequence stands. Sequences of
     words without a feature differ by their length only, so each length of these is one row."""
     found = cues(split, labels)
-    hits = [[bool(label) and not found.isdisjoint(features(w)) for w in words]
-            for words, label in zip(split, labels, strict=True)]
-    names = sorted({f for words, hit in zip(split, hits, strict=True)
-                    for w, h in zip(words, hit, strict=True) if h for f in features(w)})
+    marked = {w for w in set().union(*split) if not found.isdisjoint(features(w))}
+    names = sorted({f for words, label in zip(split, labels, strict=True) if label
+                    for w in words if w in marked for f in features(w)})
     place = {f: i for i, f in enumerate(names)}
-    told = {w: [place[f] for f in features(w) if f in place] for w in set().union(*split)}
+    told = {}
+    for w in set().union(*split):
+        if known := [place[f] for f in features(w) if f in place]:
+            told[w] = known
     sequences, marks, featureless = [], [], Counter()
-    for words, hit in zip(split, hits, strict=True):
+    for words, label in zip(split, labels, strict=True):
         for s in range(0, len(words), LENGTH):
-            part = [told[w] for w in words[s:s + LENGTH]]
-            if any(part):
-                sequences.append(part)
-                marks.append(hit[s:s + LENGTH])
-            else:
+            part = words[s:s + LENGTH]
+            if told.keys().isdisjoint(part):
                 featureless[len(part)] += 1
+            else:
+                sequences.append([told.get(w, ()) for w in part])
+                marks.append([bool(label) and w in marked for w in part])
     times = np.array([1] * len(sequences) + list(featureless.values()), float)
-    sequences += [[[]] * n for n in featureless]
+    sequences += [[()] * n for n in featureless]
     marks += [[False] * n for n in featureless]
     return names, sequences, marks, times
 
@@ -228,7 +246,9 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> dic
             (weight, bias, chain), slope, size, strict=True))
     model = {"names": names, "weight": weight.tolist(), "bias": float(bias),
              "chain": chain.tolist(), "curve": [0.0, 0.0, -9.0]}
-    inputs = np.array([_inputs(top, total) for top, total, _ in _tag(split, model, None)])
+    kept: dict = {}
+    inputs = np.array([_inputs(top, total) for first in range(0, len(split), TAGGED)
+                       for top, total, _ in _tag(split[first:first + TAGGED], model, kept)])
     model["curve"] = _curve(inputs.reshape(-1, 2), np.array(labels, float), shares)
     return model
 
@@ -390,22 +410,29 @@ def train(documents: DataFrame, labels: DataFrame, key: str, text: str, label: s
     limits = {0: TRAIN_CLEAN, 1: TRAIN_TOXIC}
     chosen = [known.where(F.col("label") == v).orderBy(F.xxhash64("key"), "key").limit(n)
               for v, n in limits.items()]
+    # Of rows that repeat a key, the text with the smallest hash: whatever order they come in,
+    # the model is the same. Then texts in the order of their keys' hashes, to a bounded length.
     sample = documents.select(F.col(key).alias("key"), F.col(text).alias("text")).where(
         (F.length("text") > 0) & (F.length("text") <= TRAIN_CHARS)
-    ).join(F.broadcast(chosen[0].union(chosen[1])), "key")
+    ).join(F.broadcast(chosen[0].union(chosen[1])), "key").groupBy("key", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text"))
+    upto = F.sum(F.length("text")).over(
+        Window.partitionBy("label").orderBy(F.xxhash64("key"), "key"))
+    bounded = sample.withColumn("upto", upto).where(F.col("upto") <= TRAIN_ALL_CHARS).drop("upto")
     shares = tuple(min(1.0, limits[v] / many[v]) for v in (0, 1))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One row per text: copies teach nothing new.
+        # One row per text: copies teach nothing new; of two labels of one text, clean holds.
         rows = pd.concat(list(frames)).sort_values(["label", "text"]).drop_duplicates("text")
-        if rows["label"].nunique() == 2:
-            model = fit(rows["text"].tolist(), rows["label"].tolist(), shares)
+        texts, marks = rows["text"].tolist(), rows["label"].tolist()
+        del rows
+        if len(set(marks)) == 2:
+            model = fit(texts, marks, shares)
         else:
             model = {"constant": float(many[1] / (many[0] + many[1]))}
         yield pd.DataFrame({"model": [json.dumps(model)]})
         give_back()
 
-    bounded = sample.limit(TRAIN_CLEAN + TRAIN_TOXIC)
     found = bounded.coalesce(1).mapInPandas(run, "model string").collect()
     return found[0]["model"] if found else json.dumps({"constant": 0.0})
 
