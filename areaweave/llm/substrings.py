@@ -12,8 +12,11 @@ at one time do not depend on the batch or on how long its texts are.
 
 Hot passages: within a slice equal anchors and equal windows are combined before the shuffle. A
 row that is not the smallest of its slice is settled on the spot; per slice one row for each hash
-goes on, so a passage that a third of all rows holds is one row per slice. Rows that repeat a key
-and text count once.
+goes on, so a passage that a third of all rows holds is one row per slice. What is settled for a
+row goes on as runs of neighbouring places. Rows that repeat a key and text count once.
+
+A row goes by one number, a hash of its key and text; where windows are compared and removed the
+key goes with it.
 
 Defined results: a NULL or empty text has no words; a NULL key is neither smaller nor greater
 than another, so such rows stay whole and remove nothing. Rows with equal keys do not remove one
@@ -69,7 +72,8 @@ class Words:
         return (total * np.uint64(odd)).view(np.int64)
 
     def anchor_hashes(self, at: np.ndarray) -> np.ndarray:
-        return self.hashes(at, ANCHOR, _ODD[0], self.codes) >> (64 - ANCHOR_BITS)
+        whole = self.hashes(at, ANCHOR, _ODD[0], self.codes).view(np.uint64)
+        return (whole >> np.uint64(64 - ANCHOR_BITS)).astype(np.int64)
 
     def anchors(self) -> np.ndarray:
         chosen = np.isin(self.place % PERIOD, COVER) & (self.left >= ANCHOR)
@@ -93,45 +97,61 @@ def _settle(hashes: list[np.ndarray], keys: np.ndarray):
     return order, smallest, several[group] if len(order) else several
 
 
-_ANCHORS = "h1 bigint, key bigint, text_hash bigint, settled array<int>"
-_WINDOWS = "h1 bigint, h2 int, key bigint, text_hash bigint, place int, settled array<int>"
+# `settled` has runs, as `_runs` writes them. What differs from row to row stands together: the rest
+# is what the row before had, which a shuffle compresses well.
+_ANCHORS = "h1 bigint, text_hash bigint, settled array<int>"
+_WINDOWS = "h1 bigint, h2 int, place int, key bigint, text_hash bigint, settled array<int>"
+_LOW = 0x7FFFFFFF
 
 
-def _found(batch: pa.RecordBatch, h1, row, settled, **more) -> pa.RecordBatch:
+def _found(batch: pa.RecordBatch, schema: str, row, settled, **values) -> pa.RecordBatch:
     """Rows to compare by hash, then rows with what is settled for a row. These need no comparison;
     they stand under a hash of text and key, so that copies of one text are spread."""
     known = np.array(list(settled), np.int64)
-    row = np.concatenate([row, known])
-    texts = batch.column(1).to_numpy(zero_copy_only=False)
+    marks = batch.column(1).to_numpy()
     salt = (_keys(batch)[known].astype(np.uint64) * np.uint64(_ODD[0])).view(np.int64)
+    both = np.concatenate([row, known])
     columns = {
-        "h1": pa.array(np.concatenate([h1, texts[known] ^ salt])),
-        "key": batch.column(0).take(pa.array(row)),
-        "text_hash": pa.array(texts[row]),
-        "settled": pa.array([None] * len(h1) + list(settled.values()), pa.list_(pa.int32())),
-        **{name: pa.array(np.concatenate([values, np.zeros(len(known), values.dtype)]))
-           for name, values in more.items()},
+        "key": batch.column(0).take(pa.array(both)),
+        "text_hash": pa.array(marks[both]),
+        "settled": pa.array([None] * len(row) + list(settled.values()), pa.list_(pa.int32())),
     }
-    names = [c.split()[0] for c in (_WINDOWS if more else _ANCHORS).split(", ")]
+    for name, found in values.items():
+        rest = marks[known] ^ salt if name == "h1" else np.zeros(len(known), found.dtype)
+        columns[name] = pa.array(np.concatenate([found, rest]))
+    names = [c.split()[0] for c in schema.split(", ")]
     return pa.RecordBatch.from_arrays([columns[name] for name in names], names=names)
 
 
 def _short(codes: np.ndarray) -> np.ndarray:
     """What tells the shared anchors of one text from its others, well enough to look there."""
-    return codes.astype(np.int32)
+    return (codes & _LOW).astype(np.int32)
 
 
-def _by_row(keys: np.ndarray, values: np.ndarray) -> dict[int, np.ndarray]:
-    if not len(keys):
+def _runs(row: np.ndarray, place: np.ndarray) -> dict[int, np.ndarray]:
+    """By row: the runs of neighbouring places, first and end of each. They are written as
+    -1 - n, to stand beside single numbers. `row` and `place` are in order."""
+    if not len(row):
         return {}
-    order = np.argsort(keys, kind="stable")
-    cuts = np.flatnonzero(np.diff(keys[order])) + 1
-    return {int(k): v for k, v in zip(
-        keys[order][np.concatenate([[0], cuts])], np.split(values[order], cuts), strict=True)}
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1
+    pairs = np.column_stack([-1 - place[first], -2 - place[last]]).astype(np.int32)
+    owner = row[first]
+    cuts = np.flatnonzero(np.diff(owner)) + 1
+    return {int(k): part.ravel() for k, part in zip(
+        owner[np.concatenate([[0], cuts])], np.split(pairs, cuts), strict=True)}
+
+
+def _single_and_runs(told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The single numbers, and the firsts and ends of the runs."""
+    pairs = -1 - told[told < 0].astype(np.int64)
+    return told[told >= 0], pairs[::2], pairs[1::2]
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns: key, hash of the text, text, ...; one of the rows that repeat a key and hash."""
+    """Columns: key, mark, text, ...; one of the rows that repeat a key and mark."""
     for batch in batches:
         for part in byte_slices(batch, 2, SLICE):
             row = np.rec.fromarrays([_keys(part), part.column(1).to_numpy()])
@@ -140,21 +160,26 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns: key, hash of the text, text."""
+    """Columns: key, mark, text."""
     for batch in _slices(batches):
         words = Words(batch.column(2))
         at = words.anchors()
         if not len(at):
             continue
-        pairs = np.unique(np.rec.fromarrays(
-            [words.anchor_hashes(at), words.row[at]], names="code,row"))
+        owner = words.row[at]
+        pairs, which = np.unique(np.rec.fromarrays(
+            [words.anchor_hashes(at), owner], names="code,row"), return_inverse=True)
         codes, row = pairs["code"], pairs["row"]
         order, smallest, several = _settle([codes], _keys(batch)[row])
-        codes, row = codes[order], row[order]
         # Shared within the slice: known for all its rows. The smallest still stands for the
         # slice, since rows elsewhere may have the same anchor.
+        shared = np.zeros(len(pairs), bool)
+        shared[order] = several
+        shared = np.flatnonzero(shared[which])
+        number = shared - np.searchsorted(at, words.starts)[owner[shared]]
+        codes, row = codes[order], row[order]
         one = _in_row_order(smallest, row)
-        yield _found(batch, codes[one], row[one], _by_row(row[several], _short(codes[several])))
+        yield _found(batch, _ANCHORS, row[one], _runs(owner[shared], number), h1=codes[one])
 
 
 def _in_row_order(chosen: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -168,7 +193,7 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns: key, hash of the text, text, hashes of its shared anchors."""
+    """Columns: key, mark, text, what is known of its shared anchors."""
     for batch in _slices(batches):
         words = Words(batch.column(2))
         at = words.anchors()
@@ -177,7 +202,10 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.searchsorted(at, words.starts)
         for row, known in enumerate(batch.column(3)):
             lo, hi = cuts[row], cuts[row + 1]
-            shared[lo:hi] = np.isin(codes[lo:hi], _short(known.values.to_numpy()))
+            single, firsts, ends = _single_and_runs(known.values.to_numpy())
+            shared[lo:hi] = np.isin(codes[lo:hi], _short(single))
+            for first, end in zip(firsts.tolist(), ends.tolist(), strict=True):
+                shared[lo + first:lo + end] = True
         # The window starts from which a shared anchor is reached.
         hit = at[shared]
         cover = np.zeros(len(words.words) + 1, np.int64)
@@ -189,12 +217,12 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, place = words.row[at], words.place[at]
         h1 = words.hashes(at, WINDOW, _ODD[0], words.codes)
         h2 = words.hashes(at, WINDOW, _ODD[1], words.coded(xxh3_64_intdigest)).astype(np.int32)
-        place = place.astype(np.int32)
         order, smallest, _ = _settle([h1, h2], _keys(batch)[row])
-        row, place, h1, h2 = row[order], place[order], h1[order], h2[order]
-        one = _in_row_order(smallest, row)
-        yield _found(batch, h1[one], row[one], _by_row(row[~smallest], place[~smallest]),
-                     h2=h2[one], place=place[one])
+        gone = np.sort(order[~smallest])
+        settled = _runs(row[gone], place[gone])
+        one = order[_in_row_order(smallest, row[order])]
+        yield _found(batch, _WINDOWS, row[one], settled, h1=h1[one], h2=h2[one],
+                     place=place[one].astype(np.int32))
 
 
 def _strip(text: bytes | None, starts) -> tuple[str, int, int]:
@@ -203,9 +231,9 @@ def _strip(text: bytes | None, starts) -> tuple[str, int, int]:
     if starts is None or not len(starts):
         return b" ".join(words).decode(), len(words), 0
     cover = np.zeros(len(words) + 1, np.int64)
-    starts = np.unique(starts)
-    cover[starts] += 1
-    np.add.at(cover, starts + WINDOW, -1)
+    single, firsts, ends = _single_and_runs(starts)
+    np.add.at(cover, np.concatenate([single, firsts]), 1)
+    np.add.at(cover, np.concatenate([single + WINDOW, ends - 1 + WINDOW]), -1)
     gone = np.cumsum(cover[:-1]) > 0
     kept = [word for word, out in zip(words, gone.tolist(), strict=True) if not out]
     return b" ".join(kept).decode(), len(words), int(gone.sum())
@@ -232,22 +260,20 @@ def _stripped(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFrame:
-    """`mark`: a column with the hash of the text. Per key and mark (rows with equal keys may
-    differ): `starts`, the places of the windows to remove. Keys are whole numbers."""
+    """`mark`: a column with a hash of key and text. Per key and mark (`text_hash`): `starts`, the
+    places of the windows to remove, single ones and runs. Keys are whole numbers."""
     row = [F.col(f"`{key}`"), F.col(f"`{mark}`")]
     given = [row[0].cast("bigint").alias("key"), row[1].alias("text_hash"),
              F.col(f"`{text}`").alias("text")]
-    named = texts.select(*given)
     several = F.count(F.lit(1)).over(Window.partitionBy("h1"))
-    short = F.shiftright(F.shiftleft("h1", 32), 32).cast("int")  # as _short does
+    short = F.col("h1").bitwiseAND(F.lit(_LOW).cast("bigint")).cast("int")  # as _short does
     # A hash with rows of several slices is shared, and so is what a slice settled.
-    anchors = named.mapInArrow(giving_back(_anchor_rows), _ANCHORS).withColumn("several", several).where(
-        "several > 1 OR settled IS NOT NULL")
-    shared = anchors.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
+    anchors = texts.select(*given).mapInArrow(giving_back(_anchor_rows), _ANCHORS).withColumn(
+        "several", several).where("several > 1 OR settled IS NOT NULL")
+    shared = anchors.groupBy(F.col("text_hash").alias("shared_mark")).agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array(short)))).alias("shared"))
     least = F.min("key").over(Window.partitionBy("h1", "h2"))
-    windows = texts.join(shared, (row[0] == F.col("key")) & (row[1] == F.col("text_hash"))
-                         ).select(*given, "shared").mapInArrow(
+    windows = texts.join(shared, row[1] == F.col("shared_mark")).select(*given, "shared").mapInArrow(
         giving_back(_window_rows), _WINDOWS).withColumn("least", least).where(
         "settled IS NOT NULL OR least < key")
     return windows.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
@@ -257,20 +283,22 @@ def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFr
 def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `texts` with `kept_text`, `n_words` and `n_removed`.
 
-    The texts themselves are shuffled once: both joins deal them by key and hash, and Spark uses
-    the first exchange again where no further columns are carried along."""
+    The texts themselves are shuffled once: both joins deal them by a hash of key and text, and
+    Spark uses the first exchange again where no further columns are carried along."""
     taken = ("kept_text", "n_words", "n_removed")
     kept = [c for c in texts.columns if c in (key, text) or c.lower() not in taken]
     mark, result = free_name(kept, "text_mark"), free_name(kept, "result")
     whole = texts.select(*[F.col(f"`{c}`") for c in kept],
-                         F.xxhash64(F.col(f"`{text}`")).alias(mark))
+                         F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias(mark))
     keyed = whole.where(F.col(f"`{key}`").isNotNull())
     found = repeated_windows(keyed, key, text, mark)
     own, hashed, starts = (free_name([*kept, mark], n) for n in ("own", "hashed", "starts"))
     joined = keyed.join(
         found.select(F.col("key").alias(own), F.col("text_hash").alias(hashed),
                      F.col("starts").alias(starts)),
-        (F.col(f"`{key}`") == F.col(own)) & (F.col(mark) == F.col(hashed)), "left")
+        # The key is compared, but not dealt by: both joins use one exchange of the texts.
+        (F.col(mark) == F.col(hashed)) & (
+            F.col(f"`{key}`").cast("bigint").bitwiseXOR(F.col(own)) == 0), "left")
     nameless = whole.where(F.col(f"`{key}`").isNull()).withColumn(
         starts, F.lit(None).cast("array<int>"))
     columns = [F.col(f"`{c}`") for c in (*kept, starts)]

@@ -676,3 +676,45 @@ def test_repeated_rows_count_once_in_a_slice():
         names=["key", "text_hash", "text"])
     (found,) = substrings._anchor_rows(iter([rows]))
     assert found.num_rows == len(substrings.Words(pa.array([text])).anchors())
+
+
+def test_settled_runs():
+    rng = random.Random(5)
+    for _ in range(50):
+        at = np.array(sorted(rng.sample(range(60), rng.randrange(1, 40))))
+        row, place = at // 20, at % 20
+        runs = substrings._runs(row, place)
+        got = {}
+        for r, told in runs.items():
+            single, first, end = substrings._single_and_runs(told)
+            assert not len(single)
+            got[r] = [p for a, b in zip(first, end, strict=True) for p in range(a, b)]
+        assert got == {r: place[row == r].tolist() for r in set(row.tolist())}
+
+
+def test_short_end_behind_links():
+    story = "<p>" + "A sentence of the story that goes on for some time. " * 4 + "</p>"
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(4)) + "</ul>"
+    page = (f"<body><div>Site</div>{links}<div>{story * 3}{links}<p>Copyright law changed.</p>"
+            f"{links}<p>The end.</p></div>{links}<p>Copyright 2020 by X</p></body>")
+    got = html_text.main_text(page).split("\n")
+    assert got[3:] == ["Copyright law changed.", "The end."] and len(got) == 5
+
+
+def test_toxic_model_does_not_depend_on_order(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(120):
+        words = [rng.choice(["tree", "house", "road", "water", "stone"]) for _ in range(30)]
+        if i % 3 == 0:
+            words[5:5] = ["vile", "brute"]
+        rows.append((i % 100, " ".join(words)))  # some ids repeat, with other texts
+        labels.append((i % 100, int(i % 3 == 0)))
+    toxic = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    models = set()
+    for turn in range(2):
+        rng.shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(1 + 3 * turn)
+        models.add(toxicity.train(docs, toxic, "doc_id", "text", "toxic"))
+    assert len(models) == 1
+    assert toxicity.train(docs.limit(0), toxic, "doc_id", "text", "toxic")
