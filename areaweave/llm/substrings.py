@@ -13,7 +13,8 @@ at one time do not depend on the batch or on how long its texts are.
 Hot passages: within a slice equal anchors and equal windows are combined before the shuffle. A
 row that is not the smallest of its slice is settled on the spot; per slice one row for each hash
 goes on, so a passage that a third of all rows holds is one row per slice. What is settled for a
-row goes on as runs of neighbouring places. Rows that repeat a key and text count once.
+row goes on as runs of neighbouring places. Of rows with one text only the smallest key is compared:
+in the others every window is a repeat. Rows that repeat a key and text count once.
 
 A row goes by one number, a hash of its key and text; where windows are compared and removed the
 key goes with it.
@@ -100,7 +101,8 @@ def _settle(hashes: list[np.ndarray], keys: np.ndarray):
 # `settled` has runs, as `_runs` writes them. What differs from row to row stands together: the rest
 # is what the row before had, which a shuffle compresses well.
 _ANCHORS = "h1 bigint, text_hash bigint, settled array<int>"
-_WINDOWS = "h1 bigint, h2 int, place int, key bigint, text_hash bigint, settled array<int>"
+_WINDOWS = "h1 bigint, h2 bigint, key bigint, text_hash bigint, settled array<int>"
+"""`h2`: the place, then 32 bits of the second hash; as one number it is sent in fewer bytes."""
 _LOW = 0x7FFFFFFF
 
 
@@ -221,8 +223,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gone = np.sort(order[~smallest])
         settled = _runs(row[gone], place[gone])
         one = order[_in_row_order(smallest, row[order])]
-        yield _found(batch, _WINDOWS, row[one], settled, h1=h1[one], h2=h2[one],
-                     place=place[one].astype(np.int32))
+        yield _found(batch, _WINDOWS, row[one], settled, h1=h1[one],
+                     h2=place[one] << 32 | h2[one].astype(np.int64) & 0xFFFFFFFF)
 
 
 def _strip(text: bytes | None, starts) -> tuple[str, int, int]:
@@ -232,6 +234,8 @@ def _strip(text: bytes | None, starts) -> tuple[str, int, int]:
         return b" ".join(words).decode(), len(words), 0
     cover = np.zeros(len(words) + 1, np.int64)
     single, firsts, ends = _single_and_runs(starts)
+    ends = np.minimum(ends, len(words) - WINDOW + 1)
+    firsts, ends = firsts[firsts < ends], ends[firsts < ends]
     np.add.at(cover, np.concatenate([single, firsts]), 1)
     np.add.at(cover, np.concatenate([single + WINDOW, ends - 1 + WINDOW]), -1)
     gone = np.cumsum(cover[:-1]) > 0
@@ -259,25 +263,30 @@ def _stripped(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     give_back()
 
 
-def repeated_windows(texts: DataFrame, key: str, text: str, mark: str) -> DataFrame:
-    """`mark`: a column with a hash of key and text. Per key and mark (`text_hash`): `starts`, the
-    places of the windows to remove, single ones and runs. Keys are whole numbers."""
+def repeated_windows(texts: DataFrame, key: str, text: str, mark: str, firsts: DataFrame
+                     ) -> DataFrame:
+    """`mark`: a column with a hash of key and text; `firsts`: the marks of the rows to compare, as
+    `first_mark`. Per key and mark (`text_hash`): `starts`, the places of the windows to remove,
+    single ones and runs. Keys are whole numbers."""
     row = [F.col(f"`{key}`"), F.col(f"`{mark}`")]
     given = [row[0].cast("bigint").alias("key"), row[1].alias("text_hash"),
              F.col(f"`{text}`").alias("text")]
     several = F.count(F.lit(1)).over(Window.partitionBy("h1"))
     short = F.col("h1").bitwiseAND(F.lit(_LOW).cast("bigint")).cast("int")  # as _short does
     # A hash with rows of several slices is shared, and so is what a slice settled.
-    anchors = texts.select(*given).mapInArrow(giving_back(_anchor_rows), _ANCHORS).withColumn(
+    first = texts.join(firsts.select("first_mark"), row[1] == F.col("first_mark"), "left_semi")
+    anchors = first.select(*given).mapInArrow(giving_back(_anchor_rows), _ANCHORS).withColumn(
         "several", several).where("several > 1 OR settled IS NOT NULL")
     shared = anchors.groupBy(F.col("text_hash").alias("shared_mark")).agg(F.flatten(F.collect_list(
         F.coalesce("settled", F.array(short)))).alias("shared"))
-    least = F.min("key").over(Window.partitionBy("h1", "h2"))
+    # Dealt by the first hash alone, so that the second is not sent a second time.
+    second = F.col("h2").bitwiseAND(F.lit(0xFFFFFFFF))
+    least = F.min("key").over(Window.partitionBy("h1", second))
     windows = texts.join(shared, row[1] == F.col("shared_mark")).select(*given, "shared").mapInArrow(
-        giving_back(_window_rows), _WINDOWS).withColumn("least", least).where(
+        giving_back(_window_rows), _WINDOWS).repartition("h1").withColumn("least", least).where(
         "settled IS NOT NULL OR least < key")
     return windows.groupBy("key", "text_hash").agg(F.flatten(F.collect_list(
-        F.coalesce("settled", F.array("place")))).alias("starts"))
+        F.coalesce("settled", F.array(F.shiftright("h2", 32).cast("int"))))).alias("starts"))
 
 
 def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -288,17 +297,25 @@ def substring_dedup(texts: DataFrame, key: str = "doc_id", text: str = "text") -
     taken = ("kept_text", "n_words", "n_removed")
     kept = [c for c in texts.columns if c in (key, text) or c.lower() not in taken]
     mark, result = free_name(kept, "text_mark"), free_name(kept, "result")
-    whole = texts.select(*[F.col(f"`{c}`") for c in kept],
-                         F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias(mark))
+    number, same = F.col(f"`{key}`").cast("bigint"), F.xxhash64(F.col(f"`{text}`"))
+    whole = texts.select(*[F.col(f"`{c}`") for c in kept], F.xxhash64(number, same).alias(mark))
     keyed = whole.where(F.col(f"`{key}`").isNotNull())
-    found = repeated_windows(keyed, key, text, mark)
+    # Of equal texts, told by two hashes, the smallest key stands for all.
+    firsts = keyed.select(number.alias("number"), same.alias("same"),
+                          F.xxhash64(F.lit(1), F.col(f"`{text}`")).alias("again")
+                          ).groupBy("same", "again").agg(F.min("number").alias("number")).select(
+        F.xxhash64("number", "same").alias("first_mark"), "number")
+    found = repeated_windows(keyed, key, text, mark, firsts)
     own, hashed, starts = (free_name([*kept, mark], n) for n in ("own", "hashed", "starts"))
+    told = firsts.join(found, (F.col("first_mark") == F.col("text_hash")) & (
+        F.col("number").bitwiseXOR(F.col("key")) == 0), "left").select(
+        F.col("number").alias(own), F.col("first_mark").alias(hashed),
+        F.coalesce("starts", F.array().cast("array<int>")).alias(starts))
     joined = keyed.join(
-        found.select(F.col("key").alias(own), F.col("text_hash").alias(hashed),
-                     F.col("starts").alias(starts)),
-        # The key is compared, but not dealt by: both joins use one exchange of the texts.
-        (F.col(mark) == F.col(hashed)) & (
-            F.col(f"`{key}`").cast("bigint").bitwiseXOR(F.col(own)) == 0), "left")
+        told,
+        # The key is compared, but not dealt by: all joins use one exchange of the texts.
+        (F.col(mark) == F.col(hashed)) & (number.bitwiseXOR(F.col(own)) == 0), "left"
+    ).withColumn(starts, F.coalesce(F.col(starts), F.array(F.lit(-1), F.lit(-1 - _LOW))))
     nameless = whole.where(F.col(f"`{key}`").isNull()).withColumn(
         starts, F.lit(None).cast("array<int>"))
     columns = [F.col(f"`{c}`") for c in (*kept, starts)]
