@@ -139,9 +139,10 @@ def full(source: DataFrame, job: RowJob, filtered: bool = True) -> DataFrame:
     return transform(read_query(source, where=job.full_filter if filtered else None), job)
 
 
-def sample(source: DataFrame, job: RowJob) -> DataFrame:
-    """The dry run: 50 rows with a key, which is kept as it is."""
-    rows = read_sample(read_query(source, where=job.sample_filter), job.key)
+def sample(source: DataFrame, job: RowJob, keyless: bool = False) -> DataFrame:
+    """The dry run: 50 rows with a key, which is kept as it is, or with `keyless` the first 50 of
+    all rows, those without a key included."""
+    rows = read_sample(read_query(source, where=job.sample_filter), job.key, keyless=keyless)
     return transform(rows, job, keep_key=True)
 
 

@@ -59,9 +59,9 @@ class AreaTables:
     def key_stats(self, name: str, key: str) -> None:
         """Nor is anything counted of them."""
 
-    def sample(self, name: str) -> DataFrame:
+    def sample(self, name: str, keyless: bool = False) -> DataFrame:
         job = row_jobs.ROW_JOBS[name]
-        return row_jobs.sample(self.modeled(job.source), job)
+        return row_jobs.sample(self.modeled(job.source), job, keyless)
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,6 @@ class StoredTables:
     def key_stats(self, name: str, key: str) -> DataFrame | None:
         return key_statistics(self.spark, self.ready_name(name), key)
 
-    def sample(self, name: str) -> DataFrame:
+    def sample(self, name: str, keyless: bool = False) -> DataFrame:
         job = row_jobs.ROW_JOBS[name]
-        return row_jobs.sample(self.modeled(job.source), job)
+        return row_jobs.sample(self.modeled(job.source), job, keyless)

@@ -29,10 +29,11 @@ def read_query(
 
 
 def read_sample(source: DataFrame, key: str, n: int = SAMPLE_ROWS,
-                ordered: bool = True) -> DataFrame:
+                ordered: bool = True, keyless: bool = False) -> DataFrame:
     """`n` rows that have a key, for the dry run before a full one: the first by key, whatever the
-    layout, or any, for which every task stops reading after `n`."""
-    named = source.where(F.col(f"`{key}`").isNotNull())
+    layout, or any, for which every task stops reading after `n`. With `keyless` rows without a
+    key are read as well, and are the first."""
+    named = source if keyless else source.where(F.col(f"`{key}`").isNotNull())
     return top_k(named, n, key) if ordered else named.limit(n)
 
 

@@ -14,7 +14,7 @@ from test_tables import put, rows, space  # noqa: F401
 
 from areaweave import fixed_values as fv
 from areaweave.operators import checks
-from areaweave.plans import integrity, row_jobs, staged
+from areaweave.plans import entries, integrity, row_jobs, staged
 from areaweave.sources import csv_files, field_lists, landing, published, tables
 from areaweave.sources.area_tables import AreaTables
 from areaweave.sources.csv_files import CsvLoad, write_csv
@@ -164,6 +164,31 @@ def test_dry_run_of_any_rows(spark):
     assert [r.k for r in tables.read_sample(df, "k", 3).collect()] == [0, 2, 4]
 
 
+@pytest.fixture(scope="module")
+def lines(spark, tmp_path_factory):
+    """Order lines of 60 areas, of which 5 are unnamed in the working time extract."""
+    folder = str(tmp_path_factory.mktemp("lines"))
+    orders = spark.range(1, 61).withColumnRenamed("id", "o_orderkey")
+    orders.selectExpr(
+        "o_orderkey", "o_orderkey AS o_custkey", "'O' AS o_orderstatus", "1.0D AS o_totalprice",
+        "'5-LOW' AS o_orderpriority").write.parquet(f"{folder}/orders.parquet")
+    orders.selectExpr(
+        "o_orderkey AS l_orderkey", "o_orderkey AS l_partkey", "o_orderkey AS l_suppkey",
+        "1 AS l_linenumber", "CAST(o_orderkey % 50 + 1 AS DOUBLE) AS l_quantity",
+        "900.0D AS l_extendedprice", "0.04D AS l_discount", "'A' AS l_returnflag",
+        "'F' AS l_linestatus").write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("job", ["work_stats"])
+def test_dry_run_of_all_rows(spark, lines, job):
+    names = [r.NAME for r in entries.queries()[f"pipe_{job}_sample"](spark, lines).collect()]
+    named = [f"{fv.AREA_PREFIX}{key:05}" for key in range(1, 61) if key % 11]
+    assert sorted(names, key=lambda n: n or "") == [None] * 5 + named[:45]
+    top = entries.queries()[f"q27_{job}_sample"](spark, lines).collect()
+    assert [r.NAME for r in top] == named[:20]
+
+
 def test_a_changed_extract_runs_its_steps_again(spark, tmp_path, space):
     path = tmp_path / "in" / "zip_to_zcta5"
     df = spark.createDataFrame([(1, "TX", 7), (2, "TX", None)], "ZIP_CODE INT, STATE STRING, ZCTA INT")
