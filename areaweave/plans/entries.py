@@ -446,7 +446,7 @@ def _(t):
 
 
 # Dry runs of tables with unnamed areas, which are rows of the job like any other.
-_KEYLESS_SAMPLES = ("work_stats", "hours")
+_KEYLESS_SAMPLES = ("work_stats", "hours", "weeks")
 
 for _job in ROW_JOBS:
     ENTRIES[f"pipe_{_job}"] = lambda t, job=_job: t.ready(job)

@@ -180,7 +180,7 @@ def lines(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("job", ["work_stats", "hours"])
+@pytest.mark.parametrize("job", ["work_stats", "hours", "weeks"])
 def test_dry_run_of_all_rows(spark, lines, job):
     names = [r.NAME for r in entries.queries()[f"pipe_{job}_sample"](spark, lines).collect()]
     named = [f"{fv.AREA_PREFIX}{key:05}" for key in range(1, 61) if key % 11]
