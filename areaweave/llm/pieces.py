@@ -12,16 +12,22 @@ own text is encoded to.
 
 Texts themselves are not shuffled. They are dealt into blocks of about `BLOCK` characters; a block
 is its distinct parts and, for each text, their numbers in order, so a part that every text has is
-one row per block. The ids of the parts return to their blocks, which are then spelt out.
+one row per block. Blocks are compressed and written once, by one exchange, from which both their
+parts and, in the end, their texts are taken. The ids of the parts return to their blocks as
+compressed runs, one per block and task, and the blocks are then spelt out.
 
-Parts longer than `LATTICE` characters do not fit the fold's state; the library encodes those, in
-Arrow batches, by the same model.
+A block that is lost is made anew, which gives the same one if its texts come in the same order, as
+those of files do; store other texts first.
+
+Parts longer than `LATTICE` characters do not fit the fold's state; the library encodes those by the
+same model.
 
 Defined results: a NULL or empty text has no ids and decodes to an empty string. Repeated rows and
 repeated or NULL keys come back each with their ids. An empty table gives an empty result. Extra
 columns are not read.
 """
 
+import itertools
 import json
 import re
 from collections import defaultdict
@@ -30,20 +36,22 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaweave.llm.work import stored, table
+from areaweave.llm.work import giving_back, table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LATTICE = 62
 """Longest part that is folded: its borders are the bits of one number."""
 BLOCK = 1 << 24
 """Characters of a block; a longer text is a block of its own."""
+SENT, ANSWERED = 1 << 16, 1 << 18
+"""Parts of a batch on their way out, and at most about so many held on their way back."""
 BLANK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
@@ -197,19 +205,6 @@ def encode_words(words: DataFrame, model: str) -> DataFrame:
         "word", fold(F.col("edges"), F.length("word")).alias("ids"))
 
 
-def encode_long(word: str, model: str) -> Column:
-    """The library's ids of the parts in a column."""
-    prefix = read_model(model).prefix
-
-    def run(words: pd.Series) -> pd.Series:
-        import sentencepiece
-
-        processor = sentencepiece.SentencePieceProcessor(model_file=model)
-        return pd.Series([_library_ids(processor, w, prefix) for w in words], dtype=object)
-
-    return F.pandas_udf(run, "array<int>")(word)
-
-
 def _library_ids(processor, part: str, prefix: bool) -> list[int]:
     """The library puts a blank before a text. A part that starts with one gives it up for that;
     before another a line break is put, which no piece holds, and its ids are taken off."""
@@ -223,19 +218,74 @@ def _library_ids(processor, part: str, prefix: bool) -> list[int]:
 # --- texts to blocks and back ---------------------------------------------------------------
 
 
-def _part_finder(pieces: Pieces):
+def _word_finder(prefix: str):
+    """Splits a text at blanks. A word has its blanks in front, the first of all words `prefix`."""
     words = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
-    inside = pieces.neighbours
 
-    def parts(word: str) -> list[str]:
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in inside]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
+    def find(text: str) -> list[str]:
+        """The words without their first blank, if a prefix gives each of them one."""
+        plain = text.split(" ") if prefix else [""]
+        if "" not in plain:
+            return plain
+        found = words(prefix + text.replace(" ", BLANK)) if text else []
+        return [word[1:] for word in found] if prefix else found
+
+    return find
+
+
+def _part_finder(pieces: Pieces):
+    """Cuts words where two characters stand side by side in no piece."""
+    chars = sorted({c for pair in pieces.neighbours for c in pair})
+    number = np.zeros(0x110000, np.int32)
+    number[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+    together = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+    pairs = np.array([[ord(c) for c in pair] for pair in pieces.neighbours], np.int64).reshape(-1, 2)
+    together[number[pairs[:, 0]], number[pairs[:, 1]]] = True
 
-    return words, parts
+    def cut(words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The parts of all words, and how many each has."""
+        if not words:
+            return [], np.zeros(0, np.int64)
+        whole = "".join(words)
+        codes = number[np.frombuffer(whole.encode("utf-32-le"), "<u4")]
+        first = np.ones(len(codes), bool)
+        first[1:] = ~together[codes[:-1], codes[1:]]
+        begins = np.concatenate([[0], np.cumsum([len(word) for word in words], dtype=np.int64)[:-1]])
+        first[begins] = True
+        starts = np.flatnonzero(first)
+        parts = [whole[a:b] for a, b in itertools.pairwise([*starts.tolist(), len(whole)])]
+        return parts, np.add.reduceat(first, begins, dtype=np.int64)
 
+    return cut
 
-_BLOCK_ROW = ("block bigint, parts array<string>, keys array<{key}>, hashes array<bigint>, "
-              "sizes array<int>, numbers binary")
+
+def _squeezed(values: np.ndarray) -> bytes:
+    """Small numbers as four planes of bytes, of which the upper ones compress to almost nothing."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.compress(planes, "zstd", asbytes=True)
+
+
+def _restored(squeezed: bytes, size: int) -> np.ndarray:
+    planes = pa.decompress(squeezed, 4 * size, "zstd")
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _packed(row: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(
+            compression="zstd")) as writer:
+        writer.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: pa.BinaryScalar, *fields: int) -> list[pa.ListScalar | pa.BinaryScalar]:
+    """The values of a packed row in these fields."""
+    options = pa.ipc.IpcReadOptions(included_fields=list(fields))
+    with pa.ipc.open_stream(packed.as_buffer(), options=options) as reader:
+        return [column[0] for column in reader.read_next_batch().columns]
+
+
+PARTS, KEYS, HASHES, SIZES, NUMBERS = range(5)
 
 
 class _Block:
@@ -253,27 +303,30 @@ class _Block:
         self.hashes.append(digest)
         self.size += size
 
-    def row(self, number: int, cut, key_type: pa.DataType) -> pa.RecordBatch:
-        """Words become parts, the most frequent with the smallest numbers, and the numbers four
-        planes of bytes, of which the upper ones compress to almost nothing."""
+    def row(self, number: int, cut, key_type: pa.DataType, blank: str = "") -> pa.RecordBatch:
+        """Words, each with a `blank` put back, become parts, the most frequent with the smallest
+        numbers."""
+        found, runs = cut([blank + word for word in self.numbers])
         parts: dict[str, int] = defaultdict()
         parts.default_factory = parts.__len__
-        per_word = [[parts[p] for p in cut(word)] for word in self.numbers]
-        sequence, sizes = _spell(
-            np.concatenate([np.zeros(0, np.int32), *self.texts]), per_word, self.texts)
+        flat = np.fromiter(map(parts.__getitem__, found), np.int32, len(found))
+        sequence, ends = _gathered(flat, np.concatenate([[0], np.cumsum(runs)]),
+                                   np.concatenate([np.zeros(0, np.int32), *self.texts]))
+        sizes = _counts([len(t) for t in self.texts], ends).astype(np.int32)
         order = np.argsort(-np.bincount(sequence, minlength=len(parts)), kind="stable")
         place = np.empty(len(parts), np.uint32)
         place[order] = np.arange(len(parts), dtype=np.uint32)
         names = list(parts)
-        planes = place[sequence].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-        return pa.RecordBatch.from_arrays([
-            pa.array([number], pa.int64()),
+        packed = _packed(pa.RecordBatch.from_arrays([
             pa.array([[names[i] for i in order]], pa.list_(pa.string())),
             pa.array([self.keys], pa.list_(key_type)),
             pa.array([self.hashes], pa.list_(pa.int64())),
             pa.array([sizes], pa.list_(pa.int32())),
-            pa.array([pa.compress(planes, "zstd", asbytes=True)], pa.binary()),
-        ], names=["block", "parts", "keys", "hashes", "sizes", "numbers"])
+            pa.array([_squeezed(place[sequence])], pa.binary()),
+        ], names=["parts", "keys", "hashes", "sizes", "numbers"]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), pa.array([packed], pa.binary())],
+            names=["block", "packed"])
 
 
 def _gathered(values: np.ndarray, offsets: np.ndarray, chosen: np.ndarray):
@@ -285,14 +338,6 @@ def _gathered(values: np.ndarray, offsets: np.ndarray, chosen: np.ndarray):
     return values[first + np.arange(len(first))], ends
 
 
-def _spell(numbers: np.ndarray, runs: list[list[int]], texts: list[np.ndarray]):
-    """Word numbers replaced by the numbers of their parts, and how many each text has."""
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in runs], dtype=np.int64)])
-    flat = np.fromiter((n for r in runs for n in r), np.int32, int(offsets[-1]))
-    sequence, ends = _gathered(flat, offsets, numbers)
-    return sequence, _counts([len(t) for t in texts], ends).astype(np.int32)
-
-
 def _counts(sizes, ends: np.ndarray) -> np.ndarray:
     """From the number of runs of each text and their ends: the number of values of each text."""
     upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
@@ -301,49 +346,142 @@ def _counts(sizes, ends: np.ndarray) -> np.ndarray:
 
 def blocks_of(texts: DataFrame, key: str, text: str, pieces: Pieces) -> DataFrame:
     """One row per block; `hashes` are those of the texts, as a decoded text should have them."""
-    kind = texts.schema[key].dataType.simpleString()
-    plain = F.coalesce(F.translate(F.col(f"`{text}`"), BLANK, " "), F.lit(""))
+    plain = F.coalesce(F.replace(F.col(f"`{text}`"), F.lit(BLANK), F.lit(" ")), F.lit(""))
     prefix = BLANK if pieces.prefix else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, cut = _part_finder(pieces)
+        find, cut = _word_finder(prefix), _part_finder(pieces)
         number, block = TaskContext.get().partitionId() << 32, _Block()
         for batch in batches:
             key_type = batch.schema.field(0).type
             for at in range(batch.num_rows):
                 value = batch.column(2)[at].as_py()
                 if block.texts and block.size + len(value) > BLOCK:
-                    yield block.row(number, cut, key_type)
+                    yield block.row(number, cut, key_type, prefix)
                     number, block = number + 1, _Block()
-                words = find(prefix + value.replace(" ", BLANK)) if value else []
-                block.add(batch.column(0)[at].as_py(), batch.column(1)[at].as_py(), words,
+                block.add(batch.column(0)[at].as_py(), batch.column(1)[at].as_py(), find(value),
                           len(value))
         if block.texts:
-            yield block.row(number, cut, key_type)
+            yield block.row(number, cut, key_type, prefix)
 
     return texts.select(F.col(f"`{key}`").alias("key"), F.xxhash64(plain).alias("hash"),
-                        plain.alias("text")).mapInArrow(run, _BLOCK_ROW.format(key=kind))
+                        plain.alias("text")).mapInArrow(
+        giving_back(run), "block bigint, packed binary")
 
 
-def _spelt_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns: keys, hashes, sizes and numbers of blocks, and the ids of their parts."""
+def _parts(batches: Iterator[pa.RecordBatch], above: int):
+    """Of each block: its number, and the places and words of its parts of more than `above`
+    characters, some at a time."""
     for batch in batches:
-        for at in range(batch.num_rows):
-            keys, hashes, sizes, planes, known = (column[at] for column in batch.columns)
-            held = sizes.values.to_numpy()
-            plain = pa.decompress(planes.as_py(), 4 * int(held.sum(dtype=np.int64)), "zstd")
-            numbers = np.frombuffer(plain, np.uint8).reshape(4, -1).T.copy().view("<u4")
-            if known.is_valid:
-                offsets = known.values.offsets.to_numpy().astype(np.int64)
-                flat = known.values.values.to_numpy()
-            else:
-                offsets, flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
-            ids, ends = _gathered(flat, offsets, numbers.ravel().astype(np.int64))
-            counts = _counts(held, ends)
-            starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        for number, packed in zip(*batch.columns, strict=True):
+            words = _unpacked(packed, PARTS)[0].values
+            places = np.flatnonzero(pc.utf8_length(words).to_numpy() > above).astype(np.int32)
+            for at in range(0, len(places), SENT):
+                some = pa.array(places[at:at + SENT])
+                yield pa.array(np.full(len(some), number.as_py())), some, words.take(some)
+
+
+def parts_of(blocks: DataFrame) -> DataFrame:
+    """`block`, `place` and `word` of each part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in _parts(batches, 0):
+            yield pa.RecordBatch.from_arrays(list(columns), names=["block", "place", "word"])
+
+    return blocks.mapInArrow(giving_back(run), "block bigint, place int, word string")
+
+
+def encode_long(blocks: DataFrame, model: str) -> DataFrame:
+    """`block`, `place` and the library's `ids` of each part of more than `LATTICE` characters."""
+    prefix, longest = read_model(model).prefix, LATTICE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import sentencepiece
+
+        processor = sentencepiece.SentencePieceProcessor(model_file=model)
+        for numbers, places, words in _parts(batches, longest):
+            ids = [_library_ids(processor, word.as_py(), prefix) for word in words]
             yield pa.RecordBatch.from_arrays(
-                [keys.values, hashes.values, pa.ListArray.from_arrays(starts, pa.array(ids))],
-                names=["key", "text_hash", "ids"])
+                [numbers, places, pa.array(ids, pa.list_(pa.int32()))],
+                names=["block", "place", "ids"])
+
+    return blocks.mapInArrow(giving_back(run), "block bigint, place int, ids array<int>")
+
+
+_ANSWER = "own bigint, n_parts int, n_ids int, places binary, counts binary, ids binary"
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns: block, place and ids of parts. Those of one block become one row, by place."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= ANSWERED:
+            yield _answer(held)
+            held, rows = [], 0
+    if rows:
+        yield _answer(held)
+
+
+def _answer(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    blocks, places, ids = (
+        pa.concat_arrays(columns)
+        for columns in zip(*(batch.columns for batch in batches), strict=True))
+    blocks, places = blocks.to_numpy(), places.to_numpy()
+    order = np.lexsort((places, blocks))
+    offsets = ids.offsets.to_numpy().astype(np.int64)
+    flat, ends = _gathered(ids.values.to_numpy(), offsets, order)
+    blocks, places, upto = blocks[order], places[order], np.concatenate([[0], ends])
+    starts = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+    found = [
+        (blocks[a], b - a, upto[b] - upto[a], _squeezed(np.diff(places[a:b], prepend=0)),
+         _squeezed(np.diff(upto[a:b + 1])), _squeezed(flat[upto[a]:upto[b]]))
+        for a, b in itertools.pairwise(starts)]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["own", "n_parts", "n_ids", "places", "counts", "ids"]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(zip(*found, strict=True), types,
+                                                        strict=True)], names=names)
+
+
+def _collected(answers: list[dict]):
+    """The ids of a block's parts, by place, and where those of each part begin."""
+    lengths = np.zeros(sum(a["n_parts"] for a in answers), np.int64)
+    runs = []
+    for a in answers:
+        places = np.cumsum(_restored(a["places"], a["n_parts"]), dtype=np.int64)
+        counts = _restored(a["counts"], a["n_parts"]).astype(np.int64)
+        lengths[places] = counts
+        runs.append((places, counts, _restored(a["ids"], a["n_ids"])))
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    flat = np.zeros(offsets[-1], np.int32)
+    for places, counts, ids in runs:
+        first = np.repeat(offsets[places] - (np.cumsum(counts) - counts), counts)
+        flat[first + np.arange(len(first))] = ids
+    return flat, offsets
+
+
+def _spelt_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns: packed blocks, and the answers for their parts."""
+    for batch in batches:
+        for packed, known in zip(*batch.columns, strict=True):
+            keys, hashes, sizes, squeezed = _unpacked(packed, KEYS, HASHES, SIZES, NUMBERS)
+            held = sizes.values.to_numpy().astype(np.int64)
+            upto = np.concatenate([[0], np.cumsum(held)])
+            numbers = _restored(squeezed.as_py(), int(upto[-1]))
+            flat, offsets = _collected(known.as_py() or [])
+            start = 0
+            while start < len(held):
+                # As many texts as have `ANSWERED` parts together, and one at least.
+                stop = max(start + 1, int(np.searchsorted(upto, upto[start] + ANSWERED, "right")) - 1)
+                ids, ends = _gathered(flat, offsets, numbers[upto[start]:upto[stop]])
+                counts = _counts(held[start:stop], ends)
+                begins = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [keys.values.slice(start, stop - start), hashes.values.slice(start, stop - start),
+                     pa.ListArray.from_arrays(begins, pa.array(ids))],
+                    names=["key", "text_hash", "ids"])
+                start = stop
 
 
 def encode_texts(texts: DataFrame, key: str = "doc_id", text: str = "text",
@@ -352,34 +490,47 @@ def encode_texts(texts: DataFrame, key: str = "doc_id", text: str = "text",
     blanks (empty for NULL)."""
     pieces = read_model(model)
     kind = texts.schema[key].dataType.simpleString()
-    blocks = stored(blocks_of(texts, key, text, pieces), "blocks", compression="zstd")
-    parts = blocks.select("block", F.posexplode("parts").alias("place", "word"))
+    # All uses read both columns of a block, which lets Spark use the exchange again.
+    blocks = blocks_of(texts, key, text, pieces).repartition("block")
     # Dealt by part once: the distinct parts are taken from the rows they are joined back to. The
-    # same columns and filters on both sides let Spark use the exchange again.
-    dealt = parts.where((F.length("word") <= LATTICE) & F.col("block").isNotNull()
-                        ).repartition("word")
+    # same columns and filters on both sides let Spark use this exchange again, too.
+    dealt = parts_of(blocks).where((F.length("word") <= LATTICE) & F.col("block").isNotNull()
+                                   ).repartition("word")
     distinct = dealt.groupBy("word").agg(F.min("block").alias("b"), F.min("place").alias("p")
                                          ).where("b IS NOT NULL AND p IS NOT NULL")
     ids = encode_words(distinct.select("word"), model)
-    rest = parts.where(F.length("word") > LATTICE).select(
-        "block", "place", encode_long("word", model).alias("ids"))
-    known = dealt.join(ids, "word").select("block", "place", "ids").union(rest).groupBy(
-        "block").agg(F.array_sort(F.collect_list(F.struct("place", "ids"))).alias("found")).select(
-        F.col("block").alias("own"),
-        F.transform("found", lambda part: part["ids"]).alias("known"))
-    whole = blocks.join(known, F.col("block") == F.col("own"), "left").select(
-        "keys", "hashes", "sizes", "numbers", "known")
-    spelt = whole.mapInArrow(_spelt_out, f"key {kind}, text_hash bigint, ids array<int>")
+    answers = dealt.join(ids, "word").select("block", "place", "ids").union(
+        encode_long(blocks, model)).mapInArrow(giving_back(_answers), _ANSWER)
+    known = answers.groupBy("own").agg(
+        F.collect_list(F.struct(*answers.columns[1:])).alias("known"))
+    whole = blocks.join(known, F.col("block") == F.col("own"), "left").select("packed", "known")
+    spelt = whole.mapInArrow(
+        giving_back(_spelt_out), f"key {kind}, text_hash bigint, ids array<int>")
     return spelt.withColumnRenamed("key", key)
 
 
+def _meanings(pieces: Pieces) -> Column:
+    """What each id stands for, blanks put back. A byte on its own need not be a valid string."""
+    runs = []
+    numbered = enumerate(pieces.meaning)
+    for single, run in itertools.groupby(numbered, lambda at: at[0] in pieces.byte_ids):
+        texts = [bytes.fromhex(code) for _, code in run]
+        runs.append(
+            F.array(*[F.lit(byte).cast("string") for byte in texts]) if single else F.from_json(
+                F.lit(json.dumps([t.decode().replace(BLANK, " ") for t in texts])), "array<string>"))
+    return F.concat(*runs)
+
+
 def decode(ids: str, model: str = MODEL) -> Column:
     """The text of ids: their bytes one after the other, blanks put back."""
     pieces = read_model(model)
-    meaning = F.from_json(F.lit(json.dumps(pieces.meaning)), "array<string>")
-    codes = F.transform(F.col(ids), lambda i: F.element_at(meaning, i + 1))
-    whole = F.translate(F.decode(F.unhex(F.array_join(codes, "")), "UTF-8"), BLANK, " ")
-    return F.regexp_replace(whole, "^ ", "") if pieces.prefix else whole
+    meaning = _meanings(pieces)
+    whole = F.make_valid_utf8(
+        F.array_join(F.transform(F.col(ids), lambda i: F.element_at(meaning, i + 1)), ""))
+    if not pieces.prefix:
+        return whole
+    return _let(whole, lambda text: F.when(
+        F.startswith(text, F.lit(" ")), F.substring(text, F.lit(2), F.length(text))).otherwise(text))
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

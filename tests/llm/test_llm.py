@@ -148,6 +148,30 @@ def test_pieces_as_the_library(spark, docs, monkeypatch):
     assert pieces.encode_texts(df.limit(0)).count() == 0
 
 
+def test_blocks_and_parts_are_exchanged_once(spark, docs, monkeypatch):
+    """Blocks are not stored besides, and what returns to them is one row per block and task."""
+    monkeypatch.setattr(pieces, "BLOCK", 5000)
+    df = spark.createDataFrame([(r.doc_id, r.text) for r in docs], "doc_id bigint, text string")
+    found = pieces.encode_texts(df)
+    assert len(found.collect()) == len(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.index("== Initial Plan ==")]
+    assert "FileScan" not in plan
+    blocks, words = (len(re.findall(rf"[+]- Exchange hashpartitioning\({c}#", plan))
+                     for c in ("block", "word"))
+    assert (blocks, words) == (1, 1)
+
+
+def test_answers_are_one_row_per_block():
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([7, 3, 7, 3], pa.int64()), pa.array([1, 0, 0, 900], pa.int32()),
+        pa.array([[5], [70000, 2], [], [1]], pa.list_(pa.int32()))], names=["block", "place", "ids"])
+    rows = [r for b in pieces._answers([batch.slice(0, 3), batch.slice(3)]) for r in b.to_pylist()]
+    assert [(r["own"], r["n_parts"], r["n_ids"]) for r in rows] == [(3, 2, 3), (7, 2, 1)]
+    flat, offsets = pieces._collected(rows[1:])
+    assert (list(flat), list(offsets)) == ([5], [0, 0, 1])
+
+
 @pytest.mark.parametrize("part", ["q" * 70, "x" + "a" * 80, "▁" * 70, "▁" * 70 + "a", "▁" + "q" * 70])
 def test_long_parts(part):
     import sentencepiece
