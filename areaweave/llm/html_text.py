@@ -6,7 +6,8 @@ Over the lines a window of `WIDTH` slides and adds up text lengths: the sum surg
 article begins and dives to nothing where it ends. A stretch between such points is kept, all of
 its lines, if its largest sum reaches `SURGE` of the page's largest. A shorter one is kept too from
 its first to its last line of a kind that a kept stretch has, elements of one name within the same
-element: a short paragraph of the text is not lost behind a list of links. An `<article>` or `<main>`
+element: a short paragraph of the text is not lost behind a list of links. Lines within no element
+at all have nothing in common. An `<article>` or `<main>`
 does not decide: its text weighs `ARTICLE` times as much, and where one begins or ends a stretch
 does so too.
 
@@ -230,7 +231,8 @@ def _sums(counts: list[float]) -> list[float]:
 def stretches(counts: list[float], marked: list[bool], kinds: list) -> list[tuple[int, int]]:
     """(first, end) of the stretches that surge: lines between points where the sums over windows
     are nothing or an article begins or ends, with a window of their own that sums up to `SURGE`
-    of the largest. Of the others, the part between lines of a kind that these have."""
+    of the largest. Of the others, the part between lines of a kind that these have (kind: element
+    around, or 0 for none, and name)."""
     found, start = [], None
     for i, total in enumerate([*_sums(counts), 0]):
         if start is not None and (not total or marked[i] != marked[i - 1]):
@@ -242,7 +244,7 @@ def stretches(counts: list[float], marked: list[bool], kinds: list) -> list[tupl
     enough = SURGE * max(peaks, default=0)
     surging = [bool(peak) and peak >= enough for peak in peaks]
     known = {kinds[i] for (first, end), surges in zip(found, surging, strict=True) if surges
-             for i in range(first, end) if counts[i]}
+             for i in range(first, end) if counts[i] and kinds[i][0]}
     kept = []
     for (first, end), surges in zip(found, surging, strict=True):
         alike = [i for i in range(first, end) if counts[i] and kinds[i] in known]
