@@ -15,7 +15,7 @@ from test_tables import put, rows, space  # noqa: F401
 from areaweave import fixed_values as fv
 from areaweave.operators import checks
 from areaweave.plans import entries, integrity, row_jobs, staged
-from areaweave.sources import csv_files, field_lists, landing, published, tables
+from areaweave.sources import csv_files, derived, field_lists, landing, published, tables
 from areaweave.sources.area_tables import AreaTables
 from areaweave.sources.csv_files import CsvLoad, write_csv
 
@@ -189,6 +189,16 @@ def test_dry_run_of_all_rows(spark, lines, job):
     assert [r.NAME for r in top] == named[:20]
 
 
+def test_extracts_from_lines_that_are_joined_once(spark, lines, tmp_path):
+    made = derived.from_lines(spark, lines, str(tmp_path / "counted"))
+    assert sorted(made) == ["housing", "school_enrollment", "work"]
+    for name, df in made.items():
+        alone = AreaTables(spark, lines).staging(name)
+        assert df.columns == alone.columns
+        assert Counter(df.collect()) == Counter(alone.collect())
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_changed_extract_runs_its_steps_again(spark, tmp_path, space):
     path = tmp_path / "in" / "zip_to_zcta5"
     df = spark.createDataFrame([(1, "TX", 7), (2, "TX", None)], "ZIP_CODE INT, STATE STRING, ZCTA INT")
