@@ -52,6 +52,8 @@ BLOCK = 1 << 24
 """Characters of a block; a longer text is a block of its own."""
 SENT, ANSWERED = 1 << 16, 1 << 18
 """Parts of a batch on their way out, and at most about so many held on their way back."""
+CUT, PUT = 1 << 14, 1 << 18
+"""Words of a block that are cut into parts, and that are put into texts, at one time."""
 BLANK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
@@ -261,13 +263,20 @@ def _part_finder(pieces: Pieces):
 
 def _squeezed(values: np.ndarray) -> bytes:
     """Small numbers as four planes of bytes, of which the upper ones compress to almost nothing."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    planes = values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes()
     return pa.compress(planes, "zstd", asbytes=True)
 
 
+def _planes(squeezed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(squeezed, 4 * size, "zstd"), np.uint8).reshape(4, -1)
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    return planes.T.copy().view("<u4").ravel()
+
+
 def _restored(squeezed: bytes, size: int) -> np.ndarray:
-    planes = pa.decompress(squeezed, 4 * size, "zstd")
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+    return _numbers(_planes(squeezed, size))
 
 
 def _packed(row: pa.RecordBatch) -> bytes:
@@ -305,24 +314,45 @@ class _Block:
 
     def row(self, number: int, cut, key_type: pa.DataType, blank: str = "") -> pa.RecordBatch:
         """Words, each with a `blank` put back, become parts, the most frequent with the smallest
-        numbers."""
-        found, runs = cut([blank + word for word in self.numbers])
+        numbers. Words are cut, and put into texts, some at a time, and what is done with is let
+        go, so that little stands beside the block itself."""
+        words = list(self.numbers)
+        self.numbers.clear()
         parts: dict[str, int] = defaultdict()
         parts.default_factory = parts.__len__
-        flat = np.fromiter(map(parts.__getitem__, found), np.int32, len(found))
-        sequence, ends = _gathered(flat, np.concatenate([[0], np.cumsum(runs)]),
-                                   np.concatenate([np.zeros(0, np.int32), *self.texts]))
-        sizes = _counts([len(t) for t in self.texts], ends).astype(np.int32)
-        order = np.argsort(-np.bincount(sequence, minlength=len(parts)), kind="stable")
+        flat, runs = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), CUT):
+            found, many = cut([blank + word for word in words[at:at + CUT]])
+            flat.append(np.fromiter(map(parts.__getitem__, found), np.int32, len(found)))
+            runs.append(many)
+        del words
+        flat, runs = np.concatenate(flat), np.concatenate(runs)
+        borders = np.cumsum([len(t) for t in self.texts], dtype=np.int64)
+        chosen = np.concatenate([np.zeros(0, np.int32), *self.texts])
+        self.texts.clear()
+        times = np.zeros(len(runs), np.int64)
+        for at in range(0, len(chosen), PUT):
+            times += np.bincount(chosen[at:at + PUT], minlength=len(times))
+        order = np.argsort(-np.bincount(flat, np.repeat(times, runs), len(parts)), kind="stable")
         place = np.empty(len(parts), np.uint32)
         place[order] = np.arange(len(parts), dtype=np.uint32)
         names = list(parts)
+        parts.clear()
+        flat, offsets = place[flat], np.concatenate([[0], np.cumsum(runs)])
+        sequence, upto, done = np.empty(times @ runs, np.uint32), np.zeros(len(borders), np.int64), 0
+        for at in range(0, len(chosen), PUT):
+            some, ends = _gathered(flat, offsets, chosen[at:at + PUT])
+            sequence[done:done + len(some)] = some
+            inside = (borders > at) & (borders <= at + PUT)
+            upto[inside] = done + ends[borders[inside] - at - 1]
+            done += len(some)
+        sizes = np.diff(upto, prepend=0).astype(np.int32)
         packed = _packed(pa.RecordBatch.from_arrays([
             pa.array([[names[i] for i in order]], pa.list_(pa.string())),
             pa.array([self.keys], pa.list_(key_type)),
             pa.array([self.hashes], pa.list_(pa.int64())),
             pa.array([sizes], pa.list_(pa.int32())),
-            pa.array([_squeezed(place[sequence])], pa.binary()),
+            pa.array([_squeezed(sequence)], pa.binary()),
         ], names=["parts", "keys", "hashes", "sizes", "numbers"]))
         return pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([packed], pa.binary())],
@@ -390,21 +420,26 @@ def parts_of(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(giving_back(run), "block bigint, place int, word string")
 
 
-def encode_long(blocks: DataFrame, model: str) -> DataFrame:
-    """`block`, `place` and the library's `ids` of each part of more than `LATTICE` characters."""
+def _long_ids(batches: Iterator[pa.RecordBatch], model: str, prefix: bool, longest: int):
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=model)
+    for numbers, places, words in _parts(batches, longest):
+        ids = [_library_ids(processor, word.as_py(), prefix) for word in words]
+        yield pa.RecordBatch.from_arrays(
+            [numbers, places, pa.array(ids, pa.list_(pa.int32()))],
+            names=["block", "place", "ids"])
+
+
+def answer_long(blocks: DataFrame, model: str) -> DataFrame:
+    """The answers with the library's ids of all parts of more than `LATTICE` characters. They
+    are put together where they are made, since each step in Python has workers of its own."""
     prefix, longest = read_model(model).prefix, LATTICE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sentencepiece
-
-        processor = sentencepiece.SentencePieceProcessor(model_file=model)
-        for numbers, places, words in _parts(batches, longest):
-            ids = [_library_ids(processor, word.as_py(), prefix) for word in words]
-            yield pa.RecordBatch.from_arrays(
-                [numbers, places, pa.array(ids, pa.list_(pa.int32()))],
-                names=["block", "place", "ids"])
+        yield from _answers(_long_ids(batches, model, prefix, longest))
 
-    return blocks.mapInArrow(giving_back(run), "block bigint, place int, ids array<int>")
+    return blocks.mapInArrow(giving_back(run), _ANSWER)
 
 
 _ANSWER = "own bigint, n_parts int, n_ids int, places binary, counts binary, ids binary"
@@ -468,13 +503,14 @@ def _spelt_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, hashes, sizes, squeezed = _unpacked(packed, KEYS, HASHES, SIZES, NUMBERS)
             held = sizes.values.to_numpy().astype(np.int64)
             upto = np.concatenate([[0], np.cumsum(held)])
-            numbers = _restored(squeezed.as_py(), int(upto[-1]))
+            planes = _planes(squeezed.as_buffer(), int(upto[-1]))
             flat, offsets = _collected(known.as_py() or [])
             start = 0
             while start < len(held):
                 # As many texts as have `ANSWERED` parts together, and one at least.
                 stop = max(start + 1, int(np.searchsorted(upto, upto[start] + ANSWERED, "right")) - 1)
-                ids, ends = _gathered(flat, offsets, numbers[upto[start]:upto[stop]])
+                numbers = _numbers(planes[:, upto[start]:upto[stop]])
+                ids, ends = _gathered(flat, offsets, numbers)
                 counts = _counts(held[start:stop], ends)
                 begins = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -499,8 +535,8 @@ def encode_texts(texts: DataFrame, key: str = "doc_id", text: str = "text",
     distinct = dealt.groupBy("word").agg(F.min("block").alias("b"), F.min("place").alias("p")
                                          ).where("b IS NOT NULL AND p IS NOT NULL")
     ids = encode_words(distinct.select("word"), model)
-    answers = dealt.join(ids, "word").select("block", "place", "ids").union(
-        encode_long(blocks, model)).mapInArrow(giving_back(_answers), _ANSWER)
+    answers = dealt.join(ids, "word").select("block", "place", "ids").mapInArrow(
+        giving_back(_answers), _ANSWER).union(answer_long(blocks, model))
     known = answers.groupBy("own").agg(
         F.collect_list(F.struct(*answers.columns[1:])).alias("known"))
     whole = blocks.join(known, F.col("block") == F.col("own"), "left").select("packed", "known")

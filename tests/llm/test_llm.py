@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import compare
@@ -162,6 +163,50 @@ def test_blocks_and_parts_are_exchanged_once(spark, docs, monkeypatch):
     assert (blocks, words) == (1, 1)
 
 
+def test_a_task_has_one_python_worker(spark):
+    """Where rows of two kinds are answered, none goes from Python to Python."""
+    found = pieces.encode_texts(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Union" in plan and not re.search(r"MapInArrow[^\n]*\n[ :+|-]*Union", plan)
+
+
+def _most_held(run) -> int:
+    """Bytes that `run` holds at most beside what was there before."""
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def _block(texts: int, words: int):
+    block, rng = pieces._Block(), random.Random(9)
+    for key in range(texts):
+        block.add(key, key, [f"w{rng.randrange(50)}" for _ in range(words)], 3 * words)
+    return block
+
+
+def test_blocks_are_made_in_slices(monkeypatch):
+    cut = pieces._part_finder(pieces.read_model(pieces.MODEL))
+    row = _block(40, 7).row(5, cut, pa.int64(), pieces.BLANK)
+    empty = pieces._Block()
+    empty.add(1, 1, [], 0)
+    none = empty.row(5, cut, pa.int64(), pieces.BLANK)
+    monkeypatch.setattr(pieces, "CUT", 3)
+    monkeypatch.setattr(pieces, "PUT", 14)
+    assert _block(40, 7).row(5, cut, pa.int64(), pieces.BLANK).equals(row)
+    found = pieces._unpacked(none.column(1)[0], pieces.PARTS, pieces.SIZES)
+    assert [v.as_py() for v in found] == [[], [0]]
+
+
+def test_a_block_takes_little_memory():
+    words = 1_000_000
+    block = _block(1000, words // 1000)
+    cut = pieces._part_finder(pieces.read_model(pieces.MODEL))
+    assert _most_held(lambda: block.row(0, cut, pa.int64(), pieces.BLANK)) < 60 * words
+
+
 def test_answers_are_one_row_per_block():
     batch = pa.RecordBatch.from_arrays([
         pa.array([7, 3, 7, 3], pa.int64()), pa.array([1, 0, 0, 900], pa.int32()),
