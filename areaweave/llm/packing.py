@@ -80,24 +80,31 @@ def _pieces_of(batch: pa.RecordBatch, encode: tokens.UnitEncoder, end: int, capa
     return rows
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], encode: tokens.UnitEncoder, end: int,
+             capacity: int) -> Iterator[pa.RecordBatch]:
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    for batch in batches:
+        row, *others = _pieces_of(batch, encode, end, capacity)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(pa.array(row, pa.int64())),
+             *[pa.array(v, t) for v, t in zip(others, types, strict=True)]],
+            names=["key", "piece", "start", "length", "ids_crc32"])
+
+
 def token_pieces(
     documents: DataFrame, key: str = "doc_id", text: str = "text",
     vocabulary: str = tokens.VOCABULARY, end: int = END, capacity: int = CAPACITY,
-    cached_units: int = tokens.CACHED_UNITS,
+    cached_units: int = tokens.CACHED_UNITS, forget: bool = False,
 ) -> DataFrame:
     """Encode each text, end it with `end` and cut it: key, piece, start, length, ids_crc32.
-    `cached_units`: what a worker may remember, memory against time."""
+    `cached_units`: what a worker may remember, memory against time; `forget`: not beyond a task."""
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(vocabulary, bytes, cached_units)
-        for batch in batches:
-            row, *others = _pieces_of(batch, encode, end, capacity)
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())),
-                 *[pa.array(v, t) for v, t in zip(others, types, strict=True)]],
-                names=["key", "piece", "start", "length", "ids_crc32"])
+        yield from _encoded(batches, encode, end, capacity)
+        if forget:
+            encode.kept.clear()
 
     return documents.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(
         giving_back(run), f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -362,9 +369,10 @@ def pack(pieces: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataF
 
 
 def pack_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
-                   cached_units: int = tokens.CACHED_UNITS) -> DataFrame:
+                   cached_units: int = tokens.CACHED_UNITS, forget: bool = False) -> DataFrame:
     """Encode, cut and pack whole documents."""
-    pieces = stored(token_pieces(documents, key, text, cached_units=cached_units), "pieces")
+    pieces = stored(token_pieces(
+        documents, key, text, cached_units=cached_units, forget=forget), "pieces")
     return pack(pieces, [key, "piece", "start", "ids_crc32"])
 
 

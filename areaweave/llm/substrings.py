@@ -248,6 +248,11 @@ _STRIPPED = StructType([StructField("kept", StringType()), StructField("n_words"
 
 
 def _stripped(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    yield from _stripped_parts(parts)
+    give_back()
+
+
+def _stripped_parts(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Text and places of windows to remove. In slices, so that only their words are objects."""
     for text, starts in parts:
         batch = pa.RecordBatch.from_arrays([text, starts], names=["text", "starts"])
@@ -260,7 +265,6 @@ def _stripped(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
                     (pa.string(), pa.int64(), pa.int64()))], names=_STRIPPED.names))
         yield pa.concat_arrays(done) if done else pa.array([], pa.struct(
             [("kept", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())]))
-    give_back()
 
 
 def repeated_windows(texts: DataFrame, key: str, text: str, mark: str, firsts: DataFrame

@@ -23,19 +23,20 @@ an empty result. Extra columns are kept; output columns replace input columns of
 
 import json
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, DoubleType, LongType, StructField, StructType,
 )
 
-from areaweave.llm.work import free_name, give_back, table
+from areaweave.llm.work import byte_slices, free_name, give_back, table
 
 TRAIN_TOXIC = 3000
 TRAIN_CLEAN = 6000
@@ -53,8 +54,8 @@ STEPS = 100
 FIT_ROWS = 2048
 KEPT_WORDS = 300_000
 GROUP_WORDS = 500_000
-TAGGED = 500
-"""Texts of the sample that are tagged at one time."""
+SLICE = 1 << 20
+"""Bytes of text that are scored, or of the sample tagged, at one time."""
 _WORD = re.compile(r"\w+")
 
 
@@ -70,10 +71,14 @@ def _ratio(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return size if toxic / all_toxic > clean / all_clean else -size
 
 
-def _middles(found: list[np.ndarray], many: int) -> np.ndarray:
+def _middles(coded: list[np.ndarray], place: np.ndarray, many: int) -> np.ndarray:
     """How often each word stands between two others, equal neighbours counting once."""
-    place = np.concatenate([np.zeros(2, np.int32), *found])
-    before, middle, after = place[:-2], place[1:-1], place[2:]
+    line = np.zeros(2 + sum(len(codes) + 2 for codes in coded), np.int32)
+    at = 3
+    for codes in coded:
+        line[at:at + len(codes)] = place[codes]
+        at += len(codes) + 2
+    before, middle, after = line[:-2], line[1:-1], line[2:]
     order = np.lexsort((after, before, middle))
     new = np.ones(len(order), bool)
     new[1:] = False
@@ -83,16 +88,15 @@ def _middles(found: list[np.ndarray], many: int) -> np.ndarray:
     return np.bincount(middle[order[new]], minlength=many)
 
 
-def cues(texts: list[list[str]], labels: list[int]) -> set[str]:
-    """Words and beginnings that mark toxic texts. An occurrence counts by its neighbours."""
+def cues(words: list[str], coded: list[np.ndarray], labels: list[int]) -> set[str]:
+    """Words and beginnings that mark toxic texts. An occurrence counts by its neighbours.
+    `coded`: each text as the numbers of its `words`."""
     number = {"": 0}
-    codes: tuple[list, list] = ([], [])
-    for words, label in zip(texts, labels, strict=True):
-        codes[label].append(np.array(
-            [0, *[number.setdefault(w.lower(), len(number)) for w in words], 0], np.int32))
+    place = np.array([number.setdefault(w.lower(), len(number)) for w in words], np.int32)
     counts, totals = [], []
-    for found in codes:
-        times = _middles(found, len(number))
+    for wanted in (0, 1):
+        times = _middles([codes for codes, label in zip(coded, labels, strict=True)
+                          if label == wanted], place, len(number))
         count = Counter()
         for word, n in zip(number, times.tolist(), strict=True):
             if n and word:
@@ -172,87 +176,123 @@ def _borders(products: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nd
     return first, last
 
 
-def _lessons(split: list[list[str]], labels: list[int]) -> tuple:
-    """All sequences of the texts to learn from: the names of features, the numbers of each
-    word's features, which words are toxic, and how often each sequence stands. Sequences of
-    words without a feature differ by their length only, so each length of these is one row."""
-    found = cues(split, labels)
-    marked = {w for w in set().union(*split) if not found.isdisjoint(features(w))}
-    names = sorted({f for words, label in zip(split, labels, strict=True) if label
-                    for w in words if w in marked for f in features(w)})
+def _lessons(split: Iterable[list[str]], labels: list[int]) -> tuple:
+    """All sequences of the texts to learn from, a row each: the names of features, where words
+    are and which are toxic, the cells and numbers of the words' features, and how often each
+    sequence stands. Sequences of words without a feature differ by their length only, so each
+    length of these is one row. Words are held as numbers, each text's as it is gone through."""
+    number: dict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    coded = [np.fromiter(map(number.__getitem__, words), np.int32, len(words)) for words in split]
+    words = list(number)
+    number.clear()
+    found = cues(words, coded, labels)
+    marked = np.array([not found.isdisjoint(features(w)) for w in words], bool)
+    seen = np.zeros(len(words), bool)
+    for codes, label in zip(coded, labels, strict=True):
+        if label:
+            seen[codes] = True
+    names = sorted({f for i in np.flatnonzero(seen & marked) for f in features(words[i])})
     place = {f: i for i, f in enumerate(names)}
-    told = {}
-    for w in set().union(*split):
-        if known := [place[f] for f in features(w) if f in place]:
-            told[w] = known
-    sequences, marks, featureless = [], [], Counter()
-    for words, label in zip(split, labels, strict=True):
-        for s in range(0, len(words), LENGTH):
-            part = words[s:s + LENGTH]
-            if told.keys().isdisjoint(part):
-                featureless[len(part)] += 1
+    many, flat = np.zeros(len(words), np.int64), []
+    for i, w in enumerate(words):
+        known = [place[f] for f in features(w) if f in place]
+        many[i] = len(known)
+        flat += known
+    del words
+    sequences, toxic, featureless = [], [], Counter()
+    for codes, label in zip(coded, labels, strict=True):
+        told = many[codes] > 0
+        for s in range(0, len(codes), LENGTH):
+            part = codes[s:s + LENGTH]
+            if told[s:s + LENGTH].any():
+                sequences.append(part)
+                toxic.append(bool(label))
             else:
-                sequences.append([told.get(w, ()) for w in part])
-                marks.append([bool(label) and w in marked for w in part])
+                featureless[len(part)] += 1
     times = np.array([1] * len(sequences) + list(featureless.values()), float)
-    sequences += [[()] * n for n in featureless]
-    marks += [[False] * n for n in featureless]
-    return names, sequences, marks, times
+    lengths = np.array([len(part) for part in sequences] + list(featureless), np.int64)
+    there = np.arange(LENGTH) < lengths[:, None]
+    held = np.concatenate([np.zeros(0, np.int32), *sequences])
+    truth = np.zeros(there.shape, bool)
+    truth[:len(sequences)][there[:len(sequences)]] = marked[held]
+    truth[:len(sequences)] &= np.array(toxic, bool)[:, None]
+    cells = np.flatnonzero(there[:len(sequences)])[many[held] > 0]
+    held = held[many[held] > 0]
+    counts = many[held]
+    first = (np.cumsum(many) - many)[held] - (np.cumsum(counts) - counts)
+    which = np.array(flat, np.int64)[np.repeat(first, counts) + np.arange(counts.sum())]
+    return names, there, truth, np.repeat(cells, counts), which, times
+
+
+def _steps_of(truth: np.ndarray, there: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The steps from i to j in all rows as labelled, some rows at once."""
+    wanted = np.zeros((2, 2))
+    for now in _some(np.arange(len(truth))):
+        after = truth[now].astype(float)
+        before = np.concatenate([np.zeros((len(now), 1)), after[:, :-1]], axis=1)
+        moved = np.stack([np.stack([(1 - before) * (1 - after), (1 - before) * after], -1),
+                          np.stack([before * (1 - after), before * after], -1)], -2)
+        wanted += np.einsum("r,rtij->ij", times[now], moved * there[now][:, :, None, None])
+    return wanted
 
 
 def _expected(score: np.ndarray, there: np.ndarray, chain: np.ndarray, times: np.ndarray) -> tuple:
-    """P(toxic) of each word, and the steps from i to j expected in all rows, each as often as
-    `times` says. Some rows at once, so that memory does not grow with their number."""
-    toxic, moves = np.zeros_like(score), np.zeros((2, 2))
+    """P(toxic) of each word, in place of its score, and the steps from i to j expected in all
+    rows, each as often as `times` says. Some rows at once, so that memory does not grow with
+    their number."""
+    moves = np.zeros((2, 2))
     for i in range(0, len(score), FIT_ROWS):
         now = slice(i, i + FIT_ROWS)
-        toxic[now], steps = marginals(score[now], there[now], chain)
+        score[now], steps = marginals(score[now], there[now], chain)
         moves += np.einsum("r,rtij->ij", times[now], steps)
-    return toxic, moves
+    return score, moves
 
 
 def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> dict:
     """The model of labelled texts. `shares`: of all clean and toxic labels, the part that
     `texts` holds, which the logistic curve makes up for."""
-    once: dict[str, str] = {}
-    split = [[once.setdefault(w, w) for w in _WORD.findall(text)] for text in texts]
-    names, sequences, marks, times = _lessons(split, labels)
-    rows = len(sequences)
-    there = np.zeros((rows, LENGTH), bool)
-    truth = np.zeros((rows, LENGTH))
-    at, which = [], []
-    for i, (part, hit) in enumerate(zip(sequences, marks, strict=True)):
-        there[i, :len(part)] = True
-        truth[i, :len(part)] = hit
-        for t, told in enumerate(part):
-            at.extend([i * LENGTH + t] * len(told))
-            which.extend(told)
-    at, which = np.array(at, np.int64), np.array(which, np.int64)
+    names, there, truth, at, which, times = _lessons(map(_WORD.findall, texts), labels)
+    rows = len(there)
     weight, bias, chain = np.zeros(len(names)), -8.0, np.zeros((2, 2))
-    before = np.concatenate([np.zeros((rows, 1)), truth[:, :-1]], axis=1)
-    moved = np.stack([np.stack([(1 - before) * (1 - truth), (1 - before) * truth], -1),
-                      np.stack([before * (1 - truth), before * truth], -1)], -2)
-    wanted = np.einsum("r,rtij->ij", times, moved * there[:, :, None, None])
+    wanted = _steps_of(truth, there, times)
     size = np.full(len(names), 1e-8), 1e-8, np.full((2, 2), 1e-8)
+    score = np.zeros((rows, LENGTH))
     for _ in range(STEPS if rows else 0):
-        score = np.full(rows * LENGTH, bias)
-        np.add.at(score, at, weight[which])
-        toxic, moves = _expected(score.reshape(rows, LENGTH), there, chain, times)
-        miss = ((truth - toxic) * there * times[:, None]).ravel()
-        slope = (np.bincount(which, miss[at], len(names)) - 0.05 * weight,
-                 miss.sum(), wanted - moves)
+        score.fill(bias)
+        np.add.at(score.reshape(-1), at, weight[which])
+        toxic, moves = _expected(score, there, chain, times)
+        miss = np.subtract(truth, toxic, out=score)
+        miss *= there
+        miss *= times[:, None]
+        slope = (np.bincount(which, miss.reshape(-1)[at], len(names)) - 0.05 * weight,
+                 miss.reshape(-1).sum(), wanted - moves)
         size = tuple(s + g * g for s, g in zip(size, slope, strict=True))
         weight, bias, chain = (v + 0.7 * g / np.sqrt(s) for v, g, s in zip(
             (weight, bias, chain), slope, size, strict=True))
+    del score, there, truth, at, which
     model = {"names": names, "weight": weight.tolist(), "bias": float(bias),
              "chain": chain.tolist(), "curve": [0.0, 0.0, -9.0]}
     kept: dict = {}
-    inputs = np.array([_inputs(top, total) for first in range(0, len(split), TAGGED)
-                       for top, total, _ in _tag(split[first:first + TAGGED], model, kept)])
+    inputs = np.array([_inputs(top, total) for group in _groups(texts)
+                       for top, total, _ in _tag(group, model, kept)])
     model["curve"] = _curve(inputs.reshape(-1, 2), np.array(labels, float), shares)
     return model
 
 
+def _groups(texts: list[str]) -> Iterator[list[list[str]]]:
+    """The words of the texts, those of about `SLICE` characters at one time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(_WORD.findall(text))
+        size += len(text)
+        if size >= SLICE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _inputs(top: float, total: float) -> tuple[float, float]:
     top = min(max(top, 1e-5), 1 - 1e-5)
     return float(np.log(top / (1 - top))), float(np.log1p(total))
@@ -398,6 +438,21 @@ _RESULT = StructType([
         StructField("start", LongType()), StructField("end", LongType())])))])
 
 
+def _scored(parts: Iterator[pa.Array], model: str) -> Iterator[pa.Array]:
+    """Score and spans of each text. In slices, so that only their words are objects."""
+    loaded, words = json.loads(model), {}
+    kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(
+        pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+    for part in parts:
+        batch = pa.RecordBatch.from_arrays([part], names=["text"])
+        done = []
+        for some in byte_slices(batch, 0, SLICE):
+            rows = _score([t or "" for t in some.column(0).to_pylist()], loaded, words)
+            done.append(pa.array([{"score": score, "spans": [
+                {"start": a, "end": b} for a, b in spans]} for score, spans in rows], kind))
+        yield pa.concat_arrays(done) if done else pa.array([], kind)
+
+
 def train(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> str:
     """Fit to labelled texts; returns the model as text, of a size bounded by the sample. The
     keys of the sample are chosen among the labels alone and then looked up in the documents;
@@ -421,7 +476,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str, text: str, label: s
     bounded = sample.withColumn("upto", upto).where(F.col("upto") <= TRAIN_ALL_CHARS).drop("upto")
     shares = tuple(min(1.0, limits[v] / many[v]) for v in (0, 1))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # One row per text: copies teach nothing new; of two labels of one text, clean holds.
         rows = pd.concat(list(frames)).sort_values(["label", "text"]).drop_duplicates("text")
         texts, marks = rows["text"].tolist(), rows["label"].tolist()
@@ -430,10 +485,11 @@ def train(documents: DataFrame, labels: DataFrame, key: str, text: str, label: s
             model = fit(texts, marks, shares)
         else:
             model = {"constant": float(many[1] / (many[0] + many[1]))}
-        yield pd.DataFrame({"model": [json.dumps(model)]})
+        del texts, marks
         give_back()
+        yield pd.DataFrame({"model": [json.dumps(model)]})
 
-    found = bounded.coalesce(1).mapInPandas(run, "model string").collect()
+    found = bounded.coalesce(1).mapInPandas(learn, "model string").collect()
     return found[0]["model"] if found else json.dumps({"constant": 0.0})
 
 
@@ -442,17 +498,12 @@ def score_toxicity(documents: DataFrame, model: str, text: str = "text") -> Data
     offending words. Map-only."""
     kept = [c for c in documents.columns if c == text or c.lower() not in ("score", "spans")]
 
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        loaded, words = json.loads(model), {}
-        for texts in parts:
-            rows = _score([t if t is not None else "" for t in texts], loaded, words)
-            yield pd.DataFrame({"score": [r[0] for r in rows], "spans": [
-                [{"start": a, "end": b} for a, b in r[1]] for r in rows]})
-        words.clear()
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _scored(parts, model)
         give_back()
 
     result = free_name(kept, "result")
-    scored = documents.withColumn(result, F.pandas_udf(run, _RESULT)(F.col(f"`{text}`")))
+    scored = documents.withColumn(result, F.arrow_udf(run, _RESULT)(F.col(f"`{text}`")))
     return scored.select(*[F.col(f"`{c}`") for c in kept],
                          F.col(result)["score"].alias("score"),
                          F.col(result)["spans"].alias("spans"))

@@ -59,8 +59,9 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Workers of the stages before still stand beside those that encode.
-    return packing.pack_documents(docs, cached_units=250_000)
+    # Workers of the stages before still stand beside those that encode, and these beside those
+    # of the next run.
+    return packing.pack_documents(docs, cached_units=250_000, forget=True)
 
 
 STAGES = [

@@ -375,6 +375,27 @@ def test_toxic_spans():
     assert hit > clean and spans == [(4, 12)] and none == []
 
 
+def test_fit_and_scores_take_little_memory():
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(3000)]
+    texts = [" ".join(["badword"] * (i % 2) + rng.choices(words, k=2000)) for i in range(400)]
+    labels = [i % 2 for i in range(400)]
+    assert _most_held(lambda: toxicity.fit(texts, labels, (1.0, 1.0))) < 32 * 2000 * 400
+    model = toxicity.json.dumps(toxicity.fit(texts[:50], labels[:50], (1.0, 1.0)))
+    part = pa.array([*texts, None])
+    rows = []
+    held = _most_held(lambda: rows.extend(toxicity._scored(iter([part]), model)))
+    assert held < 40 * 2000 * 400
+    assert [(r["score"], [(s["start"], s["end"]) for s in r["spans"]])
+            for r in rows[0].to_pylist()] == toxicity._score([*texts, ""], model)
+
+
+def test_packing_forgets_after_a_task(spark):
+    docs = spark.createDataFrame([(1, "some words")], "doc_id bigint, text string").coalesce(1)
+    whole = packing.token_pieces(docs).collect()
+    assert packing.token_pieces(docs, cached_units=77, forget=True).collect() == whole
+
+
 def test_clean_texts_are_learnt(spark):
     split = [["tau"] * 70, ["badge"] * 3, ["badword", "tau"] * 40]
     *_, times = toxicity._lessons(split, [0, 0, 1])
