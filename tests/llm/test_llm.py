@@ -527,6 +527,31 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_neighbours_shards(spark):
+    """Twelve times the vectors are not twelve times the shards that every query visits."""
+    sizes = spark.createDataFrame(
+        [(64, 4096), (64, 51_282), (64, 615_384), (64, 15_000_000), (4096, 20_000), (2, 1)],
+        "length int, rows bigint")
+    shards = {(r[0], r[1]): r[2] for r in sizes.select("length", "rows", neighbours._shards()).collect()}
+    assert list(shards.values()) == [1, 13, 24, 229, 5, 1]
+
+
+def test_neighbours_graph():
+    """No neighbour comes twice, and the places that leaves are used."""
+    rng = np.random.default_rng(5)
+    rows = neighbours.unit(rng.normal(size=(1500, 16))).astype(np.float32)
+    rows[200:203] = rows[200]
+    graph, start = neighbours.build(rows)
+    for n, row in enumerate(graph):
+        there = row[row >= 0].tolist()
+        assert len(there) == len(set(there)) and n not in there
+    found, near = neighbours.search(rows, graph, start, rows[:200], 64)
+    assert all(len(set(f)) == 64 for f in found.tolist()) and (np.diff(near, axis=1) <= 0).all()
+    want = np.argsort(-(rows[:200] @ rows.T), axis=1)[:, :6]
+    right = sum(len(set(w) & set(f[:6])) for w, f in zip(want.tolist(), found.tolist(), strict=True))
+    assert right >= 0.99 * want.size
+
+
 # --- 8 -------------------------------------------------------------------------------------
 
 
