@@ -2,7 +2,9 @@
 
 import json
 import re
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -15,7 +17,7 @@ from test_tables import put, rows, space  # noqa: F401
 from areaweave import fixed_values as fv
 from areaweave.operators import checks
 from areaweave.plans import entries, integrity, row_jobs, staged
-from areaweave.sources import csv_files, derived, field_lists, landing, published, tables
+from areaweave.sources import csv_files, derived, field_lists, landing, published, scratch, tables
 from areaweave.sources.area_tables import AreaTables
 from areaweave.sources.csv_files import CsvLoad, write_csv
 
@@ -199,6 +201,65 @@ def test_extracts_from_lines_that_are_joined_once(spark, lines, tmp_path):
         assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lines_counted_in_parts(spark, tmp_path):
+    """Repeated orders, lines without an order, missing keys and values: the counts of the parts are
+    those of all lines at once, for the four extracts."""
+    folder = str(tmp_path / "in")
+    orders = spark.range(1, 40).selectExpr(
+        "CASE WHEN id % 13 = 0 THEN NULL ELSE id - id % 2 END AS o_orderkey",
+        "CASE WHEN id % 11 = 0 THEN NULL ELSE id % 7 END AS o_custkey", "'O' AS o_orderstatus",
+        "id * 9000.0D AS o_totalprice", "'5-LOW' AS o_orderpriority")
+    orders.write.parquet(f"{folder}/orders.parquet")
+    spark.range(200).selectExpr(
+        "CASE WHEN id % 17 = 0 THEN NULL ELSE id % 45 END AS l_orderkey", "id AS l_partkey",
+        "CASE WHEN id % 5 > 0 THEN id END AS l_suppkey", "CAST(id % 7 + 1 AS INT) AS l_linenumber",
+        "CASE WHEN id % 45 NOT IN (6, 10) THEN CAST(id % 50 AS DOUBLE) END AS l_quantity",
+        "CASE WHEN id % 3 > 0 THEN id * 700.0D END AS l_extendedprice", "0.04D AS l_discount",
+        "CASE WHEN id % 4 > 0 THEN 'A' END AS l_returnflag", "'F' AS l_linestatus",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    made = derived.from_lines(spark, folder, str(tmp_path / "counted"), industry=True)
+    assert [p.name for p in (tmp_path / "counted").iterdir()] == ["whole"]
+    assert len(made) == 4
+    for name, df in made.items():
+        alone = AreaTables(spark, folder).staging(name)
+        assert df.dtypes == alone.dtypes and df.count() >= 8
+        assert Counter(df.collect()) == Counter(alone.collect())
+
+
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {str(f) for d in disk.localDirs() for f in Path(str(d)).rglob("shuffle_*.data")}
+
+
+def test_shuffles_go_when_a_step_ends(spark, tmp_path, space):
+    """The files of a large job's shuffles would else stay, all together, until the driver happens
+    to collect its garbage."""
+    df = spark.range(5000).selectExpr("id AS ZIP_CODE", "'TX' AS STATE", "id % 7 AS ZCTA")
+    before, path = _shuffle_files(spark), str(tmp_path / "in" / "zip_to_zcta5")
+    write_csv(df.repartition(7, "ZCTA"), path, csv_files.CROSSWALK_LOAD)
+    staged.job_staged(spark, "uds", str(tmp_path / "in"), f"{space}_job", str(tmp_path / "job"))
+    until = time.time() + 10
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    # Key statistics are kept as a table; nothing else shuffles.
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert spark.table(f"{space}_job_modeled.zip_to_zcta5_ready").count() == 5000
+
+
+def test_landings_go_when_they_are_stored(spark, tmp_path, space):
+    df = spark.createDataFrame([(1, "TX", 7), (2, None, None)], "ZIP_CODE INT, STATE STRING, ZCTA INT")
+    path = tmp_path / "in" / "zip_to_zcta5"
+    write_csv(df, str(path), csv_files.CROSSWALK_LOAD)
+    assert all(p.name.endswith(".csv.gz") for p in path.glob("part-*"))
+    landings = Path(scratch.scratch_root(spark).removeprefix("file:")) / "areaweave"
+    before = set(landings.glob("landed-*"))
+    counts = staged.job_staged(spark, "uds", str(tmp_path / "in"), f"{space}_job", str(tmp_path / "job"))
+    assert set(landings.glob("landed-*")) <= before
+    assert {(r.stage, r.row_count) for r in counts.collect()} == {
+        ("staging", 2), ("modeled", 1), ("ready", 1)}
+
+
 def test_a_changed_extract_runs_its_steps_again(spark, tmp_path, space):
     path = tmp_path / "in" / "zip_to_zcta5"
     df = spark.createDataFrame([(1, "TX", 7), (2, "TX", None)], "ZIP_CODE INT, STATE STRING, ZCTA INT")
