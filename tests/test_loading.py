@@ -260,6 +260,15 @@ def test_landings_go_when_they_are_stored(spark, tmp_path, space):
         ("staging", 2), ("modeled", 1), ("ready", 1)}
 
 
+def test_dumps_are_compressed(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id AS A_LONG_FIELD_NAME", "CAST(NULL AS STRING) AS ANOTHER_ONE")
+    folder = tables.dump_rows(df, str(tmp_path / "dump"))
+    parts = list((tmp_path / "dump").glob("part-*"))
+    assert parts and sum(p.stat().st_size for p in parts) < 40_000
+    lines = spark.read.text(folder).collect()
+    assert len(lines) == 3000 and '{"A_LONG_FIELD_NAME":17,"ANOTHER_ONE":null}' in {r.value for r in lines}
+
+
 def test_a_changed_extract_runs_its_steps_again(spark, tmp_path, space):
     path = tmp_path / "in" / "zip_to_zcta5"
     df = spark.createDataFrame([(1, "TX", 7), (2, "TX", None)], "ZIP_CODE INT, STATE STRING, ZCTA INT")
