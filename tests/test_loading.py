@@ -260,6 +260,16 @@ def test_landings_go_when_they_are_stored(spark, tmp_path, space):
         ("staging", 2), ("modeled", 1), ("ready", 1)}
 
 
+def test_survey_rows_leave_only_their_tables(spark):
+    """Extracts, counts and landings go with the job; what it stored stays and is read."""
+    folder = Path(scratch.scratch_root(spark).removeprefix("file:")) / "areaweave"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    found = entries.queries()["job_rows_survey"](spark, FOLDER)
+    made = {re.sub("-[0-9a-f]{32}", "", p.name) for p in set(folder.iterdir()) - before}
+    assert made == {"job", "tables"}
+    assert found.select("table_name").distinct().count() == 13
+
+
 def test_dumps_are_compressed(spark, tmp_path):
     df = spark.range(3000).selectExpr("id AS A_LONG_FIELD_NAME", "CAST(NULL AS STRING) AS ANOTHER_ONE")
     folder = tables.dump_rows(df, str(tmp_path / "dump"))
